@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
+from .binding import bound
 
 # fixed values: Unicode whitespace
 WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
@@ -87,11 +88,6 @@ def in_publishable_scope(path: Column) -> Column:
             & (suffix.isin(*rules.TEXT_SUFFIXES) | name.isin(*rules.ALWAYS_TEXT_FILES)))
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times inside ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def topic_groups(text: Column, category_hit: Column) -> Column:
     """Groups recalled by a text. An acronym alone counts only with a second term or a subject category."""
     every = sorted({t.lower() for terms in rules.TOPIC_TERMS.values() for t in terms})

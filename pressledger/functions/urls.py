@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
+from .binding import bound
 from .text import hygiene_reason
 
 URL = r"^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
@@ -49,10 +50,13 @@ def host(url: Column) -> Column:
 
 
 def origin(url: Column) -> Column:
-    port = F.regexp_extract(host_port(url), r":([0-9]*)$", 1)
-    default = (port == "") | ((scheme(url) == "http") & (port == "80")) | ((scheme(url) == "https") & (port == "443"))
-    return F.concat(scheme(url), F.lit("://"), F.lower(F.regexp_replace(host_port(url), r":[0-9]*$", "")),
-                    F.when(default, "").otherwise(F.concat(F.lit(":"), port)))
+    parts = F.struct(scheme(url).alias("scheme"), F.lower(host_port(url)).alias("where"))
+
+    def text(p: Column) -> Column:
+        default = F.when(p["scheme"] == "http", ":80$").when(p["scheme"] == "https", ":443$").otherwise(":$")
+        return F.concat(p["scheme"], F.lit("://"), F.regexp_replace(F.regexp_replace(p["where"], default, ""), ":$", ""))
+
+    return bound(parts, text)
 
 
 def _in_ranges(number: Column, networks: tuple[str, ...], width: int) -> Column:
@@ -73,60 +77,82 @@ def _ipv4_number(text: Column) -> Column:
     return sum((F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint") * (1 << (24 - 8 * i)) for i in range(4)), F.lit(0))
 
 
-def ipv4_is_global(text: Column) -> Column:
-    number = _ipv4_number(text)
+def _ipv4_global(number: Column) -> Column:
     return ~_in_ranges(number, PRIVATE_IPV4, 32) | _in_ranges(number, GLOBAL_IPV4, 32)
 
 
+def ipv4_is_global(text: Column) -> Column:
+    return bound(_ipv4_number(text), _ipv4_global)
+
+
+def _without_ipv4_tail(text: Column) -> Column:
+    """The last 32 bits as two groups; NULL when a dotted tail is no IPv4 address."""
+    def spelled(tail: Column) -> Column:
+        digits = F.lpad(F.lower(F.hex(_ipv4_number(tail))), 8, "0")
+        return F.concat(F.regexp_replace(text, r"[0-9]+\.[0-9.]+$", ""),
+                        bound(digits, lambda d: F.concat(F.substring(d, 1, 4), F.lit(":"), F.substring(d, 5, 4))))
+
+    return bound(F.regexp_extract(text, r":([0-9]+\.[0-9.]+)$", 1), lambda tail: F.when(tail == "", text).when(
+        tail.rlike(IPV4), spelled(tail)))
+
+
 def ipv6_digits(text: Column) -> Column:
     """An IPv6 literal (no brackets) as 32 hex digits, or NULL when malformed."""
-    tail = F.regexp_extract(text, r":([0-9]+\.[0-9.]+)$", 1)
-    hex_tail = F.lpad(F.lower(F.hex(_ipv4_number(tail))), 8, "0")
-    plain = (F.when(tail == "", text)
-             .when(tail.rlike(IPV4), F.concat(F.regexp_replace(text, r"[0-9]+\.[0-9.]+$", ""),
-                                              F.substring(hex_tail, 1, 4), F.lit(":"), F.substring(hex_tail, 5, 4))))
-    halves = F.split(plain, "::")
-    groups = lambda half: F.filter(F.split(half, ":"), lambda g: g != "")
-    left, right = groups(halves[0]), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-    known = F.size(left) + F.size(right)
-    filled = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - known)), right)
-    compressed = F.size(halves) == 2
-    valid = (F.size(halves) <= 2) & F.when(compressed, known <= 7).otherwise(known == 8) & F.forall(
-        filled, lambda g: g.rlike("^[0-9a-f]{1,4}$")) & ~plain.rlike("^:[^:]|[^:]:$|:::")
-    return F.when(valid, F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), ""))
+    def groups(half: Column) -> Column:
+        return F.filter(F.split(half, ":"), lambda g: g != "")
+
+    def sides(plain: Column) -> Column:
+        halves = F.split(plain, "::")
+        return F.struct(plain.alias("plain"), F.size(halves).alias("halves"), groups(halves[0]).alias("left"),
+                        groups(F.coalesce(F.get(halves, F.lit(1)), F.lit(""))).alias("right"))
+
+    def digits(s: Column) -> Column:
+        known = F.size(s["left"]) + F.size(s["right"])
+        filled = F.concat(s["left"], F.array_repeat(F.lit("0"), F.greatest(F.lit(0), 8 - known)), s["right"])
+        valid = (F.when(s["halves"] == 2, known <= 7).otherwise((s["halves"] == 1) & (known == 8))
+                 & ~s["plain"].rlike("^:[^:]|[^:]:$|:::")
+                 & F.forall(F.concat(s["left"], s["right"]), lambda g: g.rlike("^[0-9a-f]{1,4}$")))
+        return F.when(valid, F.array_join(F.transform(filled, lambda g: F.lpad(g, 4, "0")), ""))
+
+    return bound(bound(_without_ipv4_tail(text), sides), digits)
 
 
 def ipv6_is_global(text: Column) -> Column:
-    digits = ipv6_digits(text)
-    mapped = digits.startswith("00000000000000000000ffff")
-    last = F.conv(F.substring(digits, 25, 8), 16, 10).try_cast("bigint")
-    mapped_global = ~_in_ranges(last, PRIVATE_IPV4, 32) | _in_ranges(last, GLOBAL_IPV4, 32)
-    return F.coalesce(F.when(mapped, mapped_global).otherwise(
-        ~_in_ranges(digits, PRIVATE_IPV6, 128) | _in_ranges(digits, GLOBAL_IPV6, 128)), F.lit(False))
+    def verdict(digits: Column) -> Column:
+        mapped = bound(F.conv(F.substring(digits, 25, 8), 16, 10).try_cast("bigint"), _ipv4_global)
+        return F.when(digits.startswith("00000000000000000000ffff"), mapped).otherwise(
+            ~_in_ranges(digits, PRIVATE_IPV6, 128) | _in_ranges(digits, GLOBAL_IPV6, 128))
+
+    return F.coalesce(bound(ipv6_digits(text), verdict), F.lit(False))
 
 
 def public_url_reason(url: Column) -> Column:
     """First broken rule, NULL for an acceptable public URL."""
-    name = host(url)
-    userinfo = F.regexp_extract(authority(url), r"^(.*)@", 1)
-    port = F.regexp_extract(host_port(url), r"^(?:\[[^\]]*\]|[^:\[\]]*):?(.*)$", 1)
-    bracketed = name.startswith("[")
-    named = (name.rlike(HOST) & name.contains(".") & ~name.rlike("^[0-9.xa-f]*$")
-             & ~_ends_with_any(name, rules.RESERVED_SUFFIXES))
-    keys = F.transform(
-        F.filter(F.split(query(url), "&"), lambda p: p.rlike("^[^=]*=.")),
-        lambda p: F.regexp_replace(F.regexp_extract(p, "^([^=]*)=", 1), r"\+", " "))
-    secret = F.exists(keys, lambda k: F.coalesce(F.try_url_decode(k), k).rlike(rules.AUTH_PARAMETER))
-    return (F.when(url.isNull(), "text")
-            .when(hygiene_reason(url, 2048).isNotNull(), "text")
-            .when(url.rlike(r"(?U)[\s\\<>]"), "characters")
-            .when(~scheme(url).isin("http", "https"), "scheme")
-            .when(~userinfo.isin("", ":"), "credentials")
-            .when((port != "") & ~F.coalesce(port.try_cast("int").isin(80, 443), F.lit(False)), "port")
-            .when(bracketed & ~ipv6_is_global(F.regexp_extract(name, r"^\[(.*)\]$", 1)), "address")
-            .when(~bracketed & name.rlike(IPV4) & ~F.coalesce(ipv4_is_global(name), F.lit(False)), "address")
-            .when(~bracketed & ~name.rlike(IPV4) & ~named, "host")
-            .when(secret, "auth_parameter"))
+    parts = F.struct(
+        url.alias("url"), scheme(url).alias("scheme"), host(url).alias("host"), query(url).alias("query"),
+        F.regexp_extract(authority(url), r"^(.*)@", 1).alias("userinfo"),
+        F.regexp_extract(host_port(url), r"^(?:\[[^\]]*\]|[^:\[\]]*):?(.*)$", 1).alias("port"))
+
+    def first_broken(p: Column) -> Column:
+        name, port = p["host"], p["port"]
+        bracketed, dotted = name.startswith("["), name.rlike(IPV4)
+        named = (name.rlike(HOST) & name.contains(".") & ~name.rlike("^[0-9.xa-f]*$")
+                 & ~_ends_with_any(name, rules.RESERVED_SUFFIXES))
+        keys = F.transform(
+            F.filter(F.split(p["query"], "&"), lambda q: q.rlike("^[^=]*=.")),
+            lambda q: F.regexp_replace(F.regexp_extract(q, "^([^=]*)=", 1), r"\+", " "))
+        secret = F.exists(keys, lambda k: F.coalesce(F.try_url_decode(k), k).rlike(rules.AUTH_PARAMETER))
+        return (F.when(hygiene_reason(p["url"], 2048).isNotNull(), "text")
+                .when(p["url"].rlike(r"(?U)[\s\\<>]"), "characters")
+                .when(~p["scheme"].isin("http", "https"), "scheme")
+                .when(~p["userinfo"].isin("", ":"), "credentials")
+                .when((port != "") & ~F.coalesce(port.try_cast("int").isin(80, 443), F.lit(False)), "port")
+                .when(bracketed & ~ipv6_is_global(F.regexp_extract(name, r"^\[(.*)\]$", 1)), "address")
+                .when(~bracketed & dotted & ~F.coalesce(ipv4_is_global(name), F.lit(False)), "address")
+                .when(~bracketed & ~dotted & ~named, "host")
+                .when(secret, "auth_parameter"))
+
+    return bound(parts, first_broken)
 
 
 def _ends_with_any(text: Column, suffixes: tuple[str, ...]) -> Column:
@@ -138,23 +164,36 @@ def _ends_with_any(text: Column, suffixes: tuple[str, ...]) -> Column:
 
 def resolve(base: Column, reference: Column) -> Column:
     """A reference against an absolute base URL, fragment dropped, dot segments removed."""
-    ref = F.regexp_replace(reference, "#.*$", "")
-    base_dir = F.regexp_extract(path(base), r"^(.*/)[^/]*$", 1)
-    start = F.concat(scheme(base), F.lit("://"), authority(base))
-    rest = (F.when(ref.startswith("/"), ref)
-            .when(ref.startswith("?"), F.concat(F.when(path(base) == "", "/").otherwise(path(base)), ref))
-            .when(ref == "", F.concat(path(base), F.when(query(base) == "", "").otherwise(
-                F.concat(F.lit("?"), query(base)))))
-            .otherwise(F.concat(F.when(base_dir == "", "/").otherwise(base_dir), ref)))
-    absolute = (F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), ref)
-                .when(ref.startswith("//"), F.concat(scheme(base), F.lit(":"), ref))
-                .otherwise(F.concat(start, rest)))
-    where, search = path(absolute), F.regexp_extract(absolute, r"^[^?]*(\?.*)$", 1)
-    segments = F.aggregate(
-        F.split(F.substring(where, 2, 1 << 20), "/"), F.array().cast("array<string>"),
-        lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
-        .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
-    tidy = F.when(where.rlike(r"/\.{1,2}(?:/|$)"), F.concat(
-        F.lit("/"), F.array_join(segments, "/"), F.when(where.rlike(r"/\.{1,2}$"), "/").otherwise("")
-    )).when(where == "", "/").otherwise(where)
-    return F.concat(scheme(absolute), F.lit("://"), authority(absolute), F.regexp_replace(tidy, "^//", "/"), search)
+    parts = F.struct(
+        F.regexp_replace(reference, "#.*$", "").alias("ref"), scheme(base).alias("scheme"),
+        authority(base).alias("authority"), path(base).alias("path"), query(base).alias("query"))
+
+    def absolute(p: Column) -> Column:
+        ref, folder = p["ref"], F.regexp_extract(p["path"], r"^(.*/)[^/]*$", 1)
+        search = F.when(p["query"] == "", "").otherwise(F.concat(F.lit("?"), p["query"]))
+        rest = (F.when(ref.startswith("/"), ref)
+                .when(ref.startswith("?"), F.concat(F.when(p["path"] == "", "/").otherwise(p["path"]), ref))
+                .when(ref == "", F.concat(p["path"], search))
+                .otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), ref)))
+        return (F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), ref)
+                .when(ref.startswith("//"), F.concat(p["scheme"], F.lit(":"), ref))
+                .otherwise(F.concat(p["scheme"], F.lit("://"), p["authority"], rest)))
+
+    def split_up(url: Column) -> Column:
+        return F.struct(F.regexp_extract(url, r"^([^/]*//[^/?]*)", 1).alias("root"), path(url).alias("path"),
+                        F.regexp_extract(url, r"^[^?]*(\?.*)$", 1).alias("search"))
+
+    def without_dots(where: Column) -> Column:
+        kept = F.aggregate(
+            F.split(F.substring(where, 2, 1 << 20), "/"), F.array().cast("array<string>"),
+            lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+            .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+        return F.concat(F.lit("/"), F.array_join(kept, "/"),
+                        F.when(where.rlike(r"/\.{1,2}$") & (F.size(kept) > 0), "/").otherwise(""))
+
+    def tidy(u: Column) -> Column:
+        where = (F.when(u["path"] == "", "/").when(u["path"].rlike(r"/\.{1,2}(?:/|$)"), without_dots(u["path"]))
+                 .otherwise(u["path"]))
+        return F.concat(u["root"], where, u["search"])
+
+    return bound(bound(bound(parts, absolute), split_up), tidy)

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import urls
-from ..functions.text import bound, contains_any
+from ..functions.binding import bound
+from ..functions.text import contains_any
 
 LINK = r"""\b(?:href|src)="([^"]+)\""""
 NOT_FETCHED = r"(?i)^(?:mailto|tel|data|javascript):"

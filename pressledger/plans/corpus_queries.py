@@ -52,7 +52,7 @@ g as (select *, rtrim(lower(regexp_extract(hp, '^(\[[^\]]*\]|[^:\[\]]*)', 1)), '
   regexp_extract(hp, '^(?:\[[^\]]*\]|[^:\[\]]*):?(.*)$', 1) as port from h),
 n as (select *, regexp_matches(host, '^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$') as ip,
   case when regexp_matches(host, '^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$') then
-    list_transform(string_split(host, '.'), x -> cast(x as bigint)) end as o from g)
+    list_transform(string_split(host, '.'), lambda x: cast(x as bigint)) end as o from g)
 select page_id, case
   when length(url) = 0 or length(url) > 2048 or regexp_matches(url, '[\x00-\x08\x0b-\x1f]') or regexp_matches(url, '{MARKERS}') then 'text'
   when regexp_matches(url, '[\s\\<>]') then 'characters'
@@ -65,7 +65,7 @@ select page_id, case
   when not ip and not (regexp_matches(host, '^[a-z0-9](?:[a-z0-9.\-]*[a-z0-9])?$') and contains(host, '.')
        and not regexp_matches(host, '^[0-9.xa-f]*$')
        and not regexp_matches(host, '\.(localhost|local|internal|test|invalid|example|home\.arpa)$')) then 'host'
-  when len(list_filter(string_split(q, '&'), x -> regexp_matches(x, '^[^=]*=.')
+  when len(list_filter(string_split(q, '&'), lambda x: regexp_matches(x, '^[^=]*=.')
        and regexp_matches(regexp_extract(x, '^([^=]*)=', 1), '{rules.AUTH_PARAMETER}'))) > 0 then 'auth_parameter' end as reason
 from n"""
 
@@ -120,7 +120,7 @@ def page_path():
 @query("relative_name", f"""with f as (select page_id, case page_id % 6 when 0 then concat('/', {PATH_SQL})
   when 1 then concat('a/../', {PATH_SQL}) when 2 then replace({PATH_SQL}, '/', chr(92)) else {PATH_SQL} end as p from pages)
 select page_id, p as path, p <> '' and not contains(p, chr(92)) and
-  len(list_filter(string_split(p, '/'), s -> s in ('', '.', '..'))) = 0 as ok from f""")
+  len(list_filter(string_split(p, '/'), lambda s: s in ('', '.', '..'))) = 0 as ok from f""")
 def relative_name(spark, folder):
     k, p = F.col("page_id") % 6, page_path()
     value = (F.when(k == 0, F.concat(F.lit("/"), p)).when(k == 1, F.concat(F.lit("a/../"), p))
@@ -245,17 +245,18 @@ def broken_links(spark, folder):
     return ops.broken_links(links, known).select("page_id", "path").distinct()
 
 
-@query("page_contract", r"""with f as (select page_id, html, regexp_extract(html, '<title>([^<]*)</title>', 1) as title,
-  regexp_extract(html, '<h1>([^<]*)</h1>', 1) as h1 from pages)
-select page_id, contains(html, concat('<title>', title)) and (contains(html, concat(h1, '"x"')) or contains(html, '&amp;')) as present,
+@query("page_contract", r"""with f as (select page_id, html, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') as title,
+  concat('lang="', regexp_extract(url, '/([a-z]{2})/', 1), '"') as lang from pages)
+select page_id, (contains(html, title) or contains(html, replace(title, '&', '&amp;')))
+    and (contains(html, lang) or contains(html, replace(lang, '"', '&quot;'))) as present,
   strpos(html, '<title>') > 0 and strpos(html, '<h1>') > strpos(html, '<title>') and strpos(html, '</article>') > strpos(html, '<h1>') as in_order
 from f""")
 def page_contract(spark, folder):
     html = F.col("html")
-    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    expected = F.array(F.concat(F.lit("<title>"), title), F.lit("&"))
+    title = F.replace(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit("&amp;"), F.lit("&"))
+    lang = F.concat(F.lit('lang="'), F.regexp_extract("url", "/([a-z]{2})/", 1), F.lit('"'))
     present, rising = ops.page_contract(
-        expected, F.array(F.lit("<title>"), F.lit("<h1>"), F.lit("</article>")), html, text.html_escape)
+        F.array(title, lang), F.array(F.lit("<title>"), F.lit("<h1>"), F.lit("</article>")), html, text.html_escape)
     return load(spark, folder, "pages").select("page_id", present.alias("present"), rising.alias("in_order"))
 
 
