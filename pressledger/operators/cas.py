@@ -1,0 +1,136 @@
+"""Compare-and-swap ledgers replayed in parallel.
+
+A row is accepted when its expected revision equals the current one of its chain and its operation id was not accepted
+before. Row by row this is sequential per chain, and a chain may hold a third of the log. It is run over blocks of
+consecutive sequence numbers instead, each holding at most ``block`` rows of all chains together:
+
+1. every block is summarised, on its own, into "entering at revision r leaves at s" intervals per chain;
+2. the intervals of a chain are applied in block order, which gives the revision each block starts from;
+3. every block is replayed from there.
+
+Step 1 cannot see operation ids accepted in other blocks. Only rows that repeat an operation id depend on that, so the
+replay is repeated with those rows ruled out, until what was assumed about them is what came out. The true ledger is
+the only such fixpoint, since each row is decided by earlier rows alone.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import pinned
+
+BLOCK = 1 << 17
+MAX_ROUNDS = 200
+
+
+def _one_pass(rows: DataFrame) -> DataFrame:
+    """Accepted flag and revision seen by every row, given which rows are open."""
+    # nested functions travel to the workers by value, so the workers need not have this package
+
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Intervals (chain, lo, hi, leaving) of one block. A negative revision stands for a completed chain."""
+        leaving: dict = {}
+        ordered = pdf.sort_values("_seq", ascending=False)
+        for chain, expected, final in zip(ordered["_chain"], ordered["_expected"], ordered["_final"]):
+            leaving[chain, expected] = -(expected + 1) if final else leaving.get((chain, expected + 1), expected + 1)
+        out: list = []
+        for (chain, revision), end in sorted(leaving.items()):
+            if out and out[-1][0] == chain and out[-1][2] == revision - 1 and out[-1][3] == end:
+                out[-1][2] = revision
+            else:
+                out.append([chain, revision, revision, end])
+        frame = pd.DataFrame(out, columns=["_chain", "lo", "hi", "leaving"])
+        frame.insert(1, "_block", pdf["_block"].iloc[0])
+        return frame
+
+    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Entering revision of every block of one chain."""
+        ordered = pdf.sort_values(["_block", "lo"])
+        revision, start, current, blocks, entering = 0, 0, None, [], []
+        for block, lo, hi, leaving in zip(ordered["_block"], ordered["lo"], ordered["hi"], ordered["leaving"]):
+            if block != current:
+                current, start = block, revision
+                blocks.append(block)
+                entering.append(revision)
+            if start >= 0 and lo <= start <= hi:
+                revision = leaving
+        return pd.DataFrame({"_chain": pdf["_chain"].iloc[0], "_block": blocks, "_entering": entering})
+
+    def run(pdf: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
+        """One block row by row, from the entering revisions of its chains."""
+        ordered = pdf.sort_values("_seq")
+        revisions = dict(zip(starts["_chain"], starts["_entering"]))
+        accepted, seen = [], []
+        for chain, expected, is_open, final in zip(ordered["_chain"], ordered["_expected"], ordered["_open"], ordered["_final"]):
+            revision = revisions.get(chain, 0)
+            hit = bool(is_open) and revision == expected
+            seen.append(revision)
+            accepted.append(hit)
+            if hit:
+                revisions[chain] = -(revision + 1) if final else revision + 1
+        return pd.DataFrame({"_seq": ordered["_seq"], "_accepted": accepted, "_seen": seen})
+
+    summaries = (rows.where("_open").select("_chain", "_block", "_seq", "_expected", "_final").groupBy("_block")
+                 .applyInPandas(summarise, "_chain string, _block bigint, lo bigint, hi bigint, leaving bigint"))
+    # rows that are not open still need the revision they saw, so every (chain, block) pair gets a start
+    touched = rows.where(~F.col("_open")).select("_chain", "_block").distinct().select(
+        "_chain", "_block", F.lit(-1).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi"),
+        F.lit(0).cast("bigint").alias("leaving"))
+    starts = summaries.unionByName(touched).groupBy("_chain").applyInPandas(
+        enter, "_chain string, _block bigint, _entering bigint")
+    slim = rows.select("_block", "_seq", "_chain", "_expected", "_open", "_final")
+    return slim.groupBy("_block").cogroup(starts.groupBy("_block")).applyInPandas(
+        run, "_seq bigint, _accepted boolean, _seen bigint")
+
+
+def replay(log: DataFrame, run: Sequence[str], seq: str, expected: str, operation: str, request: Column,
+           chain: Sequence[str] = (), final: Column | None = None, admissible: Column | None = None,
+           block: int = BLOCK) -> DataFrame:
+    """Add ``outcome`` (accepted, replay, conflict, completed, stale, refused) and ``revision`` to every row.
+
+    ``run`` scopes operation ids, ``run + chain`` scopes revisions, ``final`` marks rows that complete their chain, and
+    rows that are not ``admissible`` are refused unless they repeat an accepted operation. A replay reports the revision
+    its operation got; rejected rows report NULL. ``seq`` is a unique non-negative integer.
+    """
+    final = F.lit(False) if final is None else final
+    admissible = F.lit(True) if admissible is None else admissible
+    scope = F.to_json(F.array(*[F.col(c).cast("string") for c in (*run, *chain)]))
+    base = pinned(log.select(
+        "*", F.col(seq).cast("bigint").alias("_seq"), scope.alias("_chain"), F.col(expected).cast("bigint").alias("_expected"),
+        F.coalesce(final, F.lit(False)).alias("_final"), F.coalesce(admissible, F.lit(False)).alias("_admissible"),
+        request.cast("string").alias("_request"), F.floor(F.col(seq) / F.lit(block)).cast("bigint").alias("_block")))
+    key = [*run, operation]
+    # only admissible rows that repeat an operation id can be decided by an acceptance elsewhere
+    repeats = (base.where("_admissible").join(
+        base.where("_admissible").groupBy(*key).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1"), key).where(F.col("_seq") > F.col("_first")).select(*key, "_seq"))
+    repeats = pinned(repeats)
+    ruled_out = repeats.limit(0).select("_seq")
+    for _ in range(MAX_ROUNDS):
+        blocked = ruled_out.withColumn("_blocked", F.lit(True))
+        rows = base.join(blocked, "_seq", "left").withColumn("_open", F.col("_admissible") & F.col("_blocked").isNull())
+        decided = pinned(_one_pass(rows))
+        accepted = base.join(decided.where("_accepted"), "_seq").groupBy(*key).agg(F.min("_seq").alias("_first"))
+        needed = pinned(repeats.join(accepted, key).where(F.col("_seq") > F.col("_first")).select("_seq"))
+        violated = decided.where("_accepted").join(needed, "_seq", "left_semi")
+        unneeded = ruled_out.join(needed, "_seq", "left_anti")
+        if violated.select("_seq").unionByName(unneeded).isEmpty():
+            break
+        ruled_out = needed
+    else:
+        raise RuntimeError(f"ledger replay did not settle in {MAX_ROUNDS} rounds")
+    done = base.join(decided, "_seq")
+    owner = (done.where("_accepted").select(*key, F.col("_seq").alias("_owner_seq"), F.col("_request").alias("_owner_request"),
+                                            (F.col("_seen") + 1).alias("_owner_revision")))
+    known = F.col("_owner_seq").isNotNull() & (F.col("_owner_seq") < F.col("_seq"))
+    same = F.col("_owner_request").eqNullSafe(F.col("_request"))
+    outcome = (F.when(F.col("_accepted"), "accepted").when(known & same, "replay").when(known, "conflict")
+               .when(~F.col("_admissible"), "refused")
+               .when((F.col("_seen") < 0) & (F.col("_expected") == -F.col("_seen")), "completed").otherwise("stale"))
+    return done.join(owner, key, "left").select(
+        *[done[c] for c in log.columns], outcome.alias("outcome"),
+        F.when(F.col("_accepted"), F.col("_seen") + 1).when(known & same, F.col("_owner_revision")).alias("revision"))
