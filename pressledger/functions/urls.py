@@ -19,7 +19,7 @@ PRIVATE_IPV4 = ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.
                 "192.0.0.0/24", "192.0.2.0/24", "192.168.0.0/16", "198.18.0.0/15", "198.51.100.0/24",
                 "203.0.113.0/24", "240.0.0.0/4")
 GLOBAL_IPV4 = ("192.0.0.9/32", "192.0.0.10/32")
-PRIVATE_IPV6 = ("::/127", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32", "2002::/16", "3fff::/20",
+PRIVATE_IPV6 = ("::/127", "64:ff9b:1::/48", "100::/64", "2001::/23", "2001:db8::/32", "2002::/16",
                 "fc00::/7", "fe80::/10")
 GLOBAL_IPV6 = ("2001:1::1/128", "2001:1::2/128", "2001:3::/32", "2001:4:112::/48", "2001:20::/28", "2001:30::/28")
 

@@ -168,7 +168,7 @@ def context_isolation(contexts: DataFrame, ratings: DataFrame, cycle: str, conte
 
 
 def stage_sequence(stages: DataFrame, key: str, category: str, expected: Mapping[str, Sequence[str]],
-                   extra_ok: Column = F.lit(True)) -> DataFrame:
+                   extra_ok: Column | None = None) -> DataFrame:
     """Is the ordered stage list of each candidate the one of its category? Counted per position, never collected.
 
     ``stages`` has pos (from 0) and stage; ``extra_ok`` is a per-stage rule, for instance on the status.
@@ -177,8 +177,9 @@ def stage_sequence(stages: DataFrame, key: str, category: str, expected: Mapping
     for name, names in expected.items():
         wanted = F.when(F.col(category) == name, F.array(*[F.lit(s) for s in names])).otherwise(wanted)
     fits = F.coalesce(F.get(wanted, F.col("pos")) == F.col("stage"), F.lit(False))
+    extra = F.lit(True) if extra_ok is None else extra_ok
     per_pos = stages.groupBy(key, category, "pos").agg(
-        F.count(F.lit(1)).alias("_n"), F.bool_and(fits).alias("_fits"), F.bool_and(extra_ok).alias("_extra"))
+        F.count(F.lit(1)).alias("_n"), F.bool_and(fits).alias("_fits"), F.bool_and(extra).alias("_extra"))
     return (per_pos.groupBy(key, category).agg(
         F.sum("_n").alias("stages"), F.count(F.lit(1)).alias("_positions"), F.bool_and("_fits").alias("_fits"),
         F.bool_and("_extra").alias("statuses_ok"))

@@ -44,15 +44,20 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
     """(state, rejected) of single-event batches in ``seq`` order.
 
     ``payload`` is the event as JSON. A key present in it overrides, also with null; fields and events not mentioned stay.
-    The first emitted row fixes the cycle: later rows that are not emitted, or name another cycle, are rejected.
+    The first emitted row fixes the cycle the event has by then: later rows that are not emitted, or name another cycle,
+    are rejected.
     """
     parsed = F.try_parse_json(payload)
     present = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    needed = list(dict.fromkeys([*fields, "status", "cycle_id"]))
     unpacked = log.select(*keys, seq, present.alias("_present"), *[
-        F.try_variant_get(parsed, f"$.{f}", "string").alias(f"_{f}") for f in fields])
+        F.try_variant_get(parsed, f"$.{f}", "string").alias(f"_{f}") for f in needed])
+    named = F.array_contains("_present", "cycle_id")
+    merged = prior(unpacked, keys, seq, {
+        "_carried": ("max", F.when(named, F.struct(F.col(seq), F.col("_cycle_id").alias("v"))))}, block)
     emitted = F.col("_status") == "emitted"
-    tagged = prior(unpacked, keys, seq, {
-        "_fixed": ("min", F.when(emitted, F.struct(F.col(seq), F.col("_cycle_id").alias("cycle"))))}, block)
+    cycle = F.when(named, F.col("_cycle_id")).otherwise(F.col("_carried.v"))
+    tagged = prior(merged, keys, seq, {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}, block)
     regress = F.col("_fixed").isNotNull() & (
         ~F.coalesce(emitted, F.lit(False)) | ~F.col("_cycle_id").eqNullSafe(F.col("_fixed.cycle")))
     judged = tagged.withColumn("_rejected", regress)

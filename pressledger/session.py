@@ -33,15 +33,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def pinned(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so lost executors can re-read it.
-
-    The cluster names the folder in ``spark.checkpoint.dir``; only where that is unset (tests,
-    local runs) a temporary one is made.
-    """
-    spark = df.sparkSession
+def pinned_folder(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``. Only where that is unset (tests, local
+    runs) a temporary one is made."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="pressledger-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder, so lost executors can re-read it."""
+    pinned_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -1,0 +1,73 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pressledger.operators import cas
+
+SCHEMA = "seq bigint, run string, stage string, expected bigint, op string, request string, status string, ok boolean"
+
+
+def simulate(rows):
+    """The ledger one row at a time."""
+    revisions, complete, done, out = {}, set(), {}, {}
+    for seq, run, stage, expected, op, request, status, ok in sorted(rows):
+        chain, revision = (run, stage), revisions.get((run, stage), 0)
+        if (run, op) in done:
+            known, at = done[run, op]
+            out[seq] = ("replay", at) if known == request else ("conflict", None)
+        elif not ok:
+            out[seq] = ("refused", None)
+        elif revision != expected:
+            out[seq] = ("stale", None)
+        elif chain in complete:
+            out[seq] = ("completed", None)
+        else:
+            revisions[chain] = revision + 1
+            done[run, op] = (request, revision + 1)
+            out[seq] = ("accepted", revision + 1)
+            if status == "complete":
+                complete.add(chain)
+    return out
+
+
+def random_log(seed, n=400, runs=3):
+    rng = random.Random(seed)
+    position, rows = {}, []
+    for seq in range(n):
+        run, stage = f"r{min(rng.randrange(runs * 2), runs - 1)}", f"s{rng.randrange(2)}"
+        near = position.get((run, stage), 0)
+        expected = max(0, near + rng.choice([0, 0, 0, 1, -1, 2]))
+        position[run, stage] = max(near, expected + rng.randrange(2))
+        # operation ids come back often, also for other stages, revisions and requests
+        op = f"op{rng.randrange(n // 3)}"
+        rows.append((seq * 3, run, stage, expected, op, f"q{rng.randrange(3)}",
+                     "complete" if rng.random() < 0.01 else "running", rng.random() > 0.05))
+    return rows
+
+
+@pytest.mark.parametrize("seed,block", [(1, 10_000), (2, 60), (3, 17), (4, 60)])
+def test_replay_equals_simulation(spark, seed, block):
+    rows = random_log(seed)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = cas.replay(df, ["run"], "seq", "expected", "op", F.col("request"), chain=["stage"],
+                     final=F.col("status") == "complete", admissible=F.col("ok"), block=block).collect()
+    assert {r.seq: (r.outcome, r.revision) for r in got} == simulate(rows)
+
+
+def test_source_operation_sequence(spark):
+    rows = [(0, "s", "", 0, "op-1", "a"), (1, "s", "", 0, "op-1", "a"), (2, "s", "", 0, "op-1", "changed"),
+            (3, "s", "", 0, "op-2", "b"), (4, "s", "", 1, "op-2", "c")]
+    df = spark.createDataFrame([(*r, "running", True) for r in rows], SCHEMA)
+    got = cas.replay(df, ["run"], "seq", "expected", "op", F.col("request")).orderBy("seq").collect()
+    assert [(r.outcome, r.revision) for r in got] == [
+        ("accepted", 1), ("replay", 1), ("conflict", None), ("stale", None), ("accepted", 2)]
+
+
+def test_revision_counts_accepted_operations(spark):
+    rows = random_log(9)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = cas.replay(df, ["run"], "seq", "expected", "op", F.col("request"), chain=["stage"], block=50)
+    per_chain = got.where("outcome = 'accepted'").groupBy("run", "stage").agg(
+        F.count("*").alias("n"), F.max("revision").alias("last")).collect()
+    assert per_chain and all(r.n == r["last"] for r in per_chain)
