@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import pinned
 from .windows import BLOCK, prior
 
 
@@ -53,14 +54,14 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
     unpacked = log.select(*keys, seq, present.alias("_present"), *[
         F.try_variant_get(parsed, f"$.{f}", "string").alias(f"_{f}") for f in needed])
     named = F.array_contains("_present", "cycle_id")
-    merged = prior(unpacked, keys, seq, {
-        "_carried": ("max", F.when(named, F.struct(F.col(seq), F.col("_cycle_id").alias("v"))))}, block)
     emitted = F.col("_status") == "emitted"
     cycle = F.when(named, F.col("_cycle_id")).otherwise(F.col("_carried.v"))
-    tagged = prior(merged, keys, seq, {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}, block)
+    tagged = prior(unpacked, keys, seq, [
+        {"_carried": ("max", F.when(named, F.struct(F.col(seq), F.col("_cycle_id").alias("v"))))},
+        {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}], block)
     regress = F.col("_fixed").isNotNull() & (
         ~F.coalesce(emitted, F.lit(False)) | ~F.col("_cycle_id").eqNullSafe(F.col("_fixed.cycle")))
-    judged = tagged.withColumn("_rejected", regress)
+    judged = pinned(tagged.withColumn("_rejected", regress).drop("_carried", "_fixed"))
     # value and sequence travel together, so a present null is kept as a value
     folded = [F.max(F.when(~F.col("_rejected") & F.array_contains("_present", f),
                            F.struct(F.col(seq), F.col(f"_{f}").alias("v")))).alias(f"_{f}_last") for f in fields]
@@ -110,18 +111,17 @@ def delivery_outcomes(log: DataFrame, keys: Sequence[str], seq: str, action: str
     """
     act, ok = F.col(action), F.col(evidence_ok)
     switch = (act == "start") | ((act == "failed") & ok)
-    first = prior(log, keys, seq, {
-        "_switch": ("max", F.when(switch, F.struct(F.col(seq), (act == "start").alias("open"))))}, block)
-    opened = F.coalesce(F.col("_switch.open"), F.lit(False))
-    # once confirmed the key stays closed, whatever the switches say afterwards
-    second = prior(first.withColumn("_open", opened), keys, seq, {
-        "_confirmed": ("min", F.when((act == "confirmed") & ok & F.col("_open"), F.col(seq))),
-        "_started": ("min", F.when(act == "start", F.col(seq)))}, block)
+    is_open = F.coalesce(F.col("_switch.open"), F.lit(False))
+    judged = prior(log, keys, seq, [
+        {"_switch": ("max", F.when(switch, F.struct(F.col(seq), (act == "start").alias("open")))),
+         "_started": ("min", F.when(act == "start", F.col(seq)))},
+        # once confirmed the key stays closed, whatever the switches say afterwards
+        {"_confirmed": ("min", F.when((act == "confirmed") & ok & is_open, F.col(seq)))}], block)
     closed, ever = F.col("_confirmed").isNotNull(), F.col("_started").isNotNull()
-    outcome = (F.when(act == "start", F.when(closed | F.col("_open"), "blocked").otherwise("started"))
-               .when(~ever, "no_intent").when(closed | ~F.col("_open"), "terminal")
+    outcome = (F.when(act == "start", F.when(closed | is_open, "blocked").otherwise("started"))
+               .when(~ever, "no_intent").when(closed | ~is_open, "terminal")
                .when(act == "unknown", "unknown").when(~ok, "refused").otherwise(act))
-    return second.withColumn("outcome", outcome).drop("_switch", "_open", "_confirmed", "_started")
+    return judged.withColumn("outcome", outcome).drop("_switch", "_confirmed", "_started")
 
 
 TRANSITIONS: Mapping[str, str] = {"started": "pending", "unknown": "unknown", "failed": "failed", "confirmed": "confirmed"}
@@ -132,10 +132,10 @@ def delivery_history(outcomes: DataFrame, keys: Sequence[str], seq: str, block:
     state = F.col("outcome")
     for outcome, name in TRANSITIONS.items():
         state = F.when(F.col("outcome") == outcome, name).otherwise(state)
-    rows = outcomes.where(F.col("outcome").isin(*TRANSITIONS)).withColumn("state", state)
+    rows = pinned(outcomes.where(F.col("outcome").isin(*TRANSITIONS)).select(*keys, seq, "outcome", state.alias("state")))
     started = (F.col("outcome") == "started").cast("bigint")
     attempts = prior(rows, keys, seq, {"_earlier": ("sum", started)}, block)
-    numbered = attempts.withColumn("attempt", F.col("_earlier") + started).drop("_earlier")
+    numbered = pinned(attempts.select(*keys, seq, "state", (F.col("_earlier") + started).alias("attempt")))
     placed = prior(numbered, [*keys, "attempt"], seq, {"_before": ("sum", F.lit(1).cast("bigint"))}, block)
     return placed.select(*keys, "attempt", (F.col("_before") + 1).alias("position"), "state", seq)
 

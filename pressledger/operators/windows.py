@@ -33,18 +33,31 @@ def _combine(how: str, before: Column, inside: Column) -> Column:
     return F.least(before, inside)
 
 
-def prior(df: DataFrame, keys: Sequence[str], seq: str, values: Mapping[str, tuple[str, Column]],
+def prior(df: DataFrame, keys: Sequence[str], seq: str,
+          values: Mapping[str, tuple[str, Column]] | Sequence[Mapping[str, tuple[str, Column]]],
           block: int = BLOCK) -> DataFrame:
     """Add exclusive running aggregates: for each row, over the earlier rows (by ``seq``) of its key.
 
     ``values`` maps a new column to ``("max" | "min" | "sum", expression)``. The last value before a row is the
-    maximum of ``struct(seq, value)``. ``seq`` must be a unique non-negative integer.
+    maximum of ``struct(seq, value)``. A list of mappings is applied in order, later expressions may use earlier results.
+    ``seq`` must be a unique non-negative integer.
+
+    The rows are shuffled by (key, block) only; the block totals are partial aggregates, one row per (key, block). ``df``
+    is read twice for this, so between steps the rows are written to the checkpoint folder rather than computed again.
     """
     keys = list(keys)
-    cut = df.select("*", F.floor(F.col(seq) / F.lit(block)).cast("bigint").alias("_block"),
-                    *[expr.alias(f"_{name}") for name, (_, expr) in values.items()])
+    steps = [values] if isinstance(values, Mapping) else list(values)
+    cut = df.select("*", F.expr(f"`{seq}` div {block}L").alias("_block"))
+    for i, step in enumerate(steps):
+        cut = _prior_step(pinned(cut) if i else cut, keys, seq, step)
+    return cut.drop("_block")
+
+
+def _prior_step(cut: DataFrame, keys: list[str], seq: str, values: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    columns = cut.columns
+    cut = cut.select("*", *[expr.alias(f"_{name}_value") for name, (_, expr) in values.items()])
     totals = cut.groupBy(*keys, "_block").agg(
-        *[_AGGREGATE[how](f"_{name}").alias(f"_{name}_total") for name, (how, _) in values.items()])
+        *[_AGGREGATE[how](f"_{name}_value").alias(f"_{name}_total") for name, (how, _) in values.items()])
     earlier_blocks = (Window.partitionBy(*keys).orderBy("_block")
                       .rowsBetween(Window.unboundedPreceding, -1))
     carried = totals.select(*keys, "_block", *[
@@ -53,8 +66,8 @@ def prior(df: DataFrame, keys: Sequence[str], seq: str, values: Mapping[str, tup
     earlier_rows = (Window.partitionBy(*keys, "_block").orderBy(seq)
                     .rowsBetween(Window.unboundedPreceding, -1))
     joined = cut.join(carried, [*keys, "_block"])
-    return joined.select(*[joined[c] for c in df.columns], *[
-        _combine(how, F.col(f"_{name}_before"), _AGGREGATE[how](f"_{name}").over(earlier_rows)).alias(name)
+    return joined.select(*[joined[c] for c in columns], *[
+        _combine(how, F.col(f"_{name}_before"), _AGGREGATE[how](f"_{name}_value").over(earlier_rows)).alias(name)
         for name, (how, _) in values.items()])
 
 

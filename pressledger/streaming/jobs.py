@@ -13,7 +13,7 @@ LATENESS = "1 day"
 
 
 def read_log(spark: SparkSession, folder: str, glob: str, files_per_trigger: int | None = None,
-             bytes_per_trigger: str = "1g") -> DataFrame:
+             bytes_per_trigger: int = 1 << 30) -> DataFrame:
     """A file stream of Parquet logs with the schema of the files already there.
 
     The size of a micro-batch is bounded, and with it the rows of any one key a stateful task sees at a time.
