@@ -91,8 +91,12 @@ def in_publishable_scope(path: Column) -> Column:
 def topic_groups(text: Column, category_hit: Column) -> Column:
     """Groups recalled by a text. An acronym alone counts only with a second term or a subject category."""
     every = sorted({t.lower() for terms in rules.TOPIC_TERMS.values() for t in terms})
+    latin = [t for t in every if t.isascii()]
     literals = lambda terms: F.array(*[F.lit(t) for t in terms])
-    hits = bound(F.lower(text), lambda low: F.filter(literals(every), lambda term: low.contains(term)))
+    found_in = lambda low, terms: F.filter(literals(terms), lambda term: low.contains(term))
+    # one look for any CJK character spares the aliases in other texts
+    hits = bound(F.lower(text), lambda low: F.when(
+        low.rlike("[\\x{4e00}-\\x{9fff}]"), found_in(low, every)).otherwise(found_in(low, latin)))
 
     def groups(found: Column) -> Column:
         recalled = []

@@ -8,9 +8,10 @@ consecutive sequence numbers instead, each holding at most ``block`` rows of all
 2. the intervals of a chain are applied in block order, which gives the revision each block starts from;
 3. every block is replayed from there.
 
-Step 1 cannot see operation ids accepted in other blocks. Only rows that repeat an operation id depend on that, so the
-replay is repeated with those rows ruled out, until what was assumed about them is what came out. The true ledger is
-the only such fixpoint, since each row is decided by earlier rows alone.
+Step 1 cannot see operation ids accepted in other blocks. Only rows that share an operation id depend on that, so steps 1
+to 3 are repeated with the rows ruled out that came after an acceptance of their id, until what was assumed about
+them is what came out. The true ledger is the only such fixpoint, since each row is decided by earlier rows alone. Rounds
+report nothing but the shared rows; the whole log is written once, after the last of them.
 """
 
 from __future__ import annotations
@@ -23,35 +24,51 @@ from pyspark.sql import functions as F
 
 from ..session import pinned
 
-BLOCK = 1 << 17
+BLOCK = 1 << 16
 MAX_ROUNDS = 200
 
 
-def _one_pass(rows: DataFrame) -> DataFrame:
-    """Accepted flag and revision seen by every row, given which rows are open."""
-    # nested functions travel to the workers by value, so the workers need not have this package
-
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Intervals (chain, lo, hi, leaving) of one block. A negative revision stands for a completed chain."""
-        leaving: dict = {}
-        ordered = pdf.sort_values("_seq", ascending=False)
-        for chain, expected, final in zip(ordered["_chain"], ordered["_expected"], ordered["_final"]):
-            leaving[chain, expected] = -(expected + 1) if final else leaving.get((chain, expected + 1), expected + 1)
+# nested functions travel to the workers by value, so the workers need not have this package
+
+
+def _summariser():
+    def summarise(pdf: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        """Intervals (chain, lo, hi, leaving) of one block. A negative revision stands for a completed chain; a chain
+        without open rows still gets one, empty, so that its rows learn the revision they saw."""
+        columns = ["_chain", "_block", "lo", "hi", "leaving"]
+        if pdf.empty:
+            return pd.DataFrame({c: [] for c in columns})
+        order = pdf["_seq"].to_numpy().argsort()[::-1]
+        codes, names = pd.factorize(pdf["_chain"])
+        is_open = (pdf["_admissible"] & ~pdf["_seq"].isin([] if marks.empty else marks["_mark"])).to_numpy()
+        leaving: list = [{} for _ in names]
+        for code, expected, usable, final in zip(codes[order].tolist(), pdf["_expected"].to_numpy()[order].tolist(),
+                                                 is_open[order].tolist(), pdf["_final"].to_numpy()[order].tolist()):
+            if usable:
+                ends = leaving[code]
+                ends[expected] = -(expected + 1) if final else ends.get(expected + 1, expected + 1)
         out: list = []
-        for (chain, revision), end in sorted(leaving.items()):
-            if out and out[-1][0] == chain and out[-1][2] == revision - 1 and out[-1][3] == end:
-                out[-1][2] = revision
-            else:
-                out.append([chain, revision, revision, end])
-        frame = pd.DataFrame(out, columns=["_chain", "lo", "hi", "leaving"])
-        frame.insert(1, "_block", pdf["_block"].iloc[0])
-        return frame
-
+        block = pdf["_block"].iloc[0]
+        for chain, ends in zip(names, leaving):
+            last = None
+            for revision in sorted(ends):
+                if last is not None and last[3] == revision - 1 and last[4] == ends[revision]:
+                    last[3] = revision
+                else:
+                    last = [chain, block, revision, revision, ends[revision]]
+                    out.append(last)
+            if last is None:
+                out.append([chain, block, -1, -1, 0])
+        return pd.DataFrame(out, columns=columns)
+    return summarise
+
+
+def _enterer():
     def enter(pdf: pd.DataFrame) -> pd.DataFrame:
         """Entering revision of every block of one chain."""
         ordered = pdf.sort_values(["_block", "lo"])
         revision, start, current, blocks, entering = 0, 0, None, [], []
-        for block, lo, hi, leaving in zip(ordered["_block"], ordered["lo"], ordered["hi"], ordered["leaving"]):
+        for block, lo, hi, leaving in zip(*[ordered[c].tolist() for c in ("_block", "lo", "hi", "leaving")]):
             if block != current:
                 current, start = block, revision
                 blocks.append(block)
@@ -59,32 +76,49 @@ def _one_pass(rows: DataFrame) -> DataFrame:
             if start >= 0 and lo <= start <= hi:
                 revision = leaving
         return pd.DataFrame({"_chain": pdf["_chain"].iloc[0], "_block": blocks, "_entering": entering})
-
-    def run(pdf: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
-        """One block row by row, from the entering revisions of its chains."""
-        ordered = pdf.sort_values("_seq")
-        revisions = dict(zip(starts["_chain"], starts["_entering"]))
+    return enter
+
+
+def _runner(whole: bool):
+    def run(pdf: pd.DataFrame, side: pd.DataFrame) -> pd.DataFrame:
+        """One block row by row, from the entering revisions of its chains; the shared rows only, or all of them."""
+        marks, starts = side[side["_chain"].isnull()], side[side["_chain"].notnull()]
+        if pdf.empty:
+            return pd.DataFrame({"_seq": [], "_accepted": [], "_seen": []})
+        order = pdf["_seq"].to_numpy().argsort()
+        codes, names = pd.factorize(pdf["_chain"])
+        known = dict(zip(starts["_chain"], starts["_value"].tolist()))
+        revisions = [int(known.get(name, 0)) for name in names]
+        ruled_out = marks.loc[marks["_out"].astype(bool), "_value"]
+        is_open = (pdf["_admissible"] & ~pdf["_seq"].isin(ruled_out)).to_numpy()
         accepted, seen = [], []
-        for chain, expected, is_open, final in zip(ordered["_chain"], ordered["_expected"], ordered["_open"], ordered["_final"]):
-            revision = revisions.get(chain, 0)
-            hit = bool(is_open) and revision == expected
+        for code, expected, usable, final in zip(codes[order].tolist(), pdf["_expected"].to_numpy()[order].tolist(),
+                                                 is_open[order].tolist(), pdf["_final"].to_numpy()[order].tolist()):
+            revision = revisions[code]
+            hit = usable and revision == expected
             seen.append(revision)
             accepted.append(hit)
             if hit:
-                revisions[chain] = -(revision + 1) if final else revision + 1
-        return pd.DataFrame({"_seq": ordered["_seq"], "_accepted": accepted, "_seen": seen})
-
-    summaries = (rows.where("_open").select("_chain", "_block", "_seq", "_expected", "_final").groupBy("_block")
-                 .applyInPandas(summarise, "_chain string, _block bigint, lo bigint, hi bigint, leaving bigint"))
-    # rows that are not open still need the revision they saw, so every (chain, block) pair gets a start
-    touched = rows.where(~F.col("_open")).select("_chain", "_block").distinct().select(
-        "_chain", "_block", F.lit(-1).cast("bigint").alias("lo"), F.lit(-1).cast("bigint").alias("hi"),
-        F.lit(0).cast("bigint").alias("leaving"))
-    starts = summaries.unionByName(touched).groupBy("_chain").applyInPandas(
-        enter, "_chain string, _block bigint, _entering bigint")
-    slim = rows.select("_block", "_seq", "_chain", "_expected", "_open", "_final")
-    return slim.groupBy("_block").cogroup(starts.groupBy("_block")).applyInPandas(
-        run, "_seq bigint, _accepted boolean, _seen bigint")
+                revisions[code] = -(revision + 1) if final else revision + 1
+        result = pd.DataFrame({"_seq": pdf["_seq"].to_numpy()[order], "_accepted": accepted, "_seen": seen})
+        return result if whole else result[result["_seq"].isin(marks["_value"])]
+    return run
+
+
+def _starts(slim: DataFrame, marks: DataFrame) -> DataFrame:
+    # fresh column names: both sides descend from the same log, and a cogroup must not take them for one another
+    ruled_out = marks.where("_out").select(F.col("_block").alias("_mark_block"), F.col("_seq").alias("_mark"))
+    summaries = slim.groupBy("_block").cogroup(ruled_out.groupBy("_mark_block")).applyInPandas(
+        _summariser(), "_chain string, _block bigint, lo bigint, hi bigint, leaving bigint")
+    return summaries.groupBy("_chain").applyInPandas(_enterer(), "_chain string, _block bigint, _entering bigint")
+
+
+def _decide(slim: DataFrame, starts: DataFrame, marks: DataFrame, whole: bool) -> DataFrame:
+    side = (starts.select("_block", "_chain", F.col("_entering").alias("_value"), F.lit(False).alias("_out"))
+            .unionByName(marks.select("_block", F.lit(None).cast("string").alias("_chain"), F.col("_seq").alias("_value"), "_out")))
+    side = side.withColumnRenamed("_block", "_side_block")
+    return slim.groupBy("_block").cogroup(side.groupBy("_side_block")).applyInPandas(
+        _runner(whole), "_seq bigint, _accepted boolean, _seen bigint")
 
 
 def replay(log: DataFrame, run: Sequence[str], seq: str, expected: str, operation: str, request: Column,
@@ -102,35 +136,35 @@ def replay(log: DataFrame, run: Sequence[str], seq: str, expected: str, operatio
     base = pinned(log.select(
         "*", F.col(seq).cast("bigint").alias("_seq"), scope.alias("_chain"), F.col(expected).cast("bigint").alias("_expected"),
         F.coalesce(final, F.lit(False)).alias("_final"), F.coalesce(admissible, F.lit(False)).alias("_admissible"),
-        request.cast("string").alias("_request"), F.floor(F.col(seq) / F.lit(block)).cast("bigint").alias("_block")))
+        request.cast("string").alias("_request"), F.expr(f"`{seq}` div {block}L").alias("_block")))
+    slim = base.select("_block", "_seq", "_chain", "_expected", "_admissible", "_final")
     key = [*run, operation]
-    # only admissible rows that repeat an operation id can be decided by an acceptance elsewhere
-    repeats = (base.where("_admissible").join(
-        base.where("_admissible").groupBy(*key).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .where("_n > 1"), key).where(F.col("_seq") > F.col("_first")).select(*key, "_seq"))
-    repeats = pinned(repeats)
-    ruled_out = repeats.limit(0).select("_seq")
+    # rows whose operation id occurs once cannot be replays and rule nothing out
+    several = base.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*key)
+    shared = pinned(base.select(*key, "_seq", "_block", "_request").join(several, key, "left_semi"))
+    marks = shared.select("_block", "_seq", F.lit(False).alias("_out"))
     for _ in range(MAX_ROUNDS):
-        blocked = ruled_out.withColumn("_blocked", F.lit(True))
-        rows = base.join(blocked, "_seq", "left").withColumn("_open", F.col("_admissible") & F.col("_blocked").isNull())
-        decided = pinned(_one_pass(rows))
-        accepted = base.join(decided.where("_accepted"), "_seq").groupBy(*key).agg(F.min("_seq").alias("_first"))
-        needed = pinned(repeats.join(accepted, key).where(F.col("_seq") > F.col("_first")).select("_seq"))
-        violated = decided.where("_accepted").join(needed, "_seq", "left_semi")
-        unneeded = ruled_out.join(needed, "_seq", "left_anti")
-        if violated.select("_seq").unionByName(unneeded).isEmpty():
+        starts = pinned(_starts(slim, marks))
+        decided = shared.join(_decide(slim, starts, marks, whole=False), "_seq")
+        owners = pinned(decided.where("_accepted").groupBy(*key).agg(
+            F.min(F.struct("_seq", "_request", "_seen")).alias("_owner"), F.max("_seq").alias("_last")))
+        later = F.coalesce(F.col("_owner._seq") < F.col("_seq"), F.lit(False))
+        labels = shared.join(owners, key, "left")
+        wanted = labels.select("_block", "_seq", later.alias("_out"))
+        # settled: no id was accepted twice, and nothing was ruled out without an acceptance before it
+        unfounded = marks.where("_out").select("_seq").join(wanted.where("_out"), "_seq", "left_anti")
+        twice = owners.where(F.col("_last") > F.col("_owner._seq")).select(F.col("_last").alias("_seq"))
+        if twice.unionByName(unfounded).isEmpty():
             break
-        ruled_out = needed
+        marks = pinned(wanted)
     else:
         raise RuntimeError(f"ledger replay did not settle in {MAX_ROUNDS} rounds")
-    done = base.join(decided, "_seq")
-    owner = (done.where("_accepted").select(*key, F.col("_seq").alias("_owner_seq"), F.col("_request").alias("_owner_request"),
-                                            (F.col("_seen") + 1).alias("_owner_revision")))
-    known = F.col("_owner_seq").isNotNull() & (F.col("_owner_seq") < F.col("_seq"))
-    same = F.col("_owner_request").eqNullSafe(F.col("_request"))
-    outcome = (F.when(F.col("_accepted"), "accepted").when(known & same, "replay").when(known, "conflict")
+    decided = _decide(slim, starts, marks, whole=True)
+    known = labels.where(later).select("_seq", F.col("_owner._request").alias("_known"), (F.col("_owner._seen") + 1).alias("_at"))
+    done = base.join(decided.join(known, "_seq", "left"), "_seq")
+    same = F.col("_at").isNotNull() & F.col("_known").eqNullSafe(F.col("_request"))
+    outcome = (F.when(F.col("_accepted"), "accepted").when(same, "replay").when(F.col("_at").isNotNull(), "conflict")
                .when(~F.col("_admissible"), "refused")
                .when((F.col("_seen") < 0) & (F.col("_expected") == -F.col("_seen")), "completed").otherwise("stale"))
-    return done.join(owner, key, "left").select(
-        *[done[c] for c in log.columns], outcome.alias("outcome"),
-        F.when(F.col("_accepted"), F.col("_seen") + 1).when(known & same, F.col("_owner_revision")).alias("revision"))
+    return done.select(*[done[c] for c in log.columns], outcome.alias("outcome"),
+                       F.when(F.col("_accepted"), F.col("_seen") + 1).when(same, F.col("_at")).alias("revision"))

@@ -269,7 +269,7 @@ s as (select lang, count(*) as terms, cast(sum(n) as bigint) as uses, max(n) as
 select *, concat_ws(',', case when terms < 2 then 'too_few' end, case when terms > 15 then 'too_many' end, case when long_terms > 0 then 'long' end,
   case when without_cjk > 0 then 'without_cjk' end) as violations, terms < 10 as needs_reason from s""")
 def taxonomy_stats(spark, folder):
-    terms = load(spark, folder, "documents").select("lang", F.explode(F.split("text", "[ \n]+")).alias("term"))
+    terms = load(spark, folder, "documents").select("lang", F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("term"))
     return ops.taxonomy_stats(terms.where(F.col("term") != ""), "lang", "term")
 
 
