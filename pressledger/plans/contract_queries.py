@@ -8,7 +8,7 @@ from ..functions import json_checks as js
 from ..operators import contracts as ops
 from ..operators.fingerprints import sha256_text
 from ..operators.windows import running_sums
-from ..tables import candidates, conv_stages, doc_records, event_log, load, text_of
+from ..tables import candidates, conv_stages, doc_records, event_log, load, spread, text_of
 from .registry import query
 from .views import CANDIDATES, CONV_STAGES, DOC_RECORDS, EVENT_LOG
 
@@ -37,14 +37,14 @@ def metadata_bounds(spark, folder):
         F.concat(F.lit('{"identity":{"a":'), F.col("props"), F.lit("}}")),
         F.concat(F.lit('{"reason":"'), F.repeat(F.lit("x"), 301), F.lit('"}')),
         '{"identity":{"a":null,"b":true,"c":"t"},"context_id":"c1"}', "[1]", many, '{"a":1,"a":2}')
-    return load(spark, folder, "events").select("event_id", payload.alias("payload")).select(
+    return spread(load(spark, folder, "events")).select("event_id", payload.alias("payload")).select(
         "event_id", js.control_metadata_reason(F.col("payload")).alias("reason"))
 
 
 @query("event_bounds", f"""with {EVENT_LOG}
 select seq, case seq % 6 when 1 then 'fields' when 2 then 'values' when 3 then 'bytes' when 5 then 'values' end as reason from event_log""")
 def event_bounds(spark, folder):
-    rows, k = event_log(spark, folder), F.col("seq") % 6
+    rows, k = spread(event_log(spark, folder)), F.col("seq") % 6
     head = F.concat(F.lit('{"key":"'), F.col("event_key"), F.lit('","source_id":"'), F.col("source"), F.lit('","status":"'),
                     F.col("status"), F.lit('"'))
     payload = choose(
@@ -62,7 +62,7 @@ def cursor_bounds(spark, folder):
         F.concat(F.lit('{"nested":'), F.col("props"), F.lit("}")),
         F.concat(F.lit('{"long":"'), F.repeat(F.col("event_type"), 100), F.lit('"}')),
         F.concat(F.lit('{"etag":"'), F.col("event_type"), F.lit('","n":'), text_of("value"), F.lit(',"done":false,"x":null}')))
-    return load(spark, folder, "events").select("event_id", payload.alias("payload")).select(
+    return spread(load(spark, folder, "events")).select("event_id", payload.alias("payload")).select(
         "event_id", js.cursor_reason(F.col("payload")).alias("reason"))
 
 
@@ -269,7 +269,8 @@ s as (select lang, count(*) as terms, cast(sum(n) as bigint) as uses, max(n) as
 select *, concat_ws(',', case when terms < 2 then 'too_few' end, case when terms > 15 then 'too_many' end, case when long_terms > 0 then 'long' end,
   case when without_cjk > 0 then 'without_cjk' end) as violations, terms < 10 as needs_reason from s""")
 def taxonomy_stats(spark, folder):
-    terms = load(spark, folder, "documents").select("lang", F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("term"))
+    docs = spread(load(spark, folder, "documents").select("lang", "text"))
+    terms = docs.select("lang", F.explode(F.split(F.translate("text", "\n", " "), " ")).alias("term"))
     return ops.taxonomy_stats(terms.where(F.col("term") != ""), "lang", "term")
 
 

@@ -8,7 +8,7 @@ from .. import rules
 from ..functions import text, urls
 from ..operators import corpus as ops
 from ..operators import fingerprints as fp
-from ..tables import conv_stages, doc_records, load, text_of
+from ..tables import conv_stages, doc_records, load, spread, text_of
 from .registry import query
 from .views import CONV_STAGES, DOC_RECORDS
 
@@ -27,7 +27,8 @@ def text_hygiene(spark, folder):
     k, body = F.col("doc_id") % 9, F.col("text")
     t = (F.when(k == 0, F.concat(body, F.lit(" /home/x "))).when(k == 1, F.concat(body, F.lit("\x07")))
          .when(k == 2, "  ").otherwise(body))
-    return load(spark, folder, "documents").select("doc_id", text.hygiene_reason(t, 5000).alias("reason"))
+    return spread(load(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", text.hygiene_reason(t, 5000).alias("reason"))
 
 
 # fixed values: accept and refuse rows of the URL rule
@@ -81,7 +82,7 @@ def public_url(spark, folder):
                .when(k == 5, F.regexp_replace(url, "://[^/]*", "://172.20.0.1"))
                .when(k == 6, F.concat(url, F.lit(" x"))).otherwise(url))
     known = spark.createDataFrame([(-1 - i, u) for i, u in enumerate(URL_CASES)], "page_id bigint, url string")
-    rows = load(spark, folder, "pages").select("page_id", changed.alias("url")).unionByName(known)
+    rows = spread(load(spark, folder, "pages").select("page_id", changed.alias("url"))).unionByName(known)
     return rows.select("page_id", urls.public_url_reason(F.col("url")).alias("reason"))
 
 
@@ -164,7 +165,7 @@ k as (select doc_id, case when contains(text, 'hunter2-configured-value') or con
 select doc_id, finding from k where finding is not null""")
 def private_scan(spark, folder):
     known = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(SCAN_CASES)], "doc_id bigint, text string")
-    docs = load(spark, folder, "documents").select("doc_id", "text").unionByName(known)
+    docs = spread(load(spark, folder, "documents").select("doc_id", "text")).unionByName(known)
     return (docs.select("doc_id", text.private_finding(F.col("text"), CONFIGURED).alias("finding"))
             .where(F.col("finding").isNotNull()))
 
@@ -228,7 +229,7 @@ select distinct page_id, target, not starts_with(regexp_replace(target, '^[a-z]+
 from k where target is not null""")
 def local_links(spark, folder):
     extra = '<a href="#top"></a><a href="mailto:a@b"></a><a href="../up?x=1&amp;y=2"></a><a href="https://elsewhere.org/x"></a>'
-    pages = load(spark, folder, "pages").withColumn("html", F.concat("html", F.lit(extra)))
+    pages = spread(load(spark, folder, "pages")).withColumn("html", F.concat("html", F.lit(extra)))
     return ops.local_links(pages, "page_id", "url", "html")
 
 

@@ -9,7 +9,7 @@ from ..functions import identity, text, times
 from ..operators import ingest as ops
 from ..operators.identity_merge import identity_components
 from ..sources.json_records import strict_json
-from ..tables import candidates, doc_records, event_log, load, text_of
+from ..tables import candidates, doc_records, event_log, load, spread, text_of
 from .registry import query
 from .views import CANDIDATES, DOC_RECORDS, EVENT_LOG
 
@@ -85,7 +85,7 @@ def source_identity(spark, folder):
         .when(k == 1, F.to_json(F.struct(F.col("html").alias("title"), url.alias("url"))))
         .otherwise(F.concat(F.col("html"), F.lit(" (see "), url, F.lit(") and <"), url, F.lit("> again"))))
     urls = identity.identity_urls(content)
-    return load(spark, folder, "pages").select("page_id", urls.alias("u")).select(
+    return spread(load(spark, folder, "pages")).select("page_id", urls.alias("u")).select(
         "page_id", F.get("u", F.lit(0)).alias("canonical_url"), F.size("u").cast("bigint").alias("n_urls"),
         F.array_join(F.array_sort("u"), " ").alias("urls"))
 
@@ -261,7 +261,7 @@ def topic_recall(spark, folder):
                                    (-3, "具身智能与世界模型", False), (-4, "An LLM paper", True)],
                                   "doc_id bigint, text string, hit boolean")
     docs = load(spark, folder, "documents").select("doc_id", "text", (F.col("doc_id") % 7 == 0).alias("hit"))
-    return docs.unionByName(known).select(
+    return spread(docs).unionByName(known).select(
         "doc_id", F.array_join(text.topic_groups(F.col("text"), F.col("hit")), ",").alias("topic_groups"))
 
 

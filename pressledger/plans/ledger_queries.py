@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.times import in_daily_window
+from ..functions.times import cycle_id, display_date, in_daily_window
 from ..operators import cas
 from ..operators import ledger as ops
 from ..operators.windows import prior
@@ -39,15 +39,20 @@ def illegal_transitions(spark, folder):
     return ops.illegal_transitions(rows, KEYS, "seq", F.col("status") == "emitted", F.col("status") == "emitted")
 
 
-@query("overlap_claims", """with f as (select event_id as seq, user_id, epoch_us(ts) as start_us,
-  epoch_us(ts) + cast(floor(value * 3600000000) as bigint) as end_us from events)
-select *, coalesce(start_us < max(end_us) over (partition by user_id order by seq rows between unbounded preceding and 1 preceding), false) as overlaps from f""")
+@query("overlap_claims", """with f as (select event_id as seq, user_id, cast(ts + interval 8 hour as date) as day, epoch_us(ts) as start_us,
+  epoch_us(ts) + cast(floor(value * 3600000000) as bigint) as end_us from events),
+c as (select day, concat('daily-', strftime(day, '%Y-%m-%d')) as cycle_id from (select distinct day from f))
+select seq, user_id, cycle_id, start_us, end_us,
+  coalesce(start_us < max(end_us) over (partition by user_id order by seq rows between unbounded preceding and 1 preceding), false) as overlaps
+from f join c on f.day = c.day""")
 def overlap_claims(spark, folder):
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     claims = load(spark, folder, "events").select(
-        F.col("event_id").alias("seq"), "user_id", start.alias("start_us"),
+        F.col("event_id").alias("seq"), "user_id", display_date(F.col("ts")).alias("day"), start.alias("start_us"),
         (start + F.floor(F.col("value") * 3_600_000_000).cast("bigint")).alias("end_us"))
-    return ops.overlapping_claims(claims, ["user_id"], "seq", "start_us", "end_us")
+    cycles = claims.select("day").distinct().withColumn("cycle_id", cycle_id(F.col("day")))
+    flagged = ops.overlapping_claims(claims, ["user_id"], "seq", "start_us", "end_us")
+    return flagged.join(cycles, "day").select("seq", "user_id", "cycle_id", "start_us", "end_us", "overlaps")
 
 
 @query("event_upsert", f"""with {EVENT_LOG},

@@ -25,7 +25,7 @@ def nested_scan(spark, folder):
             F.lit("orders").alias("t"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("name"),
             F.col("o_totalprice").alias("amount"), F.col("o_custkey").alias("ref"))))
     record = F.struct("id", F.struct("name", "amount", "ref").alias("fields"))
-    packed = rows.groupBy((F.col("id") / 1000).cast("bigint").alias("chunk")).agg(
+    packed = rows.groupBy(F.expr("id div 1000").alias("chunk")).agg(
         F.collect_list(F.when(F.col("t") == "customer", record)).alias("customer"),
         F.collect_list(F.when(F.col("t") == "orders", record)).alias("orders"))
     envelope = F.to_json(F.struct(

@@ -12,6 +12,15 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For work that is heavy per row: use every core although the input has fewer splits than the cluster has cores.
+
+    An input with enough splits, so any large one, is left alone and costs no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def text_of(column: Column | str) -> Column:
     return F.col(column).cast("string") if isinstance(column, str) else column.cast("string")
 
