@@ -208,19 +208,16 @@ reach as (
   union
   select r.doc_id, b.doc_id from reach r join k a on a.doc_id = r.other join k b on a.key = b.key),
 comp as (select doc_id, min(other) as component from reach group by doc_id)
-select c.component, count(*) as records, max(c.doc_id) as last_record,
-       array_to_string(list_sort(list(distinct d.source)), ',') as source_identities
-from comp c join documents d on c.doc_id = d.doc_id group by c.component""")
+select c.component, d.source, count(*) as records, max(c.doc_id) as last_record
+from comp c join documents d on c.doc_id = d.doc_id group by c.component, d.source""")
 def identity_merge(spark, folder):
+    """One row per object and source identity, so an object never has to list its sources in one place."""
     docs = load(spark, folder, "documents")
     keys = docs.select("doc_id", F.explode(F.array(
         F.sha2(F.col("text").cast("binary"), 256), F.concat("source", F.lit("/"), text_of("n_chars")))).alias("key"))
     merged = identity_components(keys, "doc_id", "key").join(docs.select("doc_id", "source"), "doc_id")
-    # sources of a component are reduced to distinct values before they are listed
-    per_source = merged.groupBy("component", "source").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"))
-    return per_source.groupBy("component").agg(
-        F.sum("n").alias("records"), F.max("last").alias("last_record"),
-        F.array_join(F.array_sort(F.collect_list("source")), ",").alias("source_identities"))
+    return merged.groupBy("component", "source").agg(
+        F.count(F.lit(1)).alias("records"), F.max("doc_id").alias("last_record"))
 
 
 @query("category_recall", """with f as (
