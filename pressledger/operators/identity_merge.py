@@ -35,7 +35,7 @@ def identity_components(keys: DataFrame, record: str, key: str) -> DataFrame:
 
     Each key first contracts to a star around its smallest record, so a key held by a third of all records yields
     one edge per record. Alternating star steps (Kiveris et al., 2014) then need O(log^2 n) rounds; every
-    round is written to the checkpoint folder.
+    round is written to the shared folder.
     """
     pairs = keys.where(F.col(key).isNotNull()).select(F.col(record).alias("u"), F.col(key).alias("_key")).distinct()
     hubs = pairs.groupBy("_key").agg(F.min("u").alias("v"))

@@ -50,7 +50,7 @@ def prior(df: DataFrame, keys: Sequence[str], seq: str,
     ``seq`` must be a unique non-negative integer.
 
     The rows are shuffled by (key, block) only; the block totals are partial aggregates, one row per (key, block). ``df``
-    is read twice for this, so between steps the rows are written to the checkpoint folder rather than computed again.
+    is read twice for this, so between steps the rows are written to the shared folder rather than computed again.
     """
     keys = list(keys)
     steps = [values] if isinstance(values, Mapping) else list(values)
@@ -103,7 +103,7 @@ def _plain_sums(df: DataFrame, keys: list[str], order: Sequence[Column], sums: M
 
 def _sliced_sums(df: DataFrame, keys: list[str], order: Sequence[Column], sums: Mapping[str, Column],
                  slices: int) -> DataFrame:
-    # the slice number is only stable once written down, hence the checkpoint
+    # the slice number is only stable once written down, hence the pin
     cut = pinned(df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
                  .withColumn("_slice", F.spark_partition_id()))
     totals = cut.groupBy(*keys, "_slice").agg(

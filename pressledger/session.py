@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +45,11 @@ def pinned_folder(spark: SparkSession) -> str:
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so lost executors can re-read it."""
-    pinned_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to a Parquet table in the shared checkpoint folder and read it back.
+
+    This cuts lineage, survives lost executors, computes ``df`` once, and lets later readers prune columns and plan joins
+    by the real size.
+    """
+    path = f"{pinned_folder(df.sparkSession)}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +55,10 @@ def write_content_store(df: DataFrame, content: str, folder: str) -> None:
 
 
 def read_content_store(spark: SparkSession, folder: str) -> DataFrame | None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(folder) if fs.exists(path) and fs.exists(
-        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")) else None
+    """The store, or None while nothing has been written to it."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

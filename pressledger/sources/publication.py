@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scoring import category_ordinal
 from ..functions.text import strip
 from ..operators.fingerprints import sha256_text
+from .files import read_content_store
 
 
 def json_text(value: Column) -> Column:
@@ -96,10 +97,5 @@ def new_operations(batch: DataFrame, ledger: DataFrame | None, keys: list[str],
 def ledger_sink(folder: str, keys: list[str], order: str):
     """A ``foreachBatch`` writer: replayed batches and repeated operations append nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        new_operations(batch, _read_if_written(batch.sparkSession, folder), keys, order).write.mode("append").parquet(folder)
+        new_operations(batch, read_content_store(batch.sparkSession, folder), keys, order).write.mode("append").parquet(folder)
     return write
-
-
-def _read_if_written(spark: SparkSession, folder: str) -> DataFrame | None:
-    from .files import read_content_store
-    return read_content_store(spark, folder)

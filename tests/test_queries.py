@@ -25,6 +25,8 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, db, name):
     df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     wanted = db.sql(ORACLES[name])
     assert sorted(df.columns) == sorted(wanted.columns)
     assert normal([tuple(r) for r in df.collect()], df.columns) == normal(wanted.fetchall(), wanted.columns)
@@ -34,3 +36,15 @@ def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["cycle_id", "category", "candidate_id", "score", "group_rank", "emphasis"]
     assert df.count() > 0
+
+
+def test_top_k_is_pruned_before_the_shuffle(spark):
+    plan = QUERIES["quota_selection"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "ReadSchema" in plan
+
+
+def test_window_filter_reaches_the_scan(spark):
+    plan = QUERIES["daily_window"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "DataFilters: [isnotnull(ts" in plan
+    # only the columns asked for are read
+    assert "props" not in plan
