@@ -48,11 +48,12 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
     The first emitted row fixes the cycle the event has by then: later rows that are not emitted, or name another cycle,
     are rejected.
     """
-    parsed = F.try_parse_json(payload)
     present = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
     needed = list(dict.fromkeys([*fields, "status", "cycle_id"]))
-    unpacked = log.select(*keys, seq, present.alias("_present"), *[
-        F.try_variant_get(parsed, f"$.{f}", "string").alias(f"_{f}") for f in needed])
+    # a projection of its own keeps the payload from being parsed once per field
+    parsed = log.select(*keys, seq, present.alias("_present"), F.try_parse_json(payload).alias("_parsed"))
+    unpacked = parsed.select(*keys, seq, "_present", *[
+        F.try_variant_get("_parsed", f"$.{f}", "string").alias(f"_{f}") for f in needed])
     named = F.array_contains("_present", "cycle_id")
     emitted = F.col("_status") == "emitted"
     cycle = F.when(named, F.col("_cycle_id")).otherwise(F.col("_carried.v"))
@@ -61,7 +62,7 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
         {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}], block)
     regress = F.col("_fixed").isNotNull() & (
         ~F.coalesce(emitted, F.lit(False)) | ~F.col("_cycle_id").eqNullSafe(F.col("_fixed.cycle")))
-    judged = pinned(tagged.withColumn("_rejected", regress).drop("_carried", "_fixed"))
+    judged = tagged.withColumn("_rejected", regress)
     # value and sequence travel together, so a present null is kept as a value
     folded = [F.max(F.when(~F.col("_rejected") & F.array_contains("_present", f),
                            F.struct(F.col(seq), F.col(f"_{f}").alias("v")))).alias(f"_{f}_last") for f in fields]
