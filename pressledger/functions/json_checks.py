@@ -135,7 +135,8 @@ def reference_list(value: Column) -> Column:
     """
     empty = value.isNull() | value.isin("", '""', "null")
     refs = F.transform(F.regexp_extract_all(value, F.lit("[0-9]+"), 0), lambda r: r.try_cast("bigint"))
-    ok = empty | (value.rlike(REFERENCES) & ~value.rlike("[0-9]{19}"))
+    # ids are 64-bit integers, so a longer number is malformed
+    ok = empty | (value.rlike(REFERENCES) & ~(value.rlike("[0-9]{19}") & F.exists(refs, lambda r: r.isNull())))
     return F.struct(F.when(empty, F.array().cast("array<bigint>")).when(ok, refs).alias("refs"), (~ok).alias("malformed"))
 
 

@@ -117,9 +117,10 @@ def test_metadata_bounds(spark):
 
 
 def test_reference_lists(spark):
-    got = column(spark, ['["L",1,2]', '["L"]', "", None, "[1,2]", '["L",0]', '"text"', '["L","1"]', '{"a":1}'], json_checks.reference_list)
+    got = column(spark, ['["L",1,2]', '["L"]', "", None, "[1,2]", '["L",0]', '"text"', '["L","1"]', '{"a":1}', '["L",9223372036854775807]', '["L",9223372036854775808]'],
+                 json_checks.reference_list)
     assert [(g.refs, g.malformed) for g in got] == [
-        ([1, 2], False), ([], False), ([], False), ([], False), (None, True), (None, True), (None, True), (None, True), (None, True)]
+        ([1, 2], False), ([], False), ([], False), ([], False), *[(None, True)] * 5, ([9223372036854775807], False), (None, True)]
 
 
 def test_identities(spark):
