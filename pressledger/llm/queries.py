@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import quality_rules, token_counts, url_rules
+from .shingle_join import ShingleJoin
 from .tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +69,8 @@ select *, failure_bits & 3 <> 0 as base_failed, failure_bits = 0 as kept from bi
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, folder, "documents"))
     return rows.select("*", quality_rules.fails("base").alias("base_failed"), (~quality_rules.fails("corpus-1")).alias("kept"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return ShingleJoin(table(spark, folder, "documents"), width=3, num=90, den=100).components()
