@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, token_counts, url_rules
+from . import passage_model, personal_data, quality_rules, token_counts, url_rules, weighted_sampling
 from .shingle_join import ShingleJoin
 from .tables import table
 
@@ -74,3 +74,32 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_ngram_jaccard_join")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return ShingleJoin(table(spark, folder, "documents"), width=3, num=90, den=100).components()
+
+
+def held_out(key: str = "doc_id"):
+    """Rows that no label is learned from: the CRC-32 of the id as text leaves no remainder by 5."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
+
+
+#: documents that score less are predicted 0
+QUALITY_THRESHOLD = 0.3
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = passage_model.train(docs, table(spark, folder, "labels"), ~held_out())
+    return passage_model.scored(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op5_document_fingerprints")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return weighted_sampling.compared(table(spark, folder, "documents"))
+
+
+@query("op7_personal_data")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = personal_data.spans_of(docs, personal_data.train(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
