@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import passage_model, personal_data, quality_rules, token_counts, url_rules, weighted_sampling
+from . import licenses, passage_model, personal_data, quality_rules, sentence_pieces, token_counts, url_rules, weighted_sampling
+from .mixing import Mixture
 from .shingle_join import ShingleJoin
 from .tables import table
 
@@ -103,3 +104,23 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = personal_data.spans_of(docs, personal_data.train(docs))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op3_source_mixing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its place in a mixture whose weights flatten the sources' sizes."""
+    return Mixture(table(spark, folder, "documents"), temperature=0.7).placed()
+
+
+@query("op6_license_scan")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files below source, language and a folder for each thousand ids."""
+    docs = table(spark, folder, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+@query("op2_sentence_pieces")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sentence_pieces.encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "round_trip", "parity")
