@@ -122,16 +122,14 @@ class Mixture:
         return self._placed.select(self.key, self.source, "block", "slot", (F.col("slot") * BLOCK_ROWS + F.col("_in_block")).alias("position"))
 
     def slots(self) -> int:
-        """Slots up to the first that its source cannot fill with a whole block."""
+        """Slots up to the first whose source has no row left for it; a source's last block may be short."""
         if not self.quotas:
             return 0
-        first = {s: {} for s in self.quotas}
+        first: dict = {s: {} for s in self.quotas}
         for r in self.table.collect():
             first[r["_name"]][r["_index"]] = r["_slot"]
-        whole = {s: self.counts[s] // BLOCK_ROWS for s in self.quotas}
-        end = min(whole[s] // q * self.period + first[s][whole[s] % q] for s, q in self.quotas.items())
-        # sources too small for a single block leave no mixture of whole blocks: then nothing is left over
-        return end if end > 0 else max(-(-n // self.quotas[s]) * self.period for s, n in self.counts.items() if s in self.quotas)
+        blocks = {s: -(-self.counts[s] // BLOCK_ROWS) for s in self.quotas}
+        return min(blocks[s] // q * self.period + first[s][blocks[s] % q] for s, q in self.quotas.items())
 
     def kept(self) -> DataFrame:
         """The cut falls at one place of each source's order, so rows are kept by comparison with it and no text is shuffled."""
