@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .tables import pinned
-from .text_arrays import WordHasher, distinct, mix, ragged, shingle_sets, sums, text_slices
+from .text_arrays import WordHasher, distinct, distinct_at, mix, ragged, shingles, sums, text_slices, text_words
 
-#: counters of the frequency sketch (2 MB, whatever the corpus): a token's counter is named by its top bits
+#: counters of the frequency sketch of words (2 MB, whatever the corpus): a word's counter is named by its top bits
 COUNTER_BITS = 18
-#: bits of a set's parity map
-PARITY_BITS = 512
+#: bits of the smallest parity map; a set of n tokens has the next power of two over n / 2 bits
+PARITY_BITS = 256
 #: longest prefix, in tokens that must be shared
 MOST_MATCHES = 8
 #: cost of verifying a candidate against that of looking at one more entry of the index
@@ -30,13 +30,16 @@ VERIFY_COST = 4.0
 FLAG_BITS = 20
 
 
-def _sets(batch: pa.RecordBatch, width: int, hasher: WordHasher) -> Iterator[tuple]:
-    """(ids, sorted distinct shingles, sizes) of pieces of a batch of (doc_id, text)."""
+def _words(batch: pa.RecordBatch, hasher: WordHasher) -> Iterator[tuple]:
+    """(ids, hashes of words, words by text) of pieces of a batch of (doc_id, text), A-Z in lower case."""
     ids, lower = batch.column(0), np.arange(256, dtype=np.uint8)
     lower[ord("A"):ord("Z") + 1] += 32
     for first, last, data, offsets in text_slices(batch, "text"):
-        values, sizes = shingle_sets(lower[data], offsets, width, hasher)
-        yield ids.slice(first, last - first), values, sizes
+        yield ids.slice(first, last - first), *text_words(lower[data], offsets, hasher)
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
 def _frequencies(width: int):
@@ -44,8 +47,9 @@ def _frequencies(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counters = WordHasher(), np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
-            for ids, values, sizes in _sets(batch, width, hasher):
-                counters += np.bincount((values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(counters))
+            for ids, hashes, counts in _words(batch, hasher):
+                counters += np.bincount(_slot(hashes), minlength=len(counters))
+                values, sizes = distinct(*shingles(hashes, counts, width), len(counts))
                 bounds = np.r_[0, np.cumsum(sizes)]
                 # sums of two independent scramblings: equal sets have equal fingerprints, in any order
                 prints = [sums(mix(values ^ np.uint64(salt)).view(np.int64), bounds) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
@@ -61,9 +65,9 @@ def _frequencies(width: int):
 
 
 def excess(uses: np.ndarray) -> np.ndarray:
-    """Estimated occurrences of one token of each counter beyond what chance puts there: 0 for all but frequent tokens.
+    """Estimated occurrences of one word of each counter beyond what chance puts there: 0 for all but frequent words.
 
-    The usual load of a counter is the median; counters within six standard deviations hold rare tokens only.
+    The usual load of a counter is the median; counters within six standard deviations hold rare words only.
     """
     usual = float(np.median(uses))
     return np.where(uses > usual + 6 * np.sqrt(usual) + 1, uses - usual, 0).astype(np.float64)
@@ -86,41 +90,52 @@ def prefix_matches(frequent: np.ndarray, shortest: np.ndarray, longest: np.ndarr
     return best
 
 
-def parity_maps(values: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+def parity_maps(values: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     """One bit map per text; a bit is the parity of the tokens hashed to it. The bits in which two maps differ are at most the
-    tokens in which the sets differ."""
-    bits = (mix(values) >> np.uint64(55)).astype(np.int64)
-    counts = np.bincount(owner * PARITY_BITS + bits, minlength=texts * PARITY_BITS)
-    return np.packbits((counts & 1).astype(np.uint8).reshape(texts, PARITY_BITS), axis=1)
+    tokens in which the sets differ. Half of a map added to the other half is the map of half the size."""
+    width = np.maximum(PARITY_BITS, 1 << np.ceil(np.log2(np.maximum(sizes // 2, 1))).astype(np.int64))
+    begin = np.r_[0, np.cumsum(width)]
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = begin[owner] + (mix(values) & (width[owner] - 1).astype(np.uint64)).astype(np.int64)
+    bits = np.packbits((np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8))
+    return [bits[begin[i] // 8:begin[i + 1] // 8].tobytes() for i in range(len(sizes))]
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    """Bits in which two maps differ, the larger one folded to the size of the smaller."""
+    small, large = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(large) > len(small):
+        large = large[:len(large) // 2] ^ large[len(large) // 2:]
+    return int(np.bitwise_count(small ^ large).sum())
 
 
 def _prefixes(width: int, num: int, den: int, frequency: np.ndarray):
     """(doc_id, n, matches, short, tokens, parity) of every document that another set can resemble without equalling it."""
-    order = np.where(frequency > 0, np.minimum(np.log2(np.maximum(frequency, 1)).astype(np.int64) + 1, 62), 0)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            for ids, values, sizes in _sets(batch, width, hasher):
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                parity = parity_maps(values, owner, len(sizes))
-                slot = (values >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
-                # values are sorted within a text; the lower bits decide there, as the upper ones name the counter
-                rank = np.argsort(owner * 64 + order[slot], kind="stable")
-                values, slot = values[rank], slot[rank]
+            for ids, hashes, counts in _words(batch, hasher):
+                # a run of words is at most as frequent as its rarest word
+                values, owner, uses = shingles(hashes, counts, width, frequency[_slot(hashes)])
+                at, sizes = distinct_at(values, owner, len(counts))
+                values, owner, uses = values[at], owner[at], uses[at]
+                parity = parity_maps(values, sizes)
+                # frequent tokens last; values are sorted within a text, which decides among equals
+                rank = np.argsort(owner * 64 + np.where(uses > 0, np.log2(np.maximum(uses, 1)).astype(np.int64) + 1, 0), kind="stable")
+                values, uses = values[rank], uses[rank]
                 least = -(-sizes * num // den)  # the overlap that any partner must reach
                 # a set of n tokens resembles another than itself only if n - 1 of n, or n of n + 1, are enough
                 able = (sizes > 0) & ((sizes - 1) * den >= num * sizes) | (sizes * den >= num * (sizes + 1)) & (sizes > 0)
                 short = np.where(able, sizes - least + 1, 0)
                 first = np.cumsum(sizes) - sizes
-                matches = prefix_matches(frequency[slot], short, np.where(able, least, 1), first)
+                matches = prefix_matches(uses, short, np.where(able, least, 1), first)
                 length = np.where(able, short + matches - 1, 0)
                 within = np.arange(len(values)) - np.repeat(first, sizes)
                 tokens = values[within < np.repeat(length, sizes)]
                 keep = pa.array(able)
                 yield pa.RecordBatch.from_arrays([
                     ids, pa.array(sizes, pa.int64()), pa.array(matches, pa.int32()), pa.array(short, pa.int32()),
-                    ragged(tokens, length, pa.int64()), pa.array([p.tobytes() for p in parity], pa.binary())],
+                    ragged(tokens, length, pa.int64()), pa.array(parity, pa.binary())],
                     ["doc_id", "n", "matches", "short", "tokens", "parity"]).filter(keep)
     return run
 
@@ -134,26 +149,32 @@ def _flagged_sets(width: int, flags: np.ndarray):
             chosen = batch.filter(pa.array(flags[slots]))
             if not chosen.num_rows:
                 continue
-            for ids, values, sizes in _sets(chosen, width, hasher):
+            for ids, hashes, counts in _words(chosen, hasher):
+                values, sizes = distinct(*shingles(hashes, counts, width), len(counts))
                 bounds = np.r_[0, np.cumsum(sizes)]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(
                     [values[bounds[i]:bounds[i + 1]].tobytes() for i in range(len(sizes))], pa.binary())], ["doc_id", "shingles"])
     return run
 
 
+def _parity_allows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keeps pairs whose parity maps differ in no more bits than their sets may in tokens (``most``)."""
+    for batch in batches:
+        most, left, right = (batch.column(c).to_pylist() for c in ("most", "parity_a", "parity_b"))
+        keep = [parity_distance(a, b) <= m for m, a, b in zip(most, left, right, strict=True)]
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "n", "m"])
+
+
 def _multi_match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps pairs that share as many prefix tokens as the less demanding of the two asks for, where both prefixes are that long, and whose
-    parity maps allow the overlap. In: a, b, n, m, most (tokens they may differ in), and both sides' matches, short, tokens, parity."""
+    """Keeps pairs that share as many prefix tokens as the less demanding of the two asks for, where both prefixes are that long."""
     for batch in batches:
-        rows = {name: batch.column(name).to_pylist() for name in ("most", "matches_a", "matches_b", "short_a", "short_b")}
-        sides = [(batch.column(f"tokens_{s}"), batch.column(f"parity_{s}")) for s in "ab"]
+        rows = {name: batch.column(name).to_pylist() for name in ("matches_a", "matches_b", "short_a", "short_b")}
+        tokens = [batch.column(f"tokens_{side}") for side in "ab"]
         keep = []
         for i in range(batch.num_rows):
-            (ta, pa_), (tb, pb) = ((t[i].values.to_numpy().view(np.uint64), np.frombuffer(p[i].as_py(), np.uint8)) for t, p in sides)
             need = min(rows["matches_a"][i], rows["matches_b"][i])
-            ta, tb = ta[:rows["short_a"][i] + need - 1], tb[:rows["short_b"][i] + need - 1]
-            differ = int(np.bitwise_count(pa_ ^ pb).sum())
-            keep.append(differ <= rows["most"][i] and len(np.intersect1d(ta, tb, assume_unique=True)) >= need)
+            a, b = (t[i].values.to_numpy()[:rows[short][i] + need - 1] for t, short in zip(tokens, ("short_a", "short_b"), strict=True))
+            keep.append(len(np.intersect1d(a, b, assume_unique=True)) >= need)
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b", "n", "m"])
 
 
@@ -236,11 +257,16 @@ class ShingleJoin:
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """Distinct (a, b) pairs that are links, with both sizes and the overlap."""
         num, den = self.num, self.den
-        side = lambda s, size: self.prefixes.select(
-            F.col("doc_id").alias(s), F.col("n").alias(size), *[F.col(c).alias(f"{c}_{s}") for c in ("matches", "short", "tokens", "parity")])
-        met = (pairs.join(side("a", "n"), "a").join(side("b", "m"), "b")
-               .withColumn("most", F.floor((F.col("n") + F.col("m")) * (den - num) / F.lit(den + num)).cast("long")))
-        likely = pinned(met.mapInArrow(_multi_match, "a long, b long, n long, m long"))
+        map_of = lambda s, size: self.prefixes.select(
+            F.col("doc_id").alias(s), F.col("n").alias(size), F.col("parity").alias(f"parity_{s}"))
+        prefix_of = lambda s: self.prefixes.select(
+            F.col("doc_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("matches", "short", "tokens")])
+        columns = "a long, b long, n long, m long"
+        # the small maps go first, so that prefixes travel for few pairs
+        close = pinned(pairs.join(map_of("a", "n"), "a").join(map_of("b", "m"), "b")
+                       .withColumn("most", F.floor((F.col("n") + F.col("m")) * (den - num) / F.lit(den + num)).cast("long"))
+                       .mapInArrow(_parity_allows, columns))
+        likely = pinned(close.join(prefix_of("a"), "a").join(prefix_of("b"), "b").mapInArrow(_multi_match, columns))
         wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FLAG_BITS)).cast("int")
         flags = np.zeros(1 << FLAG_BITS, bool)

@@ -88,38 +88,45 @@ class WordHasher:
         return mix((total[ends] - total[starts]) * self.down[starts] if len(data) else np.zeros(0, np.uint64))
 
 
-def shingles(hashes: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(hashes: np.ndarray, counts: np.ndarray, width: int, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Hash of every run of ``width`` words inside a text, and its text's index. A text of fewer words is one shingle of
-    all its words; a text without words has none."""
+    all its words; a text without words has none. For each array of ``values`` of words, the smallest in each run follows."""
     first = np.cumsum(counts) - counts
     owner = np.repeat(np.arange(len(counts)), counts)
-    whole = mix(hashes + np.uint64(width))
+    whole, smallest = mix(hashes + np.uint64(width)), [v.copy() for v in values]
     left = (first + counts)[owner] - np.arange(len(hashes))  # words from here to the end of the text
     for k in range(1, width):
         following = np.zeros_like(hashes)
         following[:max(len(hashes) - k, 0)] = hashes[k:]
         # the hash stops at the text's end, so that a short text is hashed with its number of words
         whole = np.where(left > k, mix(whole * np.uint64(3) + following), whole)
+        for own, v in zip(smallest, values, strict=True):
+            own[:len(v) - k] = np.where(left[:len(v) - k] > k, np.minimum(own[:len(v) - k], v[k:]), own[:len(v) - k])
     short = counts < width
     keep = np.where(short[owner], np.arange(len(hashes)) == first[owner], left >= width)
-    return whole[keep], owner[keep]
+    return whole[keep], owner[keep], *[own[keep] for own in smallest]
 
 
-def distinct(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values of each text, one text after the other, and the number of them by text."""
+def distinct_at(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the sorted distinct values of each text, one text after the other, and the number of them by text."""
     order = np.argsort(values)
     order = order[np.argsort(owner[order].astype(np.uint16 if texts < 65536 else np.int64), kind="stable")]
     values, owner = values[order], owner[order]
     new = np.ones(len(values), bool)
     new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    return values[new], np.bincount(owner[new], minlength=texts)
+    return order[new], np.bincount(owner[new], minlength=texts)
+
+
+def distinct(values: np.ndarray, owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of each text, one text after the other, and the number of them by text."""
+    at, sizes = distinct_at(values, owner, texts)
+    return values[at], sizes
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+def text_words(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, and the number of words by text."""
     starts, ends = word_bounds(data, offsets)
-    counts = np.diff(np.searchsorted(starts, offsets))
-    values, owner = shingles(hasher(data, starts, ends), counts, width)
-    return distinct(values, owner, len(counts))
+    return hasher(data, starts, ends), np.diff(np.searchsorted(starts, offsets))
 
 
 def ragged(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.Array:
