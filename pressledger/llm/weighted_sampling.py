@@ -20,8 +20,11 @@ from .text_arrays import WordHasher, mix, shingles, text_slices, word_bounds
 SAMPLES, WORDS = 128, 3
 #: bits of a term's hash that name its draws in each sample; equal draws are told apart by further bits of the hash
 POOL_BITS = 14
-DIGITS = 4
-EMPTY = "0" * DIGITS * SAMPLES
+#: a fingerprint keeps eight bits of each sample: two hex digits
+KEPT = 256
+EMPTY = "00" * SAMPLES
+#: effort of the compression under which texts are shuffled
+LEVEL = 6
 
 
 def pool() -> dict[str, np.ndarray]:
@@ -43,11 +46,11 @@ def weights(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def samples(terms: np.ndarray, counts: np.ndarray, first: np.ndarray, draws: dict) -> np.ndarray:
-    """One row of SAMPLES 16-bit numbers for each text; ``first`` is where each text's terms begin, none may be empty.
+    """One row of SAMPLES bytes for each text; ``first`` is where each text's terms begin, none may be empty.
 
     A float above zero is ordered like its bits, so value and term are compared as one 64-bit number.
     """
-    out = np.empty((len(first), SAMPLES), np.uint16)
+    out = np.empty((len(first), SAMPLES), np.uint8)
     many = np.flatnonzero(counts > 1)
     log = np.log(counts[many])
     low = np.uint64(0xFFFFFFFF)
@@ -64,7 +67,7 @@ def samples(terms: np.ndarray, counts: np.ndarray, first: np.ndarray, draws: dic
             # t is part of the sample: for t = 0 the name stays as it is for weight 1
             both[many] = value << np.uint64(32) | (name[many] ^ (mix(t.astype(np.int64).view(np.uint64)) & low) * (t != 0))
         least = np.minimum.reduceat(both, first) & low
-        out[:, k] = (least ^ (least >> np.uint64(16))) & np.uint64(0xFFFF)
+        out[:, k] = mix(least) & np.uint64(KEPT - 1)
     return out
 
 
@@ -76,7 +79,7 @@ class Fingerprinter:
         self.hasher, self.draws = WordHasher(), pool()
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), SAMPLES), np.uint16)
+        out = np.zeros((len(texts), SAMPLES), np.uint8)
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
         for start, _, data, offsets in text_slices(batch, "text"):
             begins, ends = word_bounds(data, offsets)
@@ -93,14 +96,14 @@ class Fingerprinter:
 
 
 def hexed(prints: np.ndarray) -> list[str]:
-    return [row.astype(">u2").tobytes().hex() for row in prints]
+    return [row.tobytes().hex() for row in prints]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated generalised Jaccard similarity: the share of equal samples without what chance makes equal. An empty text is like
     another empty one only."""
     same = (a == b).mean(1)
-    chance = 1 / (1 << 16)
+    chance = 1 / KEPT
     value = np.clip((same - chance) / (1 - chance), 0, 1)
     empty = (a == 0).all(1), (b == 0).all(1)
     return np.where(empty[0] | empty[1], (empty[0] & empty[1]).astype(float), value)
@@ -122,37 +125,54 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - size] + following[:size]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, body): texts as they are shuffled, compressed; null stays null."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=LEVEL).compress
+        for batch in batches:
+            bodies = [press((t or "").encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], ["doc_id", "body"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, body binary")
+
+
 def with_successors(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) dealt so that each row and the one after it by doc_id stand in one partition.
+    """(range, extra, doc_id, body): ``docs`` dealt so that each row and the one after it by doc_id stand in one partition, in order.
 
     Rows go to ranges of doc_id, and the first row of a range goes to the range before as well (``extra``), so the text is
     shuffled once. Ranges are cut at quantiles, eight for each shuffle partition; the range of a row is found by binary search. Rows without
-    doc_id come first; rows that repeat one are ordered by their text. The row after the last is the first.
+    doc_id come first; rows that repeat one are ordered by a hash of their text. The row after the last is the first.
     """
     from pyspark.ml.feature import Bucketizer
 
     spark = docs.sparkSession
-    ranges = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = 8 * partitions
     ids = docs.select(F.col("doc_id").cast("double").alias("_place"))
     cuts = sorted(set(ids.approxQuantile("_place", [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
-    placed = docs.withColumn("_place", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-    ranged = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_place", outputCol="range").transform(placed).drop("_place")
-    slim = ranged.select("range", "doc_id") if not _repeats(docs) else ranged.select("range", "doc_id", F.xxhash64("text").alias("mark"))
-    slim = slim if "mark" in slim.columns else slim.withColumn("mark", F.lit(None).cast("long"))
+    buckets = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_place", outputCol="range") if cuts else None
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        if buckets is None:
+            return rows.withColumn("range", F.lit(0.0))
+        return buckets.transform(rows.withColumn("_place", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))).drop("_place")
+
+    # where no doc_id repeats, which is usual, the text need not tell rows apart and is not read for it
+    mark = F.xxhash64(F.coalesce("text", F.lit(""))) if _repeats(docs) else F.lit(0).cast("long")
+    marked = ranged(docs.select("doc_id", mark.alias("mark")))
     # one row for each range, of which there are at most eight for each shuffle partition
-    firsts = [r for r in slim.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark")).alias("f"))
-              .orderBy("range").collect()]
-    kind = docs.schema["doc_id"].dataType
-    if not firsts:
-        return ranged.withColumn("extra", F.lit(False)).select("range", "extra", "doc_id", "text")
+    firsts = marked.groupBy("range").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "mark")).alias("f")).orderBy("range").collect()
     before = [(firsts[i - 1]["range"], r["f"]["doc_id"], r["f"]["mark"]) for i, r in enumerate(firsts)]
-    wanted = spark.createDataFrame(before, f"target double, first {kind.simpleString()}, first_mark long")
-    extra = (ranged.join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("first"))
-                         & (F.col("first_mark").isNull() | F.xxhash64("text").eqNullSafe(F.col("first_mark"))))
-             .select(F.col("target").alias("range"), F.lit(True).alias("extra"), "doc_id", "text").dropDuplicates(["range"]))
-    dealt = ranged.select("range", F.lit(False).alias("extra"), "doc_id", "text").unionByName(extra)
-    return (dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "range")
-            .sortWithinPartitions("range", "extra", F.asc_nulls_first("doc_id"), F.xxhash64("text")))
+    wanted = spark.createDataFrame(before, f"target double, first {docs.schema['doc_id'].dataType.simpleString()}, first_mark long")
+    extra = (docs.select("doc_id", "text", mark.alias("mark")).join(F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("mark") == F.col("first_mark")))
+             .dropDuplicates(["target"]))
+    bodies = packed(extra.select(F.struct("doc_id", "target", "mark").alias("doc_id"), "text"))
+    dealt = ranged(packed(docs.select(F.struct("doc_id", mark.alias("mark")).alias("doc_id"), "text"))
+                   .select("doc_id.doc_id", "doc_id.mark", "body")).select("range", F.lit(False).alias("extra"), "doc_id", "mark", "body")
+    dealt = dealt.unionByName(bodies.select(F.col("doc_id.target").alias("range"), F.lit(True).alias("extra"), "doc_id.doc_id", "doc_id.mark", "body"))
+    return dealt.repartition(partitions, "range").sortWithinPartitions("range", "extra", F.asc_nulls_first("doc_id"), "mark").drop("mark")
 
 
 def _repeats(docs: DataFrame) -> bool:
@@ -170,10 +190,13 @@ def compared(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, carried, carried_print = Fingerprinter(), [], np.zeros((0, SAMPLES), np.uint16)
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        of, carried, carried_print = Fingerprinter(), [], np.zeros((0, SAMPLES), np.uint8)
         for batch in batches:
-            rows = carried + list(zip(*(batch.column(c).to_pylist() for c in ("range", "extra", "doc_id", "text")), strict=True))
-            texts = [r[3] or "" for r in rows]
+            rows = carried + list(zip(*(batch.column(c).to_pylist() for c in ("range", "extra", "doc_id", "body")), strict=True))
+            texts = [unpack(r[3]).decode() for r in rows]
             prints = np.vstack([carried_print, of(texts[len(carried):])])
             # the last row of a range is the extra one, which has no result of its own
             at = [i for i in range(len(rows) - 1) if not rows[i][1]]
