@@ -61,7 +61,7 @@ def encoded(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[
     spread = np.sqrt(np.maximum(sums(widths * widths, bounds) / n - mean * mean, 0))
     owner = np.repeat(np.arange(len(text)), high - low)
     _, different = distinct(hashes, owner, len(text))
-    # words in runs of three that the whole text repeats
+    # words that begin a run of three which the whole text repeats
     runs, of = shingles(hashes, words, 3)
     order = np.lexsort((runs, of))
     same = np.zeros(len(runs) + 1, bool)
@@ -70,7 +70,7 @@ def encoded(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[
     at = first_word[of] + np.arange(len(of)) - np.searchsorted(of, of)
     twice[at[order]] = same[1:] | same[:-1]
     rows = np.column_stack([
-        np.log1p(high - low) / 5, np.where(high > low, mean, 0) / 10, spread / 10, 1 - different / n, sums(twice[:len(starts)], bounds) / n])
+        np.log1p(high - low) / 5, np.where(high > low, mean, 0) / 10, spread / 10, np.where(high > low, 1 - different / n, 0), sums(twice[:len(starts)], bounds) / n])
     return np.hstack([kinds / size, rows]).astype(np.float32), count
 
 
