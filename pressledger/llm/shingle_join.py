@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .tables import pinned
-from .text_arrays import WordHasher, distinct, distinct_at, mix, ragged, shingles, sums, text_slices, text_words
+from .text_arrays import WordHasher, distinct, mix, ragged, shingles, sums, text_slices, text_words
 
-#: counters of the frequency sketch of words (2 MB, whatever the corpus): a word's counter is named by its top bits
+#: counters of the frequency sketch (2 MB, whatever the corpus): a token's counter is named by its top bits
 COUNTER_BITS = 18
 #: bits of the smallest parity map; a set of n tokens has the next power of two over n / 2 bits
 PARITY_BITS = 256
@@ -48,8 +48,8 @@ def _frequencies(width: int):
         hasher, counters = WordHasher(), np.zeros(1 << COUNTER_BITS, np.int64)
         for batch in batches:
             for ids, hashes, counts in _words(batch, hasher):
-                counters += np.bincount(_slot(hashes), minlength=len(counters))
                 values, sizes = distinct(*shingles(hashes, counts, width), len(counts))
+                counters += np.bincount(_slot(values), minlength=len(counters))
                 bounds = np.r_[0, np.cumsum(sizes)]
                 # sums of two independent scramblings: equal sets have equal fingerprints, in any order
                 prints = [sums(mix(values ^ np.uint64(salt)).view(np.int64), bounds) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
@@ -65,9 +65,9 @@ def _frequencies(width: int):
 
 
 def excess(uses: np.ndarray) -> np.ndarray:
-    """Estimated occurrences of one word of each counter beyond what chance puts there: 0 for all but frequent words.
+    """Estimated texts with one token of each counter beyond what chance puts there: 0 for all but frequent tokens.
 
-    The usual load of a counter is the median; counters within six standard deviations hold rare words only.
+    The usual load of a counter is the median; counters within six standard deviations hold rare tokens only.
     """
     usual = float(np.median(uses))
     return np.where(uses > usual + 6 * np.sqrt(usual) + 1, uses - usual, 0).astype(np.float64)
@@ -115,12 +115,10 @@ def _prefixes(width: int, num: int, den: int, frequency: np.ndarray):
         hasher = WordHasher()
         for batch in batches:
             for ids, hashes, counts in _words(batch, hasher):
-                # a run of words is at most as frequent as its rarest word
-                values, owner, uses = shingles(hashes, counts, width, frequency[_slot(hashes)])
-                at, sizes = distinct_at(values, owner, len(counts))
-                values, owner, uses = values[at], owner[at], uses[at]
+                values, sizes = distinct(*shingles(hashes, counts, width), len(counts))
+                owner, uses = np.repeat(np.arange(len(sizes)), sizes), frequency[_slot(values)]
                 parity = parity_maps(values, sizes)
-                # frequent tokens last; values are sorted within a text, which decides among equals
+                # frequent tokens last; values are sorted within a text, and their lower bits decide among equals
                 rank = np.argsort(owner * 64 + np.where(uses > 0, np.log2(np.maximum(uses, 1)).astype(np.int64) + 1, 0), kind="stable")
                 values, uses = values[rank], uses[rank]
                 least = -(-sizes * num // den)  # the overlap that any partner must reach
