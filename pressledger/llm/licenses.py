@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import pinned
+from .tables import pinned, released
 from .text_arrays import WordHasher, distinct, text_slices, word_bounds
 
 #: license -> notices that name it, in plain words
@@ -102,7 +102,7 @@ def _document_frequencies(terms: np.ndarray):
 
 def inverse_frequencies(docs: DataFrame, words: dict) -> np.ndarray:
     """Smoothed inverse document frequency of the templates' words over all of ``docs``; the last one is that of unseen words."""
-    rows = (docs.select("text").mapInArrow(_document_frequencies(words["terms"]), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect())
+    rows = (docs.select("text").mapInArrow(released(_document_frequencies(words["terms"])), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect())
     n = {r["term"]: r["n"] for r in rows}
     total = n.get(-1, 0)
     seen = np.array([*[n.get(i, 0) for i in range(len(words["terms"]))], 0], float)
@@ -186,7 +186,7 @@ def scan(files: DataFrame) -> DataFrame:
     idf = inverse_frequencies(files, words)
     kind = files.schema["doc_id"].dataType.simpleString()
     found = pinned(files.select("doc_id", "path", "text").mapInArrow(
-        _scan(words, idf), f"doc_id {kind}, path string, own string, cosine double, is_file boolean"))
+        released(_scan(words, idf)), f"doc_id {kind}, path string, own string, cosine double, is_file boolean"))
     parent = F.expr("if(instr(path, '/') > 0, substring_index(path, '/', size(split(path, '/')) - 1), '')")
     directories = (found.where("is_file and path is not null").groupBy(parent.alias("licence_path"), "own").agg(F.count(F.lit(1)).alias("n"))
                    .groupBy("licence_path").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("own"))).alias("pick"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import released
 from .text_arrays import WordHasher, distinct, shingles, sums, text_slices, word_bounds
 
 #: words of a passage; a text has at most PASSAGES passages, so those of long texts are longer and cover it whole
@@ -149,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, usable=None) -> dict:
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS))
     kind = docs.schema["doc_id"].dataType.simpleString()
     bags = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-            .mapInArrow(_encode, f"doc_id {kind}, label int, passages binary").toPandas())
+            .mapInArrow(released(_encode), f"doc_id {kind}, label int, passages binary").toPandas())
     if not len(bags):
         return fit(np.zeros((0, FEATURES)), np.zeros(0, np.int64), np.zeros(0))
     bags = bags.sort_values(["doc_id", "passages"])
@@ -173,7 +174,7 @@ def scored(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "text"
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score(batch, text, hasher), pa.float64())], [key, "score"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, score double")
+    return docs.select(key, text).mapInArrow(released(run), f"{key} {docs.schema[key].dataType.simpleString()}, score double")
 
 
 def accepted(docs: DataFrame, model: dict, threshold: float, text: str = "text") -> DataFrame:
@@ -185,4 +186,4 @@ def accepted(docs: DataFrame, model: dict, threshold: float, text: str = "text")
         for batch in batches:
             yield batch.filter(pa.array(score(batch, text, hasher) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import released
 from .text_arrays import text_slices
 
 #: in the order of equal starts
@@ -201,7 +202,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, text: str = "text") -> dict:
     """The trees, fitted on at most FIT_CANDIDATES candidates of all documents. Proposals that overlap a fixed-format span are no
     evidence either way."""
-    rows = (docs.select(F.col(text).alias("text")).mapInArrow(_candidates, "place binary, label int, features array<double>")
+    rows = (docs.select(F.col(text).alias("text")).mapInArrow(released(_candidates), "place binary, label int, features array<double>")
             .orderBy("place", "label", "features").limit(FIT_CANDIDATES).toPandas())
     x = np.array(rows["features"].tolist(), float).reshape(len(rows), FEATURES)
     return fit_trees(x, rows["label"].to_numpy(dtype=float))
@@ -248,7 +249,7 @@ def spans_of(docs: DataFrame, model: dict, key: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, numbers), pa.array(base), pa.array(every)], [key, *counts, "base", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, {', '.join(f'{c} long' for c in counts)}, base string, spans string")
+    return docs.select(key, text).mapInArrow(released(run), f"{key} {kind}, {', '.join(f'{c} long' for c in counts)}, base string, spans string")
 
 
 def redacted(docs: DataFrame, model: dict, text: str = "text", size: str = "n_chars") -> DataFrame:
@@ -281,4 +282,4 @@ def redacted(docs: DataFrame, model: dict, text: str = "text", size: str = "n_ch
                     batch = batch.set_column(at, batch.schema.field(at), pa.array(lengths, batch.schema.field(at).type))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

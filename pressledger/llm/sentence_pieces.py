@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .tables import released
+
 MARKER = "▁"
 #: fixed values of the model format: kinds of pieces and of models
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -64,6 +66,7 @@ def parsed(model: bytes) -> dict:
     out["unknown"] = next((i for i, p in enumerate(out["pieces"]) if p[2] == UNKNOWN), 0)
     if out["kind"] not in (UNIGRAM, BPE) or out["suffix"] or not out["escape"] or any(p[2] == USER_DEFINED for p in out["pieces"]):
         raise ValueError("only unigram and BPE models without user-defined pieces, with escaped prefix white space, are rebuilt")
+    out["merges"] = merges(out) if out["kind"] == BPE else []
     return out
 
 
@@ -77,12 +80,12 @@ def merges(spec: dict) -> list[tuple[str, str]]:
 
 
 def rebuilt(spec: dict):
-    """(normaliser, tokenizer): the tokenizer takes normalised text and decodes."""
+    """(normaliser, tokenizer) of what ``parsed`` gives; the tokenizer takes normalised text and decodes."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     names = [p for p, _, _ in spec["pieces"]]
     if spec["kind"] == BPE:
-        model = models.BPE(vocab={p: i for i, p in enumerate(names)}, merges=merges(spec), unk_token=names[spec["unknown"]], fuse_unk=True, byte_fallback=spec["bytes"])
+        model = models.BPE(vocab={p: i for i, p in enumerate(names)}, merges=spec["merges"], unk_token=names[spec["unknown"]], fuse_unk=True, byte_fallback=spec["bytes"])
     else:
         model = models.Unigram([(p, s) for p, s, _ in spec["pieces"]], spec["unknown"], spec["bytes"])
     tokenizer = Tokenizer(model)
@@ -101,8 +104,7 @@ class Codec:
     """Encodes and decodes whole texts with one model. Where no piece has the marker behind another character, pieces never cross into
     a new word: then texts are cut there and each different chunk is encoded once."""
 
-    def __init__(self, model: bytes) -> None:
-        spec = parsed(model)
+    def __init__(self, spec: dict) -> None:
         self.normaliser, self.tokenizer = rebuilt(spec)
         inner = any(MARKER in p.lstrip(MARKER) for p, _, kind in spec["pieces"] if kind == NORMAL)
         self.chunks = None if inner else re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+").findall
@@ -139,12 +141,12 @@ def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     """
     with open(path, "rb") as file:
         model = file.read()
-    parsed(model)
+    spec = parsed(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import sentencepiece
 
-        codec = Codec(model)
+        codec = Codec(spec)
         other = sentencepiece.SentencePieceProcessor(model_proto=model) if verify else None
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -163,17 +165,17 @@ def encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
                     pa.array(same, pa.bool_()) if same is not None else pa.nulls(hi - lo, pa.bool_())], [key, "ids", "n_tokens", "round_trip", "parity"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind}, ids array<int>, n_tokens long, round_trip boolean, parity boolean")
+    return docs.select(key, text).mapInArrow(released(run), f"{key} {kind}, ids array<int>, n_tokens long, round_trip boolean, parity boolean")
 
 
 def decoded(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text) of every row of ids; null ids give an empty text."""
     with open(path, "rb") as file:
-        model = file.read()
+        spec = parsed(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(model)
+        codec = Codec(spec)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codec.decode([i or [] for i in batch.column(1).to_pylist()]), pa.string())], [key, "text"])
 
-    return rows.select(key, ids).mapInArrow(run, f"{key} {rows.schema[key].dataType.simpleString()}, text string")
+    return rows.select(key, ids).mapInArrow(released(run), f"{key} {rows.schema[key].dataType.simpleString()}, text string")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import pinned
+from .tables import pinned, released
 from .text_arrays import WordHasher, distinct, mix, ragged, shingles, sums, text_slices, text_words
 
 #: counters of the frequency sketch (2 MB, whatever the corpus): a token's counter is named by its top bits
@@ -212,7 +212,7 @@ class ShingleJoin:
         kind = docs.schema["doc_id"].dataType.simpleString()
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         self.kind = kind
-        first = pinned(self.docs.mapInArrow(_frequencies(width), "doc_id long, n long, fa long, fb long, slot long, uses long"))
+        first = pinned(self.docs.mapInArrow(released(_frequencies(width)), "doc_id long, n long, fa long, fb long, slot long, uses long"))
         self.rows = first.where(F.col("slot").isNull()).select("doc_id", "n", "fa", "fb")
         self.classes = (self.rows.where("n > 0 and doc_id is not null").groupBy("n", "fa", "fb")
                         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
@@ -221,7 +221,7 @@ class ShingleJoin:
         sketch = first.where(F.col("slot").isNotNull()).groupBy("slot").agg(F.sum("uses").alias("uses")).toPandas()
         uses[sketch["slot"].to_numpy()] = sketch["uses"].to_numpy()
         prefixes = self.docs.where("doc_id is not null").mapInArrow(
-            _prefixes(width, num, den, excess(uses)), "doc_id long, n long, matches int, short int, tokens array<long>, parity binary")
+            released(_prefixes(width, num, den, excess(uses))), "doc_id long, n long, matches int, short int, tokens array<long>, parity binary")
         self.prefixes = pinned(prefixes.join(self.classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
         self._links: DataFrame | None = None
 
@@ -263,18 +263,18 @@ class ShingleJoin:
         # the small maps go first, so that prefixes travel for few pairs
         close = pinned(pairs.join(map_of("a", "n"), "a").join(map_of("b", "m"), "b")
                        .withColumn("most", F.floor((F.col("n") + F.col("m")) * (den - num) / F.lit(den + num)).cast("long"))
-                       .mapInArrow(_parity_allows, columns))
-        likely = pinned(close.join(prefix_of("a"), "a").join(prefix_of("b"), "b").mapInArrow(_multi_match, columns))
+                       .mapInArrow(released(_parity_allows), columns))
+        likely = pinned(close.join(prefix_of("a"), "a").join(prefix_of("b"), "b").mapInArrow(released(_multi_match), columns))
         wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FLAG_BITS)).cast("int")
         flags = np.zeros(1 << FLAG_BITS, bool)
         flags[wanted.select(slot.alias("slot")).distinct().toPandas()["slot"].to_numpy(dtype=np.int64)] = True
         sets = pinned(self.docs.where("doc_id is not null").select("doc_id", "text", slot.alias("slot"))
-                      .mapInArrow(_flagged_sets(self.width, flags), "doc_id long, shingles binary")
+                      .mapInArrow(released(_flagged_sets(self.width, flags)), "doc_id long, shingles binary")
                       .join(wanted, "doc_id", "left_semi").distinct())
         return (likely.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a")
                 .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
-                .mapInArrow(_verify(num, den), "a long, b long, n long, m long, shared long"))
+                .mapInArrow(released(_verify(num, den)), "a long, b long, n long, m long, shared long"))
 
     def links(self) -> DataFrame:
         """First every token's entries meet the smallest document among them, which joins a group of near copies through few

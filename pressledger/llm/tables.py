@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pressledger.session import pinned, prepare
@@ -17,8 +20,28 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for ``mapInArrow``; when its task ends, the worker gives its freed memory back to the machine. Workers serve task after
+    task, and what they have once held would otherwise count against the executor for good."""
+    def own(batches: Batches) -> Batches:
+        import ctypes
+
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+
+    return own
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-__all__ = ["pinned", "ready", "table"]
+__all__ = ["pinned", "ready", "released", "table"]

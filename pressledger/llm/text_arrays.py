@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: bytes of text that are laid out in arrays at a time; one longer text is taken alone
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: odd base of the polynomial over the bytes of a word, and its inverse modulo 2**64
 BASE = 0xD6E8FEB86659FD93

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import released
+
 #: pre-tokens whose counts a task remembers; the memory is emptied when full, which costs time and changes no count
 REMEMBERED = 400_000
 #: bytes of pre-tokens merged at a time
@@ -135,4 +137,4 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(counts, pa.int64())], [key, "n_bytes", "n_tokens"])
 
     own = docs.select(F.col(key), F.col(text).alias("_text"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("_bytes"))
-    return own.mapInArrow(run, schema)
+    return own.mapInArrow(released(run), schema)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import released
 from .text_arrays import WordHasher, mix, shingles, text_slices, word_bounds
 
 SAMPLES, WORDS = 128, 3
@@ -116,7 +117,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hexed(of([t or "" for t in batch.column(1).to_pylist()])))], [key, "fingerprint"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, fingerprint string")
+    return docs.select(key, text).mapInArrow(released(run), f"{key} {docs.schema[key].dataType.simpleString()}, fingerprint string")
 
 
 def edited(text: str, following: str) -> str:
@@ -135,7 +136,7 @@ def packed(docs: DataFrame) -> DataFrame:
             bodies = [press((t or "").encode()) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bodies, pa.binary())], ["doc_id", "body"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, body binary")
+    return docs.select("doc_id", "text").mapInArrow(released(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, body binary")
 
 
 def with_successors(docs: DataFrame) -> DataFrame:
@@ -209,4 +210,4 @@ def compared(docs: DataFrame) -> DataFrame:
             carried, carried_print = rows[-1:], prints[-1:]
 
     return with_successors(docs.select("doc_id", "text")).mapInArrow(
-        run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+        released(run), f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
