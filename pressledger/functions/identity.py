@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PREPRINT = r"(?:arxiv:|arxiv\.org/(?:abs|pdf)/)(\d{4}\.\d{4,5})(?:v\d+)?"
-TEXT_URL = r"""(?U)https?://[^\s<>"\)\]\}]+"""
+from .. import rules
 
 
 def identity_urls(content: Column) -> Column:
@@ -26,14 +25,14 @@ def identity_urls(content: Column) -> Column:
 
     urls = F.concat(strings("source_identities"), strings("source_urls"),
                     F.array_compact(F.array(*[scalar(n) for n in ("canonical_url", "url", "source_url")])))
-    fallback = F.coalesce(F.regexp_extract_all(content, F.lit(TEXT_URL), 0), F.array().cast("array<string>"))
+    fallback = F.coalesce(F.regexp_extract_all(content, F.lit(rules.TEXT_URL), 0), F.array().cast("array<string>"))
     return F.array_distinct(F.when(F.size(urls) > 0, urls).otherwise(fallback))
 
 
 def preprint_id(urls: Column, candidate_id: Column) -> Column:
     """First preprint id in the URLs, then in the candidate id; the version is dropped."""
     searched = F.concat(urls, F.array(F.coalesce(candidate_id, F.lit(""))))
-    return F.get(F.filter(F.transform(searched, lambda u: F.regexp_extract(u, PREPRINT, 1)), lambda m: m != ""), F.lit(0))
+    return F.get(F.filter(F.transform(searched, lambda u: F.regexp_extract(u, rules.PREPRINT, 1)), lambda m: m != ""), F.lit(0))
 
 
 def category_recall(categories: Column, subjects: tuple[str, ...]) -> Column:

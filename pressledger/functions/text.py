@@ -28,15 +28,14 @@ def hygiene_reason(text: Column, maximum: int = 1000) -> Column:
 
 
 def candidate_id_ok(text: Column) -> Column:
-    return F.coalesce((F.length(text) <= 240)
-                      & text.rlike(r"\A[A-Za-z0-9](?:[A-Za-z0-9._~\-]|%[0-9A-Fa-f]{2})*\z"), F.lit(False))
+    return F.coalesce((F.length(text) <= rules.CANDIDATE_ID_CHARS) & text.rlike(rules.CANDIDATE_ID), F.lit(False))
 
 
 def asset_key(text: Column) -> Column:
     """``%HH`` becomes ``_hh``; NULL for an unsafe id."""
     parts = F.split(text, "%")
     key = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(
-        F.concat(F.lower(F.substring(p, 1, 2)), F.substring(p, 3, 1 << 20)))), "_")
+        F.concat(F.lower(F.substring(p, 1, 2)), F.substr(p, F.lit(3))))), "_")
     return F.when(candidate_id_ok(text), key)
 
 
@@ -58,22 +57,9 @@ def html_escape(text: Column) -> Column:
     return text
 
 
-def contains_any(text: Column, values: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for value in values:
-        hit = hit | text.contains(value)
-    return hit
-
-
-def private_finding(text: Column, configured: Sequence[str] = ()) -> Column:
-    """First kind of private data in a whole text, NULL when there is none.
-
-    ``configured`` are the values of a configuration, so a short list; it becomes constants of the plan.
-    """
-    if len(configured) > 500:
-        raise ValueError("use operators.corpus.scan_values for long value lists")
-    return (F.when(contains_any(text, configured), "private configuration value")
-            .when(text.rlike(rules.HOME_PATH), "absolute personal home path")
+def private_finding(text: Column) -> Column:
+    """First kind of private data in a whole text, NULL when there is none. Configured values: ``operators.corpus.private_scan``."""
+    return (F.when(text.rlike(rules.HOME_PATH), "absolute personal home path")
             .when(text.rlike(rules.AUTHORIZATION), "credential material")
             .when(text.rlike(rules.PRIVATE_KEY), "private key material"))
 
@@ -132,12 +118,13 @@ def section_reason(content: Column, category: Column, sections: dict[str, list[s
     wanted = F.lit(None).cast("array<string>")
     for name, headings in sections.items():
         wanted = F.when(category == name, F.array(*[F.lit(h) for h in headings])).otherwise(wanted)
-    bodies = F.slice(F.split(plain, LEVEL_TWO), 2, 1 << 20)
+    parts = F.split(plain, LEVEL_TWO)
+    bodies = F.slice(parts, F.lit(2), F.size(parts))
     empty = F.exists(bodies, lambda b: F.length(strip(F.regexp_replace(b, ATX, ""))) == 0)
     links = F.concat(
         F.regexp_extract_all(plain, F.lit(r"\]\(\s*([^)\s]*)"), 1),
         F.regexp_extract_all(plain, F.lit(r"(?m)^ {0,3}\[[^\]]+\]:[ \t]*(\S+)"), 1))
-    return (F.when(hygiene_reason(content, 150_000).isNotNull(), "text")
+    return (F.when(hygiene_reason(content, rules.SECTION_CHARS).isNotNull(), "text")
             .when(content.contains("<") | content.contains("{{")
                   | content.rlike(r"(?m)^\s*(---|:::|@import)\s*$"), "directive")
             .when(F.exists(levels, lambda m: ~F.length(m).isin(2, 3, 4)) | plain.rlike(SETEXT), "heading_level")

@@ -185,7 +185,7 @@ def resolve(base: Column, reference: Column) -> Column:
 
     def without_dots(where: Column) -> Column:
         kept = F.aggregate(
-            F.split(F.substring(where, 2, 1 << 20), "/"), F.array().cast("array<string>"),
+            F.split(F.substr(where, F.lit(2)), "/"), F.array().cast("array<string>"),
             lambda done, s: F.when(s == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
             .when(s == ".", done).otherwise(F.concat(done, F.array(s))))
         return F.concat(F.lit("/"), F.array_join(kept, "/"),

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import urls
 from ..functions.binding import bound
-from ..functions.text import contains_any
+from ..functions.text import WHITESPACE, private_finding
 
 LINK = r"""\b(?:href|src)="([^"]+)\""""
 NOT_FETCHED = r"(?i)^(?:mailto|tel|data|javascript):"
@@ -75,37 +75,71 @@ def bounded_sample(changed: DataFrame, receipts: DataFrame, release: str) -> Dat
             .unionByName(sampled.withColumn("reason", F.lit("sampled"))))
 
 
-def scan_values(df: DataFrame, text: str, values: Sequence[str]) -> DataFrame:
-    """Add ``has_value``: does the whole text contain any configured value? Short lists become plan constants;
-    long ones (up to 64 MiB of values) go to the tasks as one Aho-Corasick automaton per Python worker batch."""
-    values = sorted({v for v in values if v})
-    if len(values) <= 500:
-        return df.withColumn("has_value", contains_any(F.col(text), values))
-    payload = json.dumps(values)
-    if len(payload) > 64 << 20:
-        raise ValueError("value list above 64 MiB: split it and combine the flags of several scans")
-    shared = df.sparkSession.sparkContext.broadcast(payload)
-
-    @F.pandas_udf("boolean")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-        automaton = ahocorasick.Automaton()
-        for value in json.loads(shared.value):
-            automaton.add_word(value, True)
-        automaton.make_automaton()
-        for batch in batches:
-            yield batch.map(lambda t: t is not None and next(automaton.iter(t), None) is not None).astype(bool)
-
-    return df.withColumn("has_value", found(F.col(text)))
-
+#: bytes at the start of a value that are looked for in texts, and slots of the filter over them (4 MB, whatever the values)
+ANCHOR_BYTES, SLOTS = 6, 4194301
 
-def short_texts(parts: DataFrame, keys: list[str], order: str, part: str, limit: int) -> DataFrame:
-    """One joined text per key, for keys of at most ``limit`` parts; longer ones keep a NULL text.
 
-    Parts are counted first, so the parts of a key above the limit are never gathered in one task.
+def _anchors(text: str, sizes: list[int], flags: np.ndarray, longest: int):
+    """(key, anchor, tail) wherever a text has bytes that may start a value; the tail is as long as the longest value."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, anchors, tails = [], [], []
+            for key, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                body = (content or "").encode()
+                data = np.frombuffer(body, np.uint8).astype(np.int64)
+                for size in sizes:
+                    if len(body) < size:
+                        continue
+                    number = np.zeros(len(body) - size + 1, np.int64)
+                    for k in range(size):
+                        number = number << 8 | data[k:len(body) - size + 1 + k]
+                    for at in np.flatnonzero(flags[number % SLOTS]).tolist():
+                        keys.append(key)
+                        anchors.append(body[at:at + size].hex().upper())
+                        tails.append(body[at:at + longest])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array(anchors, pa.string()), pa.array(tails, pa.binary())],
+                                             ["_key", "_anchor", "_tail"])
+    return run
+
+
+def value_hits(df: DataFrame, key: str, text: str, values: DataFrame) -> DataFrame:
+    """The distinct keys of the rows whose whole text contains one of ``values`` (column ``value``), whatever their number.
+
+    Every value has an anchor, its first bytes. Texts give the places whose bytes may be an anchor, by a filter of fixed size; these meet the
+    values in an equi-join on the anchor and the whole value is compared. NULL and empty values and NULL texts never match.
+    """
+    body = F.encode("value", "utf-8")
+    table = (values.where(F.length("value") > 0).select(body.alias("_value")).distinct()
+             .withColumn("_anchor", F.hex(F.substring("_value", 1, ANCHOR_BYTES))))
+    slot = F.conv("_anchor", 16, 10).cast("bigint") % SLOTS
+    # at most one row for each slot and anchor length
+    found = table.select(slot.alias("slot"), (F.length("_anchor") / 2).cast("int").alias("size")).distinct().toPandas()
+    longest = table.agg(F.max(F.octet_length("_value"))).first()[0] or 0
+    flags = np.zeros(SLOTS, bool)
+    flags[found["slot"].to_numpy(dtype=np.int64)] = True
+    kind = df.schema[key].dataType.simpleString()
+    places = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text")).mapInArrow(
+        _anchors("_text", sorted(set(found["size"].tolist())), flags, longest), f"_key {kind}, _anchor string, _tail binary")
+    return (places.join(table, "_anchor").where(F.expr("startswith(_tail, _value)")).select(F.col("_key").alias(key)).distinct())
+
+
+def private_scan(df: DataFrame, key: str, text: str, values: DataFrame) -> DataFrame:
+    """(key, finding) of the rows with private data: a configured value first, then the kinds of ``private_finding``."""
+    hits = value_hits(df, key, text, values).withColumn("_value", F.lit("private configuration value"))
+    kinds = df.select(key, private_finding(F.col(text)).alias("_kind")).where(F.col("_kind").isNotNull())
+    return kinds.join(hits, key, "full_outer").select(key, F.coalesce("_value", "_kind").alias("finding"))
+
+
+def joined_texts(parts: DataFrame, keys: list[str], order: str, part: str, most_chars: int) -> DataFrame:
+    """(keys, parts, content): one joined text per key; content is NULL for texts longer than ``most_chars``.
+
+    Lengths are summed first, so only texts within the length that the contract allows are assembled; a longer one is refused by its
+    length alone. Line breaks between parts count, which bounds the number of parts too; white space at the end does not.
     """
-    sizes = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"))
-    kept = parts.join(sizes.where(F.col("parts") <= limit), keys, "left_semi")
+    size = F.coalesce(F.length(part), F.lit(0))
+    length = F.sum(size + 1) - 1 - F.max_by(size - F.coalesce(F.length(F.rtrim(part, F.lit(WHITESPACE))), F.lit(0)), order)
+    sizes = parts.groupBy(*keys).agg(F.count(F.lit(1)).alias("parts"), length.alias("_chars"))
+    kept = parts.join(sizes.where(F.col("_chars") <= most_chars), keys, "left_semi")
     joined = kept.groupBy(*keys).agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct(order, part))), lambda p: p[part]), "\n").alias("content"))
-    return sizes.join(joined, keys, "left")
+    return sizes.drop("_chars").join(joined, keys, "left")

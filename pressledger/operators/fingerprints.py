@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import rules
-
 
 def sha256_text(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
@@ -18,36 +16,32 @@ def record_digest(**fields: Column) -> Column:
     return sha256_text(F.to_json(struct, {"ignoreNullFields": "false"}))
 
 
-def tree_fingerprints(files: DataFrame, group: str, path: str, sha256: str, size: str,
-                      exact_files: int = rules.ARTIFACT_FILES) -> DataFrame:
-    """Fingerprint, file count and bytes per group.
+#: hex digits of a path's hash that name its leaf, and of those the ones that name the node above
+LEAF_DIGITS, NODE_DIGITS = 6, 3
+
+
+def tree_fingerprints(files: DataFrame, group: str, path: str, sha256: str, size: str) -> DataFrame:
+    """Fingerprint, file count and bytes per group: one definition for every size.
 
-    A group of at most ``exact_files`` files gets the plain tree digest: SHA-256 over ``len:name`` and the raw file hash
-    of every file, ordered by path components. A larger group is cut by path hash into buckets of about that size and
-    digested in two levels, reported as kind ``two-level``; no task ever holds more than one bucket.
+    The path's SHA-256 puts a file into one of 4,096 nodes of 4,096 leaves. A leaf is the SHA-256 over ``len:name`` and the raw file
+    hash of its files, ordered by path components; a node is that over its leaves' names and digests in order, and the group that over its
+    nodes'. So no task gathers more than 4,096 digests or one leaf, a 16-millionth of the group.
     """
-    sizes = files.groupBy(group).agg(F.count(F.lit(1)).alias("files"), F.sum(size).cast("bigint").alias("bytes"))
-    buckets = F.ceil(F.col("files") / F.lit(exact_files)).cast("bigint")
-    path_hash = F.conv(F.substring(sha256_text(F.col(path)), 1, 8), 16, 10).cast("bigint")
-    entry = F.concat(F.hex(F.concat(F.octet_length(path).cast("string"), F.lit(":"), F.col(path)).cast("binary")),
-                     F.upper(F.col(sha256)))
-    cut = (files.select(group, path, sha256).join(sizes, group)
-           .select(group, "files", "bytes", F.split(path, "/").alias("_parts"), entry.alias("_entry"),
-                   (path_hash % buckets).alias("_bucket")))
-
-    def digest(items: Column) -> Column:
-        return F.sha2(F.unhex(F.array_join(items, "")), 256)
-
-    ordered = F.array_sort(F.collect_list(F.struct("_parts", "_entry")))
-    level_one = (cut.groupBy(group, "files", "bytes", "_bucket")
-                 .agg(digest(F.transform(ordered, lambda e: e["_entry"])).alias("_digest")))
-    tops = F.array_sort(F.collect_list(F.struct("_bucket", "_digest")))
-    exact = F.col("files") <= exact_files
-    return (level_one.groupBy(group, "files", "bytes")
-            .agg(tops.alias("_tops"))
-            .select(group, "files", "bytes", F.when(exact, "tree").otherwise("two-level").alias("kind"),
-                    F.when(exact, F.get("_tops", F.lit(0))["_digest"])
-                    .otherwise(digest(F.transform("_tops", lambda t: t["_digest"]))).alias("fingerprint")))
+    entry = F.concat(F.hex(F.concat(F.octet_length(path).cast("string"), F.lit(":"), F.col(path)).cast("binary")), F.upper(F.col(sha256)))
+    cut = files.select(group, F.substring(sha256_text(F.col(path)), 1, LEAF_DIGITS).alias("_leaf"), F.split(path, "/").alias("_parts"),
+                       entry.alias("_entry"), F.col(size).alias("_size"))
+
+    def digest(items: Column, field: str) -> Column:
+        return F.sha2(F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(items)), lambda i: i[field]), "")), 256)
+
+    def above(level: DataFrame, by: list[str | Column]) -> DataFrame:
+        return level.groupBy(*by).agg(digest(F.struct("_leaf", F.concat(F.hex("_leaf"), "_digest").alias("_named")), "_named").alias("_digest"),
+                                      F.sum("files").alias("files"), F.sum("bytes").cast("bigint").alias("bytes"))
+
+    leaves = cut.groupBy(group, "_leaf").agg(digest(F.struct("_parts", "_entry"), "_entry").alias("_digest"),
+                                             F.count(F.lit(1)).alias("files"), F.sum("_size").cast("bigint").alias("bytes"))
+    nodes = above(leaves, [group, F.substring("_leaf", 1, NODE_DIGITS).alias("_node")]).withColumnRenamed("_node", "_leaf")
+    return above(nodes, [group]).select(group, "files", "bytes", F.col("_digest").alias("fingerprint"))
 
 
 def detect_changes(current: DataFrame, last_runs: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ from .. import rules
 from ..functions import text, urls
 from ..operators import corpus as ops
 from ..operators import fingerprints as fp
+from ..session import pinned
 from ..tables import conv_stages, doc_records, load, spread, text_of
 from .registry import query
 from .views import CONV_STAGES, DOC_RECORDS
@@ -150,15 +151,16 @@ def path_scope_filter(spark, folder):
 
 # fixed values: literal rows of the private-data scan, since the corpus itself has none of these kinds
 SCAN_CASES = ("a hunter2-configured-value here", "see /home/someone/notes", "Authorization: Bearer abcdefghijklmnop0123",
-              "-----BEGIN OPENSSH PRIVATE KEY-----\nabc", "clean text", "authorization : short")
+              "-----BEGIN OPENSSH PRIVATE KEY-----\nabc", "clean text", "authorization : short", "sent by Customer#000000042 today")
 CONFIGURED = ("hunter2-configured-value", "token = \"")
 
 
 @query("private_scan", r"""with f as (select doc_id, text from documents
   union all select -1, 'a hunter2-configured-value here' union all select -2, 'see /home/someone/notes'
   union all select -3, 'Authorization: Bearer abcdefghijklmnop0123' union all select -4, concat('-----BEGIN OPENSSH PRIVATE KEY-----', chr(10), 'abc')
-  union all select -5, 'clean text' union all select -6, 'authorization : short'),
-k as (select doc_id, case when contains(text, 'hunter2-configured-value') or contains(text, 'token = "') then 'private configuration value'
+  union all select -5, 'clean text' union all select -6, 'authorization : short' union all select -7, 'sent by Customer#000000042 today'),
+v as (select c_name as value from customer union all select 'hunter2-configured-value' union all select 'token = "'),
+k as (select doc_id, case when exists (select 1 from v where contains(f.text, v.value)) then 'private configuration value'
   when regexp_matches(text, '/(?:home|Users)/[A-Za-z0-9._-]+/') then 'absolute personal home path'
   when regexp_matches(text, '(?i)authorization\s*:\s*(?:bearer\s+)?[A-Za-z0-9._~+/-]{16,}') then 'credential material'
   when regexp_matches(text, '-----BEGIN (?:OPENSSH |RSA |EC )?PRIVATE KEY-----') then 'private key material' end as finding from f)
@@ -166,8 +168,9 @@ select doc_id, finding from k where finding is not null""")
 def private_scan(spark, folder):
     known = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(SCAN_CASES)], "doc_id bigint, text string")
     docs = spread(load(spark, folder, "documents").select("doc_id", "text")).unionByName(known)
-    return (docs.select("doc_id", text.private_finding(F.col("text"), CONFIGURED).alias("finding"))
-            .where(F.col("finding").isNotNull()))
+    values = (load(spark, folder, "customer").select(F.col("c_name").alias("value"))
+              .unionByName(spark.createDataFrame([(v,) for v in CONFIGURED], "value string")))
+    return ops.private_scan(docs, "doc_id", "text", values)
 
 
 @query("html_escape", """select page_id, md5(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) as escaped_md5,
@@ -198,7 +201,7 @@ b as (select conv_id, category, string_agg(concat('## ', stage, chr(10), chr(10)
         when conv_id % 11 = 0 and pos = 1 then '[x](javascript:1)' else replace(text, '<', ' ') end), chr(10) order by pos) as body,
         array_to_string(list(stage order by pos), ',') as stages from conv_stages group by conv_id, category)
 select conv_id, category, case
-  when regexp_matches(body, '[\x00-\x08\x0b-\x1f]') or regexp_matches(body, '{MARKERS}') then 'text'
+  when length(rtrim(body, {SPACE})) > 150000 or regexp_matches(body, '[\x00-\x08\x0b-\x1f]') or regexp_matches(body, '{MARKERS}') then 'text'
   when contains(body, '{{{{') or regexp_matches(body, '(?m)^\s*(---|:::|@import)\s*$') then 'directive'
   when regexp_matches(body, '(?m)^ {{0,3}}#([ \t]|$)') or regexp_matches(body, '(?m)^ {{0,3}}#####') or
        regexp_matches(body, '(?m)^ {{0,3}}[^\s#>][^\n]*\n {{0,3}}(?:=+|-{{2,}})[ \t]*$') then 'heading_level'
@@ -213,8 +216,8 @@ def section_contract(spark, folder):
             .otherwise(F.replace("text", F.lit("<"), F.lit(" "))))
     parts = turns.select("conv_id", "category", "pos",
                          F.concat(F.lit("## "), F.col("stage"), F.lit("\n\n"), body).alias("part"))
-    bodies = ops.short_texts(parts, ["conv_id", "category"], "pos", "part", limit=1000)
-    reason = F.when(F.col("content").isNull(), "sections").otherwise(
+    bodies = ops.joined_texts(parts, ["conv_id", "category"], "pos", "part", rules.SECTION_CHARS)
+    reason = F.when(F.col("content").isNull(), "text").otherwise(
         text.section_reason(F.col("content"), F.col("category"), TALK_SECTIONS))
     return bodies.select("conv_id", "category", reason.alias("reason"))
 
@@ -239,7 +242,7 @@ known as (select distinct regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) as
 select page_id, path from l where path not in (select path from known)""")
 def broken_links(spark, folder):
     pages = load(spark, folder, "pages")
-    links = ops.local_links(pages, "page_id", "url", "html")
+    links = pinned(ops.local_links(pages, "page_id", "url", "html"))
     paths = links.select(urls.path(F.col("target")).alias("path"))
     known = (pages.select(urls.path(F.col("url")).alias("path"))
              .unionByName(paths.where(F.length("path") % 2 == 0)))
@@ -289,12 +292,17 @@ def content_addressed(spark, folder):
     return fp.content_addressed(load(spark, folder, "documents"), "text")
 
 
-TREE_SQL = """select source, count(*) as files, cast(sum(octet_length(encode(text))) as bigint) as bytes, 'tree' as kind,
-  sha256(unhex(string_agg(concat(hex(encode(concat(cast(octet_length(encode(path)) as varchar), ':', path))), upper(sha256(text))), ''
-         order by string_split(path, '/')))) as fingerprint"""
+TREE_SQL = """entries as (select source, sha256(path)[1:6] as leaf, string_split(path, '/') as parts, octet_length(encode(text)) as size,
+    concat(hex(encode(concat(cast(octet_length(encode(path)) as varchar), ':', path))), upper(sha256(text))) as entry from doc_records),
+leaves as (select source, leaf, count(*) as files, sum(size) as bytes, sha256(unhex(string_agg(entry, '' order by parts))) as digest
+  from entries group by source, leaf),
+nodes as (select source, leaf[1:3] as node, sum(files) as files, sum(bytes) as bytes,
+    sha256(unhex(string_agg(concat(hex(encode(leaf)), digest), '' order by leaf))) as digest from leaves group by source, leaf[1:3]),
+trees as (select source, cast(sum(files) as bigint) as files, cast(sum(bytes) as bigint) as bytes,
+    sha256(unhex(string_agg(concat(hex(encode(node)), digest), '' order by node))) as fingerprint from nodes group by source)"""
 
 
-@query("partition_fingerprint", f"with {DOC_RECORDS} {TREE_SQL} from doc_records group by source")
+@query("partition_fingerprint", f"with {DOC_RECORDS}, {TREE_SQL} select * from trees")
 def partition_fingerprint(spark, folder):
     return fp.tree_fingerprints(doc_files(spark, folder), "source", "path", "sha256", "size")
 
@@ -308,12 +316,12 @@ def record_digest(spark, folder):
 
 
 @query("change_detect", f"""with {DOC_RECORDS},
-now as ({TREE_SQL} from doc_records group by source)
+{TREE_SQL}
 select source, case when cast(source[4:] as int) % 4 = 0 then 'reuse' when cast(source[4:] as int) % 4 = 1 then 'run'
-  when cast(source[4:] as int) % 4 = 2 then 'conflict' else 'run' end as decision from now
+  when cast(source[4:] as int) % 4 = 2 then 'conflict' else 'run' end as decision from trees
 union all select 'retired', 'gone'""")
 def change_detect(spark, folder):
-    files = doc_files(spark, folder)
+    files = pinned(doc_files(spark, folder))
     now = fp.tree_fingerprints(files, "source", "path", "sha256", "size")
     number = F.substring("source", 4, 10).cast("int") % 4
     # the last run saw other bytes for every fourth source, failed for another, and never ran for a third
@@ -336,11 +344,12 @@ from b full join a on b.path = a.path""")
 def plan_diff(spark, folder):
     docs = doc_records(spark, folder, "doc_id", "path", "text")
     doc, body = F.col("doc_id"), F.col("text")
-    before = docs.select("path", fp.sha256_text(body).alias("sha256"))
-    changed = F.when(doc % 7 == 0, F.concat(body, F.lit("x"))).otherwise(body)
-    after = (docs.where(doc % 11 != 0).select("path", fp.sha256_text(changed).alias("sha256"))
-             .unionByName(docs.where(doc % 13 == 0).select(F.concat(F.lit("new/"), "path").alias("path"),
-                                                           fp.sha256_text(body).alias("sha256"))))
+    changed = F.when(doc % 7 == 0, fp.sha256_text(F.concat(body, F.lit("x"))))
+    # the texts are read and hashed once, whatever number of sides is built from them
+    hashed = pinned(docs.select("doc_id", "path", fp.sha256_text(body).alias("sha256"), changed.alias("changed")))
+    before = hashed.select("path", "sha256")
+    after = (hashed.where(doc % 11 != 0).select("path", F.coalesce("changed", "sha256").alias("sha256"))
+             .unionByName(hashed.where(doc % 13 == 0).select(F.concat(F.lit("new/"), "path").alias("path"), "sha256")))
     return fp.plan_files(before, after, ~F.col("path").startswith("src1"))
 
 
@@ -354,7 +363,7 @@ def page_files(spark, folder):
   cast(octet_length(encode(html)) as bigint) as size,
   case when page_id % 10 = 0 then 'missing' when page_id % 10 in (1, 2) then 'changed' else 'ok' end as readback from pages""")
 def readback(spark, folder):
-    files, k = page_files(spark, folder), F.col("page_id") % 10
+    files, k = pinned(page_files(spark, folder)), F.col("page_id") % 10
     observed = files.where(k != 0).select(
         "path", F.when(k == 1, F.reverse("sha256")).otherwise(F.col("sha256")).alias("sha256"),
         F.when(k == 2, F.col("size") + 1).otherwise(F.col("size")).alias("size"))
@@ -367,7 +376,7 @@ select path, case when d in ('0','1') then 'missing' when d in ('2','3') then 'm
 union all select 'snapshot.parquet', 'ok' union all select concat('stray/', sha), 'unexpected_name' from m where d = '4'
 union all select concat('assets/00/', repeat('0', 64)), 'not_in_manifest'""")
 def snapshot_manifest(spark, folder):
-    blobs = fp.content_addressed(load(spark, folder, "pages"), "html").select("path", "sha256", "size")
+    blobs = pinned(fp.content_addressed(load(spark, folder, "pages"), "html").select("path", "sha256", "size"))
     control = blobs.agg(F.max("sha256").alias("sha256"), F.max("size").alias("size"))
     snapshot = control.select(F.lit("snapshot.parquet").alias("path"), "sha256", "size")
     manifest, first = blobs.unionByName(snapshot), F.substring("sha256", 1, 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.times import cycle_id, display_date, in_daily_window
-from ..operators import cas
 from ..operators import ledger as ops
 from ..operators.windows import prior
 from ..tables import event_log, load, text_of
@@ -121,89 +120,6 @@ def attempt_history(spark, folder):
     return ops.attempt_history(runs, "source", "seq", "status")
 
 
-OP_LOG = f"""{EVENT_LOG},
-r as (select seq, source, row_number() over (partition by source order by seq) as rn from event_log),
-op_log as (select seq, source, rn, cast((rn - 1) // 3 as bigint) as expected_revision,
-  concat('op-', cast(case when rn % 7 = 0 or rn % 11 = 0 then rn - 1 else rn end as varchar)) as operation_id,
-  concat(case when rn % 11 = 0 then 'x' else 'r' end, cast(case when rn % 7 = 0 then rn - 1 else rn end as varchar)) as request from r)"""
-
-
-def numbered(rows, keys):
-    """Position of each row inside its key, from block-wise running counts."""
-    counted = prior(rows, keys, "seq", {"_before": ("sum", F.lit(1).cast("bigint"))})
-    return counted.withColumn("rn", F.col("_before") + 1).drop("_before")
-
-
-def op_log(spark, folder):
-    rn = F.col("rn")
-    rows = numbered(event_log(spark, folder).select("seq", "source"), ["source"])
-    return rows.select(
-        "seq", "source", F.floor((rn - 1) / 3).cast("bigint").alias("expected_revision"),
-        F.concat(F.lit("op-"), text_of(F.when((rn % 7 == 0) | (rn % 11 == 0), rn - 1).otherwise(rn))).alias("operation_id"),
-        F.concat(F.when(rn % 11 == 0, "x").otherwise("r"), text_of(F.when(rn % 7 == 0, rn - 1).otherwise(rn))).alias("request"))
-
-
-@query("cas_replay", f"""with recursive {OP_LOG},
-st as (select source, cast(0 as bigint) as rn, cast(-1 as bigint) as seq, cast(0 as bigint) as rev, cast([] as varchar[]) as ops, cast([] as varchar[]) as reqs,
-    cast([] as bigint[]) as revs, '' as outcome, cast(null as bigint) as revision from (select distinct source from op_log)
-  union all
-  select s.source, o.rn, o.seq, s.rev + case when p = 0 and o.expected_revision = s.rev then 1 else 0 end,
-    case when p = 0 and o.expected_revision = s.rev then list_append(s.ops, o.operation_id) else s.ops end,
-    case when p = 0 and o.expected_revision = s.rev then list_append(s.reqs, o.request) else s.reqs end,
-    case when p = 0 and o.expected_revision = s.rev then list_append(s.revs, s.rev + 1) else s.revs end,
-    case when p > 0 and s.reqs[p] = o.request then 'replay' when p > 0 then 'conflict' when o.expected_revision = s.rev then 'accepted' else 'stale' end,
-    case when p > 0 and s.reqs[p] = o.request then s.revs[p] when p = 0 and o.expected_revision = s.rev then s.rev + 1 end
-  from (select s.*, o.rn as orn, coalesce(list_position(s.ops, o.operation_id), 0) as p from st s join op_log o on o.source = s.source and o.rn = s.rn + 1) s
-  join op_log o on o.source = s.source and o.rn = s.orn)
-select seq, source, outcome, revision from st where rn > 0""")
-def cas_replay(spark, folder):
-    done = cas.replay(op_log(spark, folder), ["source"], "seq", "expected_revision", "operation_id", F.col("request"))
-    return done.select("seq", "source", "outcome", "revision")
-
-
-STAGE_LOG = f"""{EVENT_LOG},
-q as (select seq, source as run_id, concat('stage-', cast(seq % 2 as varchar)) as stage from event_log),
-r as (select *, row_number() over (partition by run_id, stage order by seq) as rn from q),
-stage_log as (select seq, run_id, stage, row_number() over (partition by run_id order by seq) as pos, cast((rn - 1) // 3 as bigint) as expected_revision,
-  concat('op-', case when rn % 13 = 0 then '' else stage end, cast(case when rn % 7 = 0 then rn - 1 else rn end as varchar)) as operation_id,
-  case when seq % 487 = 0 then 'complete' when seq % 5 = 0 then 'failed' else 'running' end as status,
-  seq % 41 <> 0 as owner_ok, concat(stage, case when seq % 487 = 0 then 'complete' when seq % 5 = 0 then 'failed' else 'running' end,
-    cast(case when rn % 7 = 0 then rn - 1 else rn end as varchar)) as request from r)"""
-
-
-def stage_log(spark, folder):
-    seq, rn = F.col("seq"), F.col("rn")
-    rows = numbered(event_log(spark, folder).select(
-        "seq", F.col("source").alias("run_id"), F.concat(F.lit("stage-"), text_of(seq % 2)).alias("stage")), ["run_id", "stage"])
-    step = text_of(F.when(rn % 7 == 0, rn - 1).otherwise(rn))
-    status = F.when(seq % 487 == 0, "complete").when(seq % 5 == 0, "failed").otherwise("running")
-    return rows.select(
-        "seq", "run_id", "stage", F.floor((rn - 1) / 3).cast("bigint").alias("expected_revision"),
-        F.concat(F.lit("op-"), F.when(rn % 13 == 0, "").otherwise(F.col("stage")), step).alias("operation_id"),
-        status.alias("status"), (seq % 41 != 0).alias("owner_ok"), F.concat("stage", status, step).alias("request"))
-
-
-@query("stage_machine", f"""with recursive {STAGE_LOG},
-st as (select run_id, cast(0 as bigint) as pos, cast(-1 as bigint) as seq, [cast(0 as bigint), 0] as rev, [false, false] as done, cast([] as varchar[]) as ops,
-    cast([] as varchar[]) as reqs, '' as outcome from (select distinct run_id from stage_log)
-  union all
-  select run_id, opos, oseq,
-    case when hit then case when i = 1 then [rev[1] + 1, rev[2]] else [rev[1], rev[2] + 1] end else rev end,
-    case when hit and status = 'complete' then case when i = 1 then [true, done[2]] else [done[1], true] end else done end,
-    case when hit then list_append(ops, operation_id) else ops end, case when hit then list_append(reqs, request) else reqs end,
-    case when hit then 'accepted' when p > 0 and reqs[p] = request then 'replay' when p > 0 then 'conflict' when not owner_ok then 'refused'
-      when done[i] and rev[i] = expected_revision then 'completed' else 'stale' end
-  from (select *, p = 0 and owner_ok and not done[i] and rev[i] = expected_revision as hit
-    from (select s.*, o.pos as opos, o.seq as oseq, o.status, o.owner_ok, o.operation_id, o.request, o.expected_revision,
-            case o.stage when 'stage-0' then 1 else 2 end as i, coalesce(list_position(s.ops, o.operation_id), 0) as p
-          from st s join stage_log o on o.run_id = s.run_id and o.pos = s.pos + 1)))
-select seq, run_id, outcome from st where pos > 0""")
-def stage_machine(spark, folder):
-    done = cas.replay(stage_log(spark, folder), ["run_id"], "seq", "expected_revision", "operation_id", F.col("request"),
-                      chain=["stage"], final=F.col("status") == "complete", admissible=F.col("owner_ok"))
-    return done.select("seq", "run_id", "outcome")
-
-
 DELIVERY_LOG = f"""{EVENT_LOG},
 delivery_log as (select seq, concat(source, '-', cast(cast(ts as date) as varchar)) as cycle_id,
   case when user_id % 40 < 20 then 'deployment' else 'notification' end as channel,

@@ -9,10 +9,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.ledger import daily_counts
 from ..session import pinned_folder
 from ..streaming import jobs, processors
 from ..tables import prepare, text_of
-from .ledger_queries import DELIVERY_LOG, OP_LOG
+from .ledger_queries import DELIVERY_LOG
 from .registry import REGISTRY, query
 from .views import EVENT_LOG
 
@@ -37,8 +38,8 @@ def event_stream(spark, folder):
 @query("stream_daily_counts", REGISTRY["daily_counts"].sql)
 def stream_daily_counts(spark, folder):
     output, checkpoint = folders(spark, "daily-counts")
-    jobs.run_updates_to_end(jobs.counts_per_day(event_stream(spark, folder), "source", "ts"), output, checkpoint)
-    return jobs.current_rows(spark, output, ["source", "day"], ["events"])
+    jobs.run_batches_to_end(event_stream(spark, folder), lambda rows: daily_counts(rows, "source", "ts"), output, checkpoint)
+    return jobs.summed_rows(spark, output, ["source", "day"], ["events"])
 
 
 @query("stream_emit_once", f"""with {EVENT_LOG}
@@ -73,22 +74,3 @@ def stream_delivery_machine(spark, folder):
         .otherwise("confirmed").alias("action"), (F.col("value") >= 10).alias("evidence_ok"))
     jobs.run_to_end(jobs.stateful(log, ["cycle_id", "channel"], processors.deliveries()), output, checkpoint)
     return spark.read.parquet(output)
-
-
-# operations without reference to their position, which a stream does not know: every seventh repeats an earlier id
-STREAM_OPS = f"""{EVENT_LOG},
-o as (select seq, source, row_number() over (partition by source order by seq) as rn, cast(seq // 60 as bigint) as expected_revision,
-  concat('op-', cast(case when seq % 7 = 0 then seq - 20 else seq end as varchar)) as operation_id,
-  concat('r', cast(case when seq % 7 = 0 and seq % 2 = 0 then seq - 20 else seq end as varchar)) as request from event_log)"""
-
-
-@query("stream_cas_replay", REGISTRY["cas_replay"].sql.replace(OP_LOG, STREAM_OPS).replace("op_log", "o"))
-def stream_cas_replay(spark, folder):
-    output, checkpoint = folders(spark, "operations")
-    seq = F.col("seq")
-    log = event_stream(spark, folder).select(
-        "seq", "source", F.floor(seq / 60).cast("bigint").alias("expected_revision"),
-        F.concat(F.lit("op-"), text_of(F.when(seq % 7 == 0, seq - 20).otherwise(seq))).alias("operation_id"),
-        F.concat(F.lit("r"), text_of(F.when((seq % 7 == 0) & (seq % 2 == 0), seq - 20).otherwise(seq))).alias("request"))
-    jobs.run_to_end(jobs.stateful(log, ["source"], processors.operations()), output, checkpoint)
-    return spark.read.parquet(output)

@@ -38,7 +38,7 @@ IMAGE_STAGES = {
 STAGE_STATUSES = ("found", "unavailable", "unsuitable")
 EVIDENCE_KINDS = ("full_text", "official", "supplement", "attempt")
 EVIDENCE_LIMIT = 24
-VALIDATION_CHECKS = ("evidence", "grouped_selection", "images", "ownership", "quotas", "refine", "schema", "taxonomy")
+VALIDATION_CHECKS = ("grouped_selection", "refine", "schema", "taxonomy", "images", "ownership", "quotas", "evidence")
 
 # --- fixed values: recall ----------------------------------------------------------------------
 SUBJECTS = ("cs.RO", "cs.AI", "cs.CV", "cs.LG", "cs.CL", "cs.MA", "eess.SY")
@@ -75,23 +75,29 @@ TOPIC_TERMS = {
 ACRONYMS = ("VLA", "VLN", "LLM", "VLM")
 
 # --- fixed values: metadata bounds -------------------------------------------------------------
-CONTROL_KEYS = ("checksums", "context_id", "counts", "identity", "paths", "reason", "session_id", "status")
+CONTROL_KEYS = ("identity", "paths", "counts", "checksums", "status", "reason", "context_id", "session_id")
 CONTROL_BYTES = 16384
-EVENT_FIELDS = ("announce_type", "announce_types", "announcement_at", "canonical_url", "cycle_id", "first_seen_at",
-                "key", "last_seen_at", "source_categories", "source_id", "status", "version")
+EVENT_FIELDS = ("key", "source_id", "version", "announce_type", "announce_types", "announcement_at",
+                "first_seen_at", "last_seen_at", "source_categories", "status", "cycle_id", "canonical_url")
 EVENT_LISTS = ("announce_types", "source_categories")
 EVENT_BYTES = 4096
-CURSOR_FORBIDDEN = ("base64", "body", "content", "events", "files", "summary")
+CURSOR_FORBIDDEN = ("body", "content", "summary", "files", "base64", "events")
 CURSOR_BYTES = 16384
 EVENT_STATUSES = ("seen", "pending", "emitted")
 
+# --- fixed values: identity patterns -----------------------------------------------------------
+PREPRINT = r"(?:arxiv:|arxiv\.org/(?:abs|pdf)/)(\d{4}\.\d{4,5})(?:v\d+)?"
+TEXT_URL = r"""(?U)https?://[^\s<>"\)\]\}]+"""
+CANDIDATE_ID = r"\A[A-Za-z0-9](?:[A-Za-z0-9._~\-]|%[0-9A-Fa-f]{2})*\z"
+CANDIDATE_ID_CHARS = 240
+
 # --- fixed values: URL, text and tree rules ----------------------------------------------------
 RESERVED_SUFFIXES = (".localhost", ".local", ".internal", ".test", ".invalid", ".example", ".home.arpa")
 AUTH_PARAMETER = r"(?i)token|secret|password|api.?key|signature|credential"
-PRIVATE_MARKERS = (r"(?i)working_tmp|crawl_tmp|file://|/home/|/Users/|Bearer\s|Authorization:|GRIST_API_KEY|javascript:"
-                   r"|data:text/html|<script|\{\{")
+# case and white space are those of Unicode, as (?iU) says
+PRIVATE_MARKERS = r"(?iU)working_tmp|crawl_tmp|file://|/home/|/Users/|Bearer\s|Authorization:|GRIST_API_KEY|javascript:|data:text/html|<script|\{\{"
 HOME_PATH = r"/(?:home|Users)/[A-Za-z0-9._-]+/"
-AUTHORIZATION = r"(?i)authorization\s*:\s*(?:bearer\s+)?[A-Za-z0-9._~+/-]{16,}"
+AUTHORIZATION = r"(?iU)authorization\s*:\s*(?:bearer\s+)?[A-Za-z0-9._~+/-]{16,}"
 PRIVATE_KEY = r"-----BEGIN (?:OPENSSH |RSA |EC )?PRIVATE KEY-----"
 EXCLUDED_FOLDERS = (".local", ".git", ".venv", "state", "working_tmp", "crawl_tmp", "node_modules", "dist",
                     "__pycache__")
@@ -103,6 +109,7 @@ ARTIFACT_FILES = 20_000
 ARTIFACT_BYTES = 2_000_000_000
 SAMPLED_ARTIFACTS = 16
 MESSAGE_CHARS = 4000
+SECTION_CHARS = 150_000
 IMAGE_EXTENSIONS = {"PNG": ["png"], "JPEG": ["jpg", "jpeg"], "WEBP": ["webp"], "GIF": ["gif"], "AVIF": ["avif"]}
 IMAGE_BYTES = 20 * 1024 * 1024
 ZONE = "Asia/Shanghai"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,11 +36,16 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def pinned_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``. Only where that is unset (tests, local
-    runs) a temporary one is made."""
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Without that setting a cluster is refused, as its executors would write to their own disks. A session of one machine
+    (``local``) gets a temporary folder, which all of it sees.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="pressledger-checkpoint-"))
     return context.getCheckpointDir()
 

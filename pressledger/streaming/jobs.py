@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from ..operators.ledger import daily_counts, latest
-
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-LATENESS = "1 day"
 
 
 def read_log(spark: SparkSession, folder: str, glob: str, files_per_trigger: int | None = None,
@@ -34,11 +33,6 @@ def stateful(log: DataFrame, keys: list[str], machine: tuple[StatefulProcessor,
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None")
 
 
-def counts_per_day(log: DataFrame, key: str, ts: str) -> DataFrame:
-    """Update-mode counts per key and local day. Rows later than the watermark belong to the recovery batch."""
-    return daily_counts(log.withWatermark(ts, LATENESS), key, ts)
-
-
 def run_to_end(stream: DataFrame, output: str, checkpoint: str) -> None:
     """Process everything available into Parquet, exactly once under the checkpoint."""
     query = (stream.writeStream.format("parquet").option("path", output).option("checkpointLocation", checkpoint)
@@ -46,20 +40,23 @@ def run_to_end(stream: DataFrame, output: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def run_updates_to_end(stream: DataFrame, output: str, checkpoint: str) -> None:
-    """Process everything available in update mode: every micro-batch writes its changed rows under its own number, so a
-    replayed micro-batch overwrites itself."""
+def run_batches_to_end(stream: DataFrame, counted: Callable[[DataFrame], DataFrame], output: str, checkpoint: str) -> None:
+    """Count every micro-batch on its own and write its partial counts under its own number, so a replayed micro-batch overwrites itself.
+
+    Counts add up, so nothing waits for a watermark and no row is too late: it counts in the batch it came with.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        counted(batch).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
 
     query = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-             .outputMode("update").trigger(availableNow=True).start())
+             .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
-def current_rows(spark: SparkSession, output: str, keys: list[str], columns: list[str]) -> DataFrame:
-    """Latest version of every key written by ``run_updates_to_end``."""
-    return latest(spark.read.option("basePath", output).parquet(output), keys, "batch_id", columns).drop("batch_id")
+def summed_rows(spark: SparkSession, output: str, keys: list[str], columns: list[str]) -> DataFrame:
+    """The partial counts written by ``run_batches_to_end``, added up."""
+    parts = spark.read.option("basePath", output).parquet(output)
+    return parts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
 
 
 def event_column(event: str, field: str):

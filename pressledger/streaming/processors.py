@@ -2,7 +2,8 @@
 
 Each factory builds its processor class locally, so it travels to the workers by value. Rows of one key inside a
 micro-batch are put in ``seq`` order first; the size of a micro-batch is set at the source (files or offsets per trigger),
-which is also what bounds the rows of a hot key held at once. State has no time to live: history is never pruned.
+which is also what bounds the rows of a hot key held at once. Files must come in the order of ``seq``; input that does not is refused with
+an error, never folded in the wrong order. State has no time to live: history is never pruned.
 """
 
 from __future__ import annotations
@@ -13,28 +14,36 @@ import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+def in_order(rows: Iterator[pd.DataFrame], last: int | None, key: tuple) -> pd.DataFrame:
+    """A key's rows of a micro-batch by ``seq``; a row at or before one that an earlier micro-batch has folded stops the stream."""
+    batch = pd.concat(rows).sort_values("seq")
+    if last is not None and int(batch["seq"].iloc[0]) <= last:
+        raise ValueError(f"seq {int(batch['seq'].iloc[0])} of {key} came after {last} was folded: give the files in the order of seq")
+    return batch
+
+
 def event_state() -> tuple[StatefulProcessor, str]:
     """Event upserts per (source, event_key): input seq, payload; output one outcome and the merged event per row."""
 
+    ordered = in_order
+
     class EventState(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.event = handle.getValueState("event", "fields string")
+            self.event = handle.getValueState("event", "fields string, last bigint")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             import json
-            fields = json.loads(self.event.get()[0]) if self.event.exists() else {}
-            out, changed = [], False
-            batch = pd.concat(rows).sort_values("seq")
+            known, last = self.event.get() if self.event.exists() else ("{}", None)
+            fields, out = json.loads(known), []
+            batch = ordered(rows, last, key)
             for seq, payload in zip(batch["seq"], batch["payload"]):
                 event = json.loads(payload)
                 fixed = fields.get("status") == "emitted"
                 legal = not fixed or (event.get("status") == "emitted" and event.get("cycle_id") == fields.get("cycle_id"))
                 if legal:
                     fields.update(event)
-                    changed = True
                 out.append((seq, "accepted" if legal else "rejected", json.dumps(fields, sort_keys=True)))
-            if changed:
-                self.event.update((json.dumps(fields, sort_keys=True),))
+            self.event.update((json.dumps(fields, sort_keys=True), int(batch["seq"].iloc[-1])))
             frame = pd.DataFrame(out, columns=["seq", "outcome", "event"])
             frame.insert(0, "source", key[0])
             frame.insert(1, "event_key", key[1])
@@ -46,51 +55,18 @@ def event_state() -> tuple[StatefulProcessor, str]:
     return EventState(), "source string, event_key string, seq bigint, outcome string, event string"
 
 
-def operations() -> tuple[StatefulProcessor, str]:
-    """Compare-and-swap ledger per source: input seq, expected_revision, operation_id, request."""
-
-    class Operations(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self.revision = handle.getValueState("revision", "value bigint")
-            self.done = handle.getMapState("done", "operation_id string", "request string, revision bigint")
-
-        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            revision = self.revision.get()[0] if self.revision.exists() else 0
-            out = []
-            batch = pd.concat(rows).sort_values("seq")
-            for seq, expected, operation, request in zip(
-                    batch["seq"], batch["expected_revision"], batch["operation_id"], batch["request"]):
-                if self.done.containsKey((operation,)):
-                    known, at = self.done.getValue((operation,))
-                    out.append((seq, "replay", at) if known == request else (seq, "conflict", None))
-                elif expected == revision:
-                    revision += 1
-                    self.done.updateValue((operation,), (request, revision))
-                    out.append((seq, "accepted", revision))
-                else:
-                    out.append((seq, "stale", None))
-            self.revision.update((int(revision),))
-            frame = pd.DataFrame(out, columns=["seq", "outcome", "revision"]).astype({"revision": "Int64"})
-            frame.insert(1, "source", key[0])
-            yield frame
-
-        def close(self) -> None:
-            pass
-
-    return Operations(), "seq bigint, source string, outcome string, revision bigint"
-
-
 def deliveries() -> tuple[StatefulProcessor, str]:
     """Delivery attempts per (cycle_id, channel): input seq, action, evidence_ok."""
 
+    ordered = in_order
+
     class Deliveries(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.current = handle.getValueState("current", "state string, attempt bigint")
+            self.current = handle.getValueState("current", "state string, attempt bigint, last bigint")
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-            state, attempt = self.current.get() if self.current.exists() else ("none", 0)
-            out = []
-            batch = pd.concat(rows).sort_values("seq")
+            state, attempt, last = self.current.get() if self.current.exists() else ("none", 0, None)
+            out, batch = [], ordered(rows, last, key)
             for seq, action, proven in zip(batch["seq"], batch["action"], batch["evidence_ok"]):
                 idle = state in ("none", "failed")
                 if action == "start":
@@ -106,7 +82,7 @@ def deliveries() -> tuple[StatefulProcessor, str]:
                 else:
                     outcome = state = action
                 out.append((seq, outcome, attempt))
-            self.current.update((state, int(attempt)))
+            self.current.update((state, int(attempt), int(batch["seq"].iloc[-1])))
             frame = pd.DataFrame(out, columns=["seq", "outcome", "attempt"])
             frame.insert(1, "cycle_id", key[0])
             frame.insert(2, "channel", key[1])
@@ -127,7 +103,10 @@ def emissions() -> tuple[StatefulProcessor, str]:
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
             first = min(int(batch["seq"].min()) for batch in rows)
-            if not self.emitted.exists():
+            if self.emitted.exists():
+                if first <= self.emitted.get()[0]:
+                    raise ValueError(f"seq {first} of {key} came after {self.emitted.get()[0]} was emitted: give the files in the order of seq")
+            else:
                 self.emitted.update((first,))
                 yield pd.DataFrame({"source": [key[0]], "event_key": [key[1]], "seq": [first]})
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressledger.operators import fingerprints as fp
-from pressledger.operators.corpus import broken_links, local_links, short_texts
+from pressledger.operators.corpus import broken_links, joined_texts, local_links
 from pressledger.operators.identity_merge import identity_components
 from pressledger.sources import files, publication
 from pressledger.sources.json_records import read_nested_export, strict_json
@@ -58,25 +58,23 @@ def tree_digest(entries):
 ENTRIES = [("a/b.txt", b"1"), ("a.txt", b"2"), ("a/é.md", b"3"), ("a-b/c", b""), ("z", b"5")]
 
 
-def test_tree_fingerprint(spark):
-    rows = [("g", n, hashlib.sha256(d).hexdigest(), len(d)) for n, d in ENTRIES] + [("h", "x", hashlib.sha256(b"x").hexdigest(), 1)]
-    df = spark.createDataFrame(rows, "g string, path string, sha string, size bigint")
-    got = {r.g: r for r in fp.tree_fingerprints(df, "g", "path", "sha", "size").collect()}
-    assert got["g"].fingerprint == tree_digest(ENTRIES) and (got["g"].files, got["g"].bytes, got["g"].kind) == (5, 4, "tree")
-    assert got["h"].fingerprint == tree_digest([("x", b"x")])
+def levelled(entries):
+    """The digest by its definition: leaves by six hex digits of the path's hash, nodes by three, then the root."""
+    leaves, nodes = {}, {}
+    for name, data in entries:
+        leaves.setdefault(hashlib.sha256(name.encode()).hexdigest()[:6], []).append((name, data))
+    for leaf in sorted(leaves):
+        nodes.setdefault(leaf[:3], []).append(leaf.encode() + bytes.fromhex(tree_digest(leaves[leaf])))
+    return hashlib.sha256(b"".join(n.encode() + hashlib.sha256(b"".join(nodes[n])).digest() for n in sorted(nodes))).hexdigest()
 
 
-def test_large_groups_are_digested_in_two_levels(spark):
-    entries = [(f"d{i % 7}/f{i}", str(i).encode()) for i in range(100)]
-    df = spark.createDataFrame([("g", n, hashlib.sha256(d).hexdigest(), len(d)) for n, d in entries], "g string, path string, sha string, size bigint")
-    limit = 30
-    buckets = {}
-    for name, data in entries:
-        number = int(hashlib.sha256(name.encode()).hexdigest()[:8], 16) % -(-len(entries) // limit)
-        buckets.setdefault(number, []).append((name, data))
-    top = hashlib.sha256(b"".join(bytes.fromhex(tree_digest(buckets[b])) for b in sorted(buckets))).hexdigest()
-    r = fp.tree_fingerprints(df.repartition(5), "g", "path", "sha", "size", exact_files=limit).first()
-    assert (r.kind, r.files, r.fingerprint) == ("two-level", 100, top)
+def test_tree_fingerprint_has_one_definition(spark):
+    many = [(f"d{i % 7}/f{i}", str(i).encode()) for i in range(3000)]
+    rows = [(g, n, hashlib.sha256(d).hexdigest(), len(d)) for g, e in (("g", ENTRIES), ("h", [("x", b"x")]), ("m", many)) for n, d in e]
+    df = spark.createDataFrame(rows, "g string, path string, sha string, size bigint").repartition(5)
+    got = {r.g: r for r in fp.tree_fingerprints(df, "g", "path", "sha", "size").collect()}
+    assert {g: r.fingerprint for g, r in got.items()} == {"g": levelled(ENTRIES), "h": levelled([("x", b"x")]), "m": levelled(many)}
+    assert (got["g"].files, got["g"].bytes, got["m"].files) == (5, 4, 3000)
 
 
 def test_binary_and_text_trees(spark, tmp_path):
@@ -158,10 +156,21 @@ def test_links(spark):
     assert [r.path for r in dead.collect()] == ["/a"]
 
 
-def test_short_texts_do_not_gather_long_keys(spark):
-    df = spark.createDataFrame([("a", i, f"l{i}") for i in range(3)] + [("b", i, "x") for i in range(9)], "k string, pos int, part string").repartition(3)
-    got = {r.k: (r.parts, r.content) for r in short_texts(df, ["k"], "pos", "part", limit=5).collect()}
-    assert got == {"a": (3, "l0\nl1\nl2"), "b": (9, None)}
+def test_texts_are_joined_up_to_the_length_of_the_contract(spark):
+    df = spark.createDataFrame([("a", i, f"l{i}") for i in range(3)] + [("b", i, "x") for i in range(9)] + [("c", 0, "12345678"), ("d", 0, "123456789"), ("e", 0, "1234    ")] +
+                               [("f", i, "") for i in range(1500)], "k string, pos int, part string").repartition(3)
+    got = {r.k: (r.parts, r.content) for r in joined_texts(df, ["k"], "pos", "part", 8).collect()}
+    assert got == {"a": (3, "l0\nl1\nl2"), "b": (9, None), "c": (1, "12345678"), "d": (1, None), "e": (1, "1234    "), "f": (1500, None)}
+
+
+def test_long_conversations_are_judged(spark):
+    from pressledger.functions import text
+    names = ["研究问题与贡献", "方法与系统", "实验设置与数据", "结果、限制与结论", "来源链接"]
+    parts = [("k", i, f"line {i}") for i in range(1500)]
+    parts = [(k, i, f"## {names[i // 300]}\n\n{p}" if i % 300 == 0 else p) for k, i, p in parts]
+    joined = joined_texts(spark.createDataFrame(parts, "k string, pos int, part string").repartition(4), ["k"], "pos", "part", 150_000)
+    row = joined.select("parts", text.section_reason(F.col("content"), F.lit("Paper")).alias("reason")).first()
+    assert (row.parts, row.reason) == (1500, None)
 
 
 def test_manifest_verification(spark):

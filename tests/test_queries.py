@@ -4,10 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pressledger.plans import all_queries
 from tools.check import TABLES, normal
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+REGISTERED = all_queries()
+QUERIES = {name: item.build for name, item in REGISTERED.items()}
+ORACLES = {name: item.sql for name, item in REGISTERED.items() if item.sql}
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +22,15 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name,column", [("change_detect", "text"), ("plan_diff", "text"), ("partition_fingerprint", "text"), ("snapshot_manifest", "html"),
+                                         ("readback", "html")])
+def test_large_columns_are_read_once(spark, name, column):
+    """What a plan reads after its pins must not be the large column again; a plan without pins reads it once."""
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"{column}#") == 0 or plan.count("parquet") == 1
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

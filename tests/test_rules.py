@@ -58,15 +58,22 @@ def test_ids_and_names(spark):
 def test_hygiene_and_findings(spark):
     assert column(spark, ["ok\n\tfine", "", " 　 ", "a\x07", "see FILE://x", "{{x}}", "x" * 1001], text.hygiene_reason) == [
         None, "length", "length", "control", "marker", "marker", "length"]
-    assert column(spark, ["has configured-value!", "/home/me/x", "Authorization: Bearer " + "a" * 16, "-----BEGIN RSA PRIVATE KEY-----",
-                          "clean"], lambda v: text.private_finding(v, ["configured-value"])) == [
-        "private configuration value", "absolute personal home path", "credential material", "private key material", None]
-
-
-def test_long_value_lists_use_the_automaton(spark):
-    values = [f"secret-value-{i:05d}" for i in range(800)]
-    df = spark.createDataFrame([("x secret-value-00799 y",), ("secret-value-99999",), (None,)], "t string")
-    assert [r.has_value for r in corpus.scan_values(df, "t", values).collect()] == [True, False, False]
+    assert column(spark, ["/home/me/x", "Authorization: Bearer " + "a" * 16, "-----BEGIN RSA PRIVATE KEY-----",
+                          "clean"], text.private_finding) == [
+        "absolute personal home path", "credential material", "private key material", None]
+
+
+@pytest.mark.parametrize("n", [3, 5000])
+def test_any_number_of_values_is_found_one_way(spark, n):
+    values = [f"secret-value-{i:05d}" for i in range(n)] + ["ab", "é日", "secret-value-0000", None, ""]
+    texts = ["x secret-value-00002 y", "secret-value-99999", None, "", "cab", "xé日", "secret-valu", "é", "secret" * 3000 + "-value-00001", "SECRET-VALUE-00001"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string").repartition(3)
+    table = spark.createDataFrame([(v,) for v in values], "value string")
+    wanted = {i for i, t in enumerate(texts) if any(v and t and v in t for v in values)}
+    assert sorted(r.id for r in corpus.value_hits(df, "id", "t", table).collect()) == sorted(wanted)
+    found = {r.id: r.finding for r in corpus.private_scan(df, "id", "t", table).collect()}
+    assert found == dict.fromkeys(wanted, "private configuration value")
+    assert corpus.value_hits(df, "id", "t", table.where("false")).count() == 0
 
 
 def body(names):

@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pressledger.operators import cas, ledger
-from pressledger.plans.ledger_queries import DELIVERY_KEYS, delivery_log, op_log
+from pressledger.operators import ledger
+from pressledger.plans.ledger_queries import DELIVERY_KEYS, delivery_log
 from pressledger.sources.publication import ledger_sink
 from pressledger.streaming import jobs, processors
 from pressledger.tables import event_log
@@ -34,15 +34,6 @@ def run(spark, tmp_path, df, keys, machine, parts):
     return spark.read.parquet(str(tmp_path / "out"))
 
 
-@pytest.mark.parametrize("parts", [1, 3])
-def test_operations(spark, tmp_path, parts):
-    log = op_log(spark, FOLDER)
-    got = run(spark, tmp_path, log, ["source"], processors.operations(), parts)
-    want = cas.replay(log, ["source"], "seq", "expected_revision", "operation_id", F.col("request"), block=100)
-    columns = ["seq", "source", "outcome", "revision"]
-    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
-
-
 def test_deliveries(spark, tmp_path):
     log = delivery_log(spark, FOLDER)
     got = run(spark, tmp_path, log, DELIVERY_KEYS, processors.deliveries(), 3)
@@ -70,14 +61,28 @@ def test_emissions_once(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted(map(tuple, ledger.emit_once(log, keys, "seq", F.lit(True)).collect()))
 
 
-def test_daily_counts(spark, tmp_path):
+@pytest.mark.parametrize("order", ["seq", "hash"])
+def test_daily_counts_lose_no_late_row(spark, tmp_path, order):
     log = event_log(spark, FOLDER).select("seq", F.col("ts").cast("timestamp").alias("ts"), "source")
-    stream = jobs.counts_per_day(jobs.read_log(spark, in_files(log, str(tmp_path), 3), "*.parquet", 1), "source", "ts")
-    jobs.run_updates_to_end(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    got = jobs.current_rows(spark, str(tmp_path / "out"), ["source", "day"], ["events"])
+    dealt = log if order == "seq" else log.withColumn("seq", F.pmod(F.xxhash64("seq"), F.lit(1000)))
+    stream = jobs.read_log(spark, in_files(dealt, str(tmp_path), 5), "*.parquet", 1)
+    jobs.run_batches_to_end(stream, lambda rows: ledger.daily_counts(rows, "source", "ts"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = jobs.summed_rows(spark, str(tmp_path / "out"), ["source", "day"], ["events"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ledger.daily_counts(log, "source", "ts").collect()))
 
 
+@pytest.mark.parametrize("machine", ["deliveries", "emissions"])
+def test_input_out_of_order_is_refused(spark, tmp_path, machine):
+    log = delivery_log(spark, FOLDER).withColumn("seq", 10**6 - F.col("seq"))
+    files = in_files(log.withColumn("seq", 10**6 - F.col("seq")), str(tmp_path), 3)
+    keys = DELIVERY_KEYS if machine == "deliveries" else ["source", "event_key"]
+    stream = jobs.read_log(spark, files, "*.parquet", 1).withColumn("seq", 10**6 - F.col("seq"))
+    if machine == "emissions":
+        stream = stream.select(F.lit("s").alias("source"), F.lit("k").alias("event_key"), "seq")
+    with pytest.raises(Exception, match="in the order of seq"):
+        jobs.run_to_end(jobs.stateful(stream, keys, getattr(processors, machine)()), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+
+
 def test_idempotent_sink(spark, tmp_path):
     log = event_log(spark, FOLDER).select("seq", "source", F.concat(F.lit("op"), F.floor(F.col("seq") / 2).cast("string")).alias("operation_id"))
     stream = jobs.read_log(spark, in_files(log, str(tmp_path), 3), "*.parquet", 1)
