@@ -142,19 +142,22 @@ def taxonomy_stats(terms: DataFrame, group: str, term: str) -> DataFrame:
         without_cjk=F.col("without_cjk") > 0)).withColumn("needs_reason", F.col("terms") < 10))
 
 
-def evidence_completeness(entries: DataFrame, key: str, category: str, dropped: Column) -> DataFrame:
-    """Entry, kind and URL rules per candidate. ``entries`` has kind and url; pairs are reduced before the candidate meets."""
-    reduced = entries.groupBy(key, category, "kind", "url").agg(F.count(F.lit(1)).alias("_n"))
-    per_url = reduced.groupBy(key, category, "url").agg(
+def evidence_completeness(candidates: DataFrame, entries: DataFrame, key: str, category: str, dropped: Column) -> DataFrame:
+    """Entry, kind and URL rules per candidate (``key`` and ``category``), those without evidence included. ``entries`` has the key, kind
+    and url; pairs are reduced before the candidate meets."""
+    reduced = entries.groupBy(key, "kind", "url").agg(F.count(F.lit(1)).alias("_n"))
+    per_url = reduced.groupBy(key, "url").agg(
         F.sum("_n").alias("_n"), F.bool_or(F.col("kind") == "full_text").alias("_full"),
         F.bool_or(F.col("kind") == "official").alias("_official"),
         F.bool_or(~F.col("kind").isin(*rules.EVIDENCE_KINDS)).alias("_odd"))
-    per_key = per_url.groupBy(key, category).agg(
+    found = per_url.groupBy(key).agg(
         F.sum("_n").alias("entries"), F.count(F.lit(1)).alias("urls"), F.bool_or("_full").alias("_full"),
         F.bool_or("_official").alias("_official"), F.bool_or("_odd").alias("_odd"))
+    per_key = (candidates.select(key, category).distinct().join(found, key, "left").na.fill(0, ["entries", "urls"])
+               .na.fill(False, ["_full", "_official", "_odd"]))
     needed = F.when(F.col(category) == "Paper", F.col("_full")).otherwise(F.col("_official"))
     return per_key.select(key, category, "entries", "urls", violations(
-        kind=F.col("_odd"), entries=F.col("entries") > rules.EVIDENCE_LIMIT,
+        kind=F.col("_odd"), entries=~F.col("entries").between(1, rules.EVIDENCE_LIMIT),
         paths=dropped & (F.col("urls") < 2), required=~dropped & ~needed).alias("violations"))
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from .. import rules
+from ..session import pinned
 
 
 def source_inventory(feeds: Mapping[str, DataFrame], receipts: DataFrame) -> DataFrame:
@@ -73,17 +75,22 @@ def prior_cycles(cycles: DataFrame, explicit: Mapping[str, str] | None = None) -
     return found.withColumn("first_cycle", F.col("prior_cycle_id").isNull())
 
 
-def exclude_prior(candidates: DataFrame, prior: DataFrame, identities: Mapping[str, Column]) -> DataFrame:
+def exclude_prior(candidates: DataFrame, prior: DataFrame, identities: Mapping[str, Sequence[Column]]) -> DataFrame:
     """Drop candidates sharing any identity with the cycle before them.
 
-    ``candidates`` has cycle_id and candidate_id; ``prior`` maps cycle_id to prior_cycle_id (cycle dimension).
-    Both sides are exploded to (cycle, kind, key); history is reduced to distinct keys before it is shuffled, so a hot
-    key costs one row there and AQE can split it on the candidate side.
+    ``identities`` maps a kind to the columns that hold identities of it; an array column holds any number. All of one kind are one
+    set: an id in one column meets the same id in another. ``candidates`` has cycle_id and candidate_id; ``prior`` maps cycle_id to
+    prior_cycle_id (cycle dimension). Both sides are exploded to (cycle, kind, key), which is computed once; history is reduced to distinct
+    keys before it is shuffled, so a hot key costs one row there and AQE can split it on the candidate side.
     """
-    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("key"))
-                      for kind, value in identities.items()])
-    exploded = (candidates.select("cycle_id", "candidate_id", F.explode(pairs).alias("_id"))
-                .select("cycle_id", "candidate_id", "_id.kind", "_id.key").where(F.col("key").isNotNull()))
+    def keyed(kind: str, column: Column) -> Column:
+        listed = isinstance(candidates.select(column.alias("_c")).schema["_c"].dataType, ArrayType)
+        keys = F.coalesce(column if listed else F.array(column), F.array()).cast("array<string>")
+        return F.transform(keys, lambda k: F.struct(F.lit(kind).alias("kind"), k.alias("key")))
+
+    pairs = F.concat(*[keyed(kind, c) for kind, columns in identities.items() for c in columns])
+    exploded = pinned(candidates.select("cycle_id", "candidate_id", F.explode(pairs).alias("_id"))
+                      .select("cycle_id", "candidate_id", "_id.kind", "_id.key").where(F.col("key").isNotNull()))
     history = exploded.select(F.col("cycle_id").alias("prior_cycle_id"), "kind", "key").distinct()
     hits = (exploded.join(prior.select("cycle_id", "prior_cycle_id"), "cycle_id")
             .join(history, ["prior_cycle_id", "kind", "key"], "left_semi")

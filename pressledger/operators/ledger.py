@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pinned
-from .windows import BLOCK, prior
+from .windows import prior
 
 
 def latest(log: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str]) -> DataFrame:
@@ -17,31 +17,31 @@ def latest(log: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str]
     return newest.select(*keys, F.col(f"_row.{seq}").alias(seq), *[F.col(f"_row.{c}").alias(c) for c in columns])
 
 
-def first_write_wins(log: DataFrame, keys: Sequence[str], seq: str, value: Column, block: int = BLOCK) -> DataFrame:
+def first_write_wins(log: DataFrame, keys: Sequence[str], seq: str, value: Column, slices: int | None = None) -> DataFrame:
     """created / replay / conflict: the first value of a key is fixed, later equal ones replay it."""
     tagged = prior(log.withColumn("_value", value), keys, seq,
-                   {"_first": ("min", F.struct(F.col(seq), F.col("_value").alias("v")))}, block)
+                   {"_first": ("min", F.struct(F.col(seq), F.col("_value").alias("v")))}, slices)
     outcome = (F.when(F.col("_first").isNull(), "created")
                .when(F.col("_first.v").eqNullSafe(F.col("_value")), "replay").otherwise("conflict"))
     return tagged.withColumn("outcome", outcome).drop("_value", "_first")
 
 
 def illegal_transitions(log: DataFrame, keys: Sequence[str], seq: str, terminal: Column, allowed_after: Column | None = None,
-                        block: int = BLOCK) -> DataFrame:
+                        slices: int | None = None) -> DataFrame:
     """Rows after the first terminal row of their key; ``allowed_after`` may exempt rows, for instance exact repeats."""
-    tagged = prior(log, keys, seq, {"terminal_seq": ("min", F.when(terminal, F.col(seq)))}, block)
+    tagged = prior(log, keys, seq, {"terminal_seq": ("min", F.when(terminal, F.col(seq)))}, slices)
     rows = tagged.where(F.col("terminal_seq").isNotNull())
     return rows if allowed_after is None else rows.where(~allowed_after)
 
 
-def overlapping_claims(claims: DataFrame, keys: Sequence[str], seq: str, start: str, end: str, block: int = BLOCK) -> DataFrame:
+def overlapping_claims(claims: DataFrame, keys: Sequence[str], seq: str, start: str, end: str, slices: int | None = None) -> DataFrame:
     """Flag claims that start before an earlier claim of the same workspace has ended. ``seq`` follows the starts."""
-    tagged = prior(claims, keys, seq, {"_busy_until": ("max", F.col(end))}, block)
+    tagged = prior(claims, keys, seq, {"_busy_until": ("max", F.col(end))}, slices)
     return tagged.withColumn("overlaps", F.coalesce(F.col(start) < F.col("_busy_until"), F.lit(False))).drop("_busy_until")
 
 
 def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, fields: Sequence[str],
-                  block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+                  slices: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(state, rejected) of single-event batches in ``seq`` order.
 
     ``payload`` is the event as JSON. A key present in it overrides, also with null; fields and events not mentioned stay.
@@ -59,7 +59,7 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
     cycle = F.when(named, F.col("_cycle_id")).otherwise(F.col("_carried.v"))
     tagged = prior(unpacked, keys, seq, [
         {"_carried": ("max", F.when(named, F.struct(F.col(seq), F.col("_cycle_id").alias("v"))))},
-        {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}], block)
+        {"_fixed": ("min", F.when(emitted, F.struct(F.col(seq), cycle.alias("cycle"))))}], slices)
     regress = F.col("_fixed").isNotNull() & (
         ~F.coalesce(emitted, F.lit(False)) | ~F.col("_cycle_id").eqNullSafe(F.col("_fixed.cycle")))
     judged = tagged.withColumn("_rejected", regress)
@@ -102,7 +102,7 @@ def daily_counts(events: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def delivery_outcomes(log: DataFrame, keys: Sequence[str], seq: str, action: str, evidence_ok: str,
-                      block: int = BLOCK) -> DataFrame:
+                      slices: int | None = None) -> DataFrame:
     """What a delivery ledger does with each row: started, blocked, unknown, failed, confirmed, refused, terminal, no_intent.
 
     One attempt per key may be open; a proven failure closes it and alone permits another; a confirmation is final. An
@@ -117,7 +117,7 @@ def delivery_outcomes(log: DataFrame, keys: Sequence[str], seq: str, action: str
         {"_switch": ("max", F.when(switch, F.struct(F.col(seq), (act == "start").alias("open")))),
          "_started": ("min", F.when(act == "start", F.col(seq)))},
         # once confirmed the key stays closed, whatever the switches say afterwards
-        {"_confirmed": ("min", F.when((act == "confirmed") & ok & is_open, F.col(seq)))}], block)
+        {"_confirmed": ("min", F.when((act == "confirmed") & ok & is_open, F.col(seq)))}], slices)
     closed, ever = F.col("_confirmed").isNotNull(), F.col("_started").isNotNull()
     outcome = (F.when(act == "start", F.when(closed | is_open, "blocked").otherwise("started"))
                .when(~ever, "no_intent").when(closed | ~is_open, "terminal")
@@ -128,16 +128,16 @@ def delivery_outcomes(log: DataFrame, keys: Sequence[str], seq: str, action: str
 TRANSITIONS: Mapping[str, str] = {"started": "pending", "unknown": "unknown", "failed": "failed", "confirmed": "confirmed"}
 
 
-def delivery_history(outcomes: DataFrame, keys: Sequence[str], seq: str, block: int = BLOCK) -> DataFrame:
+def delivery_history(outcomes: DataFrame, keys: Sequence[str], seq: str, slices: int | None = None) -> DataFrame:
     """Ordered transitions per attempt as rows (attempt, position, state), however long an attempt gets."""
     state = F.col("outcome")
     for outcome, name in TRANSITIONS.items():
         state = F.when(F.col("outcome") == outcome, name).otherwise(state)
     rows = pinned(outcomes.where(F.col("outcome").isin(*TRANSITIONS)).select(*keys, seq, "outcome", state.alias("state")))
     started = (F.col("outcome") == "started").cast("bigint")
-    attempts = prior(rows, keys, seq, {"_earlier": ("sum", started)}, block)
+    attempts = prior(rows, keys, seq, {"_earlier": ("sum", started)}, slices)
     numbered = pinned(attempts.select(*keys, seq, "state", (F.col("_earlier") + started).alias("attempt")))
-    placed = prior(numbered, [*keys, "attempt"], seq, {"_before": ("sum", F.lit(1).cast("bigint"))}, block)
+    placed = prior(numbered, [*keys, "attempt"], seq, {"_before": ("sum", F.lit(1).cast("bigint"))}, slices)
     return placed.select(*keys, "attempt", (F.col("_before") + 1).alias("position"), "state", seq)
 
 

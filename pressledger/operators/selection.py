@@ -93,11 +93,13 @@ def report_order(selection: DataFrame) -> DataFrame:
             .withColumn("position", F.row_number().over(window).cast("bigint")))
 
 
-def quota_violations(df: DataFrame) -> DataFrame:
-    """Counts per cycle and the broken quota rules; News + Policy share one capacity, so 10/7/3 is legal."""
+def quota_violations(df: DataFrame, cycles: DataFrame) -> DataFrame:
+    """Counts and the broken quota rules per cycle of ``cycles`` (cycle_id), those without any record included. News + Policy share one
+    capacity, so 10/7/3 is legal."""
     n = {c: F.count_if(F.col("category") == c).alias(f"{c.lower()}_count") for c in rules.CATEGORIES}
     other = F.count_if(~F.col("category").isin(*rules.CATEGORIES) | F.col("category").isNull())
-    counted = df.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("total"), *n.values(), other.alias("other_count"))
+    found = df.groupBy("cycle_id").agg(F.count(F.lit(1)).alias("total"), *n.values(), other.alias("other_count"))
+    counted = cycles.select("cycle_id").distinct().join(found, "cycle_id", "left").na.fill(0)
     checks = F.array(
         F.when(F.col("total") == 0, "empty"),
         F.when(F.col("total") > rules.SELECTION_LIMIT, "total"),
@@ -140,7 +142,7 @@ def quota_proof(published: DataFrame, revisions: DataFrame) -> DataFrame:
 
 
 def digest_messages(df: DataFrame, title: Column) -> DataFrame:
-    """One text per cycle: count, first three titles and 'n more' per category.
+    """One text per cycle of a publication: count, first three titles and 'n more' per category, also for a category without records.
 
     Counting is a partial aggregate and only three titles per (cycle, category) leave the map side.
     """
@@ -149,14 +151,15 @@ def digest_messages(df: DataFrame, title: Column) -> DataFrame:
     titles = (df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= 3)
               .groupBy("cycle_id", "category")
               .agg(F.array_sort(F.collect_list(F.struct("_rank", title.alias("title")))).alias("_titles")))
+    every = counts.select("cycle_id").distinct().select("cycle_id", F.explode(F.array(*[F.lit(c) for c in rules.CATEGORIES])).alias("category"))
+    filled = (every.join(counts, ["cycle_id", "category"], "left").join(titles, ["cycle_id", "category"], "left")
+              .withColumn("n", F.coalesce("n", F.lit(0))))
+    empty = F.array().cast("array<string>")
     lines = F.concat(
         F.array(F.concat(F.col("category"), F.lit(": "), F.col("n").cast("string"))),
-        F.transform("_titles", lambda t: F.concat(F.lit("- "), t["title"])),
-        F.when(F.col("n") > 3, F.array(F.concat(F.lit("- 另有 "), (F.col("n") - 3).cast("string"), F.lit(" 条"))))
-        .otherwise(F.array().cast("array<string>")))
-    blocks = (counts.join(titles, ["cycle_id", "category"])
-              .select("cycle_id", category_ordinal(F.col("category")).alias("_order"),
-                      F.array_join(lines, "\n").alias("_block")))
+        F.coalesce(F.transform("_titles", lambda t: F.concat(F.lit("- "), t["title"])), empty),
+        F.when(F.col("n") > 3, F.array(F.concat(F.lit("- 另有 "), (F.col("n") - 3).cast("string"), F.lit(" 条")))).otherwise(empty))
+    blocks = filled.select("cycle_id", category_ordinal(F.col("category")).alias("_order"), F.array_join(lines, "\n").alias("_block"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_order", "_block"))),
                                     lambda b: b["_block"]), "\n")
     return (blocks.groupBy("cycle_id").agg(text.alias("message"))

@@ -2,8 +2,8 @@
 
 Two cases:
 
-* logs with a unique integer order (``seq``): rows are cut into blocks of ``BLOCK`` consecutive sequence numbers, so a
-  (key, block) pair never holds more than ``BLOCK`` rows whatever the key distribution is;
+* logs with a unique order (``seq``), dense or not: rows are cut into range slices of (key, seq), so a hot key is spread over
+  many slices and there are at most as many (key, slice) pairs as keys and slices;
 * groups with an arbitrary order: groups above ``HOT_ROWS`` are found by a pre-aggregated count and cut into range
   slices, all other groups take the plain window.
 
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..session import pinned
 
-BLOCK = 1 << 18
 HOT_ROWS = 5_000_000
 
 _AGGREGATE = {"max": F.max, "min": F.min, "sum": F.sum}
@@ -42,19 +41,21 @@ def _combine(how: str, before: Column, inside: Column) -> Column:
 
 def prior(df: DataFrame, keys: Sequence[str], seq: str,
           values: Mapping[str, tuple[str, Column]] | Sequence[Mapping[str, tuple[str, Column]]],
-          block: int = BLOCK) -> DataFrame:
+          slices: int | None = None) -> DataFrame:
     """Add exclusive running aggregates: for each row, over the earlier rows (by ``seq``) of its key.
 
     ``values`` maps a new column to ``("max" | "min" | "sum", expression)``. The last value before a row is the
     maximum of ``struct(seq, value)``. A list of mappings is applied in order, later expressions may use earlier results.
-    ``seq`` must be a unique non-negative integer.
+    ``seq`` must be unique; it may be sparse, hashed or negative.
 
-    The rows are shuffled by (key, block) only; the block totals are partial aggregates, one row per (key, block). ``df``
-    is read twice for this, so between steps the rows are written to the shared folder rather than computed again.
+    Rows are range-partitioned by (key, seq) into ``slices`` (one for each shuffle partition by default) and written to the shared
+    folder, as slices are only stable once written; running values inside a slice meet a prefix over one row per (key, slice). Between
+    steps the rows are written again rather than computed twice.
     """
     keys = list(keys)
     steps = [values] if isinstance(values, Mapping) else list(values)
-    cut = df.select("*", F.expr(f"`{seq}` div {block}L").alias("_block"))
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = pinned(df.repartitionByRange(slices, *[F.col(k) for k in keys], F.col(seq)).withColumn("_block", F.spark_partition_id()))
     for i, step in enumerate(steps):
         cut = _prior_step(pinned(cut) if i else cut, keys, seq, step)
     return cut.drop("_block")

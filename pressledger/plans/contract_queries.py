@@ -208,13 +208,18 @@ def stage_ownership(spark, folder):
 
 
 @query("evidence_complete", f"""with {CONV_STAGES},
-e as (select conv_id, category, count(*) as entries, count(distinct url) as urls, bool_or(kind = 'full_text') as f, bool_or(kind = 'official') as o
-      from conv_stages group by conv_id, category)
-select conv_id, category, entries, urls, concat_ws(',', case when entries > 24 then 'entries' end,
+k as (select distinct conv_id, category from conv_stages union select -1 - conv_id, category from conv_stages where conv_id % 10 = 0),
+e as (select k.conv_id, k.category, count(s.kind) as entries, count(distinct url) as urls, coalesce(bool_or(kind = 'full_text'), false) as f,
+      coalesce(bool_or(kind = 'official'), false) as o from k left join conv_stages s on k.conv_id = s.conv_id group by k.conv_id, k.category)
+select conv_id, category, entries, urls, concat_ws(',', case when entries > 24 or entries < 1 then 'entries' end,
   case when conv_id % 4 = 0 and urls < 2 then 'paths' end,
   case when conv_id % 4 <> 0 and not (case when category = 'Paper' then f else o end) then 'required' end) as violations from e""")
 def evidence_complete(spark, folder):
-    return ops.evidence_completeness(conv_stages(spark, folder), "conv_id", "category", F.col("conv_id") % 4 == 0)
+    """Every tenth conversation has a twin of negative id without any evidence."""
+    stages, conv = conv_stages(spark, folder), F.col("conv_id")
+    keys = stages.select("conv_id", "category")
+    every = keys.unionByName(keys.where(conv % 10 == 0).withColumn("conv_id", -1 - conv))
+    return ops.evidence_completeness(every, stages, "conv_id", "category", conv % 4 == 0)
 
 
 @query("context_isolation", f"""with {CONV_STAGES},
@@ -338,16 +343,15 @@ def release_gate(spark, folder):
     return ops.release_gate(cycles, rows, F.col("value") >= 10).select("cycle_id")
 
 
-@query("referenced_union", """select l_partkey as blob from lineitem union select p_partkey from part where p_size > 25""")
+@query("referenced_union", """select l_partkey as blob from lineitem union select p_partkey from part""")
 def referenced_union(spark, folder):
     return (load(spark, folder, "lineitem").select(F.col("l_partkey").alias("blob"))
-            .union(load(spark, folder, "part").where(F.col("p_size") > 25).select("p_partkey")).distinct())
+            .union(load(spark, folder, "part").select("p_partkey")).distinct())
 
 
-@query("orphan_blobs", """select c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 400000)""")
+@query("orphan_blobs", """select c_custkey from customer where c_custkey not in (select o_custkey from orders)""")
 def orphan_blobs(spark, folder):
-    used = (load(spark, folder, "orders").where(F.col("o_totalprice") > 400_000)
-            .select(F.col("o_custkey").alias("c_custkey")).distinct())
+    used = load(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return load(spark, folder, "customer").select("c_custkey").join(used, "c_custkey", "left_anti")
 
 

@@ -189,14 +189,21 @@ def prior_asof(spark, folder):
     return ops.prior_cycles(weekly_cycles(spark, folder)).drop("cycle_no")
 
 
-@query("prior_exclusion", f"""with {PRIOR_SQL}
-select c.cycle_id, c.candidate_id, c.category from candidates c join prior p on c.cycle_id = p.cycle_id
-where not exists (select 1 from candidates h where h.cycle_id = p.prior_cycle_id
-                  and (h.source_key = c.source_key or h.candidate_id = c.candidate_id))""")
+@query("prior_exclusion", f"""with {PRIOR_SQL},
+i as (select *, list_concat(case when source_key % 4 = 0 then [] else [concat('source-', cast(source_key as varchar)), concat('page-', cast(source_key * 7 + score as varchar))] end,
+    [case when source_key % 3 = 0 then concat('arxiv-', cast(source_key * 5 as varchar)) end, concat('page-', cast(source_key * 7 + 61 as varchar))]) as ids from candidates)
+select c.cycle_id, c.candidate_id, c.category from i c join prior p on c.cycle_id = p.cycle_id
+where not exists (select 1 from i h where h.cycle_id = p.prior_cycle_id and (h.candidate_id = c.candidate_id
+                  or list_has_any(list_filter(h.ids, lambda x: x is not null), c.ids)))""")
 def prior_exclusion(spark, folder):
-    rows = candidates(spark, folder).select("cycle_id", "candidate_id", "category", "source_key")
-    kept = ops.exclude_prior(rows, ops.prior_cycles(weekly_cycles(spark, folder)),
-                             {"candidate": F.col("candidate_id"), "source": F.col("source_key")})
+    """Identities of a candidate: a list of sources and pages that may be empty, a preprint id that may be NULL, and a canonical page."""
+    rows = candidates(spark, folder).select("cycle_id", "candidate_id", "category", "source_key", "score")
+    key = F.col("source_key")
+    page = lambda number: F.concat(F.lit("page-"), text_of(key * 7 + number))
+    listed = F.when(key % 4 != 0, F.array(F.concat(F.lit("source-"), text_of(key)), page(F.col("score"))))
+    kept = ops.exclude_prior(rows, ops.prior_cycles(weekly_cycles(spark, folder)), {
+        "candidate": [F.col("candidate_id")],
+        "source": [listed, F.when(key % 3 == 0, F.concat(F.lit("arxiv-"), text_of(key * 5))), page(61)]})
     return kept.select("cycle_id", "candidate_id", "category")
 
 

@@ -102,15 +102,21 @@ def report_order(spark, folder):
 
 
 @query("quota_check", f"""with {CANDIDATES},
-n as (select cycle_id, count(*) as total, count(*) filter (where category = 'Paper') as paper_count,
+cycles as (select cycle_id from candidates union select cast(cycle_id + interval 7 day as date) from candidates),
+c as (select cycle_id, count(*) as total, count(*) filter (where category = 'Paper') as paper_count,
              count(*) filter (where category = 'News') as news_count,
              count(*) filter (where category = 'Policy') as policy_count
-      from candidates where score >= 75 group by cycle_id)
-select *, concat_ws(',', case when total > 20 then 'total' end, case when paper_count > 10 then 'paper' end,
+      from candidates group by cycle_id),
+n as (select cycles.cycle_id, coalesce(total, 0) as total, coalesce(paper_count, 0) as paper_count, coalesce(news_count, 0) as news_count,
+             coalesce(policy_count, 0) as policy_count from cycles left join c on cycles.cycle_id = c.cycle_id)
+select *, concat_ws(',', case when total = 0 then 'empty' end, case when total > 20 then 'total' end, case when paper_count > 10 then 'paper' end,
                     case when policy_count > 3 then 'policy' end,
                     case when news_count + policy_count > 10 then 'news_policy' end) as violations from n""")
 def quota_check(spark, folder):
-    return ops.quota_violations(candidates(spark, folder).where(F.col("score") >= 75))
+    """The weeks that have a candidate and those after them, of which at least the last has none."""
+    rows = candidates(spark, folder)
+    cycles = rows.select("cycle_id").unionByName(rows.select(F.date_add("cycle_id", 7).alias("cycle_id")))
+    return ops.quota_violations(rows, cycles)
 
 
 @query("quota_proof", f"""with {SELECTION},
@@ -139,19 +145,18 @@ def quota_proof(spark, folder):
     return proof.withColumn("proof_equal", stored.eqNullSafe(F.col("news_count")))
 
 
-@query("digest_message", f"""with {CANDIDATES},
-r as (select *, row_number() over (partition by cycle_id, category order by score desc, candidate_id) as rk,
-             count(*) over (partition by cycle_id, category) as n from candidates where score >= 60),
-b as (select cycle_id, category,
-             concat_ws(chr(10), concat(category, ': ', cast(max(n) as varchar)),
-                       string_agg(concat('- ', candidate_id), chr(10) order by rk) filter (where rk <= 3),
-                       case when max(n) > 3 then concat('- 另有 ', cast(max(n) - 3 as varchar), ' 条') end) as block
-      from r group by cycle_id, category)
-select cycle_id, string_agg(block, chr(10) order by case category when 'Paper' then 1 when 'News' then 2 else 3 end) as message,
-       length(string_agg(block, chr(10))) <= 4000 as within_limit
+@query("digest_message", f"""with {SELECTION},
+r as (select *, row_number() over (partition by cycle_id, category order by score desc, candidate_id) as rk from selection),
+k as (select c.cycle_id, t.category, t.o from (select distinct cycle_id from r) c cross join (values ('Paper', 1), ('News', 2), ('Policy', 3)) t(category, o)),
+b as (select k.cycle_id, k.category, k.o,
+             concat_ws(chr(10), concat(k.category, ': ', cast(count(r.candidate_id) as varchar)),
+                       string_agg(concat('- ', r.candidate_id), chr(10) order by rk) filter (where rk <= 3),
+                       case when count(r.candidate_id) > 3 then concat('- 另有 ', cast(count(r.candidate_id) - 3 as varchar), ' 条') end) as block
+      from k left join r on k.cycle_id = r.cycle_id and k.category = r.category group by k.cycle_id, k.category, k.o)
+select cycle_id, string_agg(block, chr(10) order by o) as message, length(string_agg(block, chr(10))) <= 4000 as within_limit
 from b group by cycle_id""")
 def digest_message(spark, folder):
-    return ops.digest_messages(qualified(spark, folder), F.col("candidate_id"))
+    return ops.digest_messages(selected(spark, folder), F.col("candidate_id"))
 
 
 @query("track_score", f"""with {SCORE_DIMS},

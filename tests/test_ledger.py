@@ -91,11 +91,11 @@ def test_event_upsert(spark, seed, block):
 
 def test_first_write_and_overlaps(spark):
     df = spark.createDataFrame([(0, "k", "a"), (1, "k", "a"), (2, "k", "b"), (3, "j", None), (4, "j", None)], "seq bigint, k string, v string")
-    got = ledger.first_write_wins(df, ["k"], "seq", F.col("v"), block=2).orderBy("seq").collect()
+    got = ledger.first_write_wins(df, ["k"], "seq", F.col("v"), slices=2).orderBy("seq").collect()
     assert [r.outcome for r in got] == ["created", "replay", "conflict", "created", "replay"]
     claims = spark.createDataFrame([(0, "w", 0, 10), (1, "w", 10, 12), (2, "w", 11, 20), (3, "v", 11, 20), (4, "w", 19, 21)],
                                    "seq bigint, w string, a bigint, b bigint")
-    assert [r.overlaps for r in ledger.overlapping_claims(claims, ["w"], "seq", "a", "b", block=2).orderBy("seq").collect()] == [
+    assert [r.overlaps for r in ledger.overlapping_claims(claims, ["w"], "seq", "a", "b", slices=2).orderBy("seq").collect()] == [
         False, False, True, False, True]
 
 
@@ -115,7 +115,7 @@ def test_prior_exclusion_by_any_identity(spark):
             ("c2", "z", None, None), ("c3", "w", "u1", None)]
     df = spark.createDataFrame(rows, "cycle_id string, candidate_id string, url string, paper string")
     prior = spark.createDataFrame([("c1", None), ("c2", "c1"), ("c3", "c1")], "cycle_id string, prior_cycle_id string")
-    kept = exclude_prior(df, prior, {"id": F.col("candidate_id"), "url": F.col("url"), "paper": F.col("paper")})
+    kept = exclude_prior(df, prior, {"id": [F.col("candidate_id")], "url": [F.col("url")], "paper": [F.col("paper")]})
     assert sorted(r.candidate_id for r in kept.collect()) == ["a", "b", "z"]
 
 

@@ -13,12 +13,14 @@ def skewed_log(n, seed):
     return [(i, rng.choice(names), rng.randrange(100)) for i in range(n)]
 
 
-@pytest.mark.parametrize("block", [7, 64, 10_000])
-def test_prior_equals_brute_force(spark, block):
-    rows = skewed_log(500, block)
+@pytest.mark.parametrize("slices,sparse", [(1, False), (7, False), (7, True), (64, True)])
+def test_prior_equals_brute_force(spark, slices, sparse):
+    rows = skewed_log(500, slices)
+    if sparse:  # hashed ids of 64 bits, in no order
+        rows = sorted((hash((i, 7)) % 2**64 - 2**63, k, v) for i, k, v in rows)
     df = spark.createDataFrame(rows, "seq bigint, k string, v bigint").repartition(5)
     got = prior(df, ["k"], "seq", {"low": ("min", F.col("v")), "high": ("max", F.col("v")), "total": ("sum", F.col("v")),
-                                   "last": ("max", F.when(F.col("v") % 3 == 0, F.struct("seq", "v")))}, block)
+                                   "last": ("max", F.when(F.col("v") % 3 == 0, F.struct("seq", "v")))}, slices)
     seen = {}
     for seq, k, v in rows:
         before = [x for s, kk, x in rows if kk == k and s < seq]
