@@ -219,8 +219,16 @@ def status_summary(tables: Mapping[str, DataFrame], cycles: DataFrame) -> DataFr
     return reduce(DataFrame.unionByName, [*counts, phases])
 
 
-def release_gate(cycles: DataFrame, deliveries: DataFrame, valid: Column) -> DataFrame:
-    """Cycles with a frozen digest and a confirmed deployment whose evidence is valid."""
-    confirmed = deliveries.where((F.col("channel") == "deployment") & (F.col("state") == "confirmed") & valid)
-    return cycles.where(F.col("frozen_sha256").isNotNull()).join(
-        confirmed.select("cycle_id").distinct(), "cycle_id", "left_semi")
+EVIDENCE_FIELDS = ("frozen_sha256", "local_verified", "push_verified", "public_verified", "artifact_sha256", "commit_sha")
+
+
+def release_gate(cycles: DataFrame, deliveries: DataFrame) -> DataFrame:
+    """Cycles with a frozen digest (cycle_id, frozen_sha256) and a confirmed deployment whose evidence holds for that digest.
+
+    ``deliveries`` has cycle_id, channel, state and the fields of the evidence.
+    """
+    frozen = cycles.where(F.col("frozen_sha256").isNotNull())
+    confirmed = (deliveries.where((F.col("channel") == "deployment") & (F.col("state") == "confirmed"))
+                 .select(F.col("cycle_id").alias("_cycle"), *[F.col(f).alias(f"_{f}") for f in EVIDENCE_FIELDS]))
+    holds = evidence_ok({f: F.col(f"_{f}") for f in EVIDENCE_FIELDS}, F.col("frozen_sha256"))
+    return frozen.join(confirmed, (F.col("cycle_id") == F.col("_cycle")) & holds, "left_semi")

@@ -82,17 +82,28 @@ def public_projection(spark, folder):
     return ops.public_projection(rows.where(F.col("outcome") == "success"))
 
 
-@query("evidence_ok", """with f as (select event_id, sha256(cast(event_id as varchar)) as h, event_id % 8 as k from events)
-select event_id, k in (0, 1, 7) as ok from f""")
-def evidence_ok(spark, folder):
-    k, h = F.col("event_id") % 8, F.col("h")
-    rows = load(spark, folder, "events").select("event_id", sha256_text(text_of("event_id")).alias("h"))
-    evidence = {
+def evidence_fields(k, h):
+    """The evidence of a delivery in eight variants of which two are sound; ``h`` is the frozen digest."""
+    return {
         "frozen_sha256": F.when(k == 2, F.reverse(h)).otherwise(h), "local_verified": k != 3,
         "push_verified": F.when(k == 4, F.lit(None).cast("boolean")).otherwise(F.lit(True)), "public_verified": F.lit(True),
         "commit_sha": F.when(k == 5, F.substring(h, 1, 39)).when(k == 1, F.substring(h, 1, 40)).otherwise(h),
         "artifact_sha256": F.when(k == 6, F.concat(F.lit("G"), F.substring(h, 2, 63))).otherwise(h)}
-    return rows.select("event_id", ops.evidence_ok(evidence, h).alias("ok"))
+
+
+# the same fields and then the rule, over rows with k and h
+EVIDENCE_SQL = """case when k = 2 then reverse(h) else h end as frozen, k <> 3 as local_ok, case when k = 4 then null else true end as push_ok, true as public_ok,
+  case when k = 5 then h[1:39] when k = 1 then h[1:40] else h end as commit_sha, case when k = 6 then concat('G', h[2:64]) else h end as artifact"""
+EVIDENCE_RULE = """coalesce(local_ok and push_ok and public_ok and frozen = h and regexp_full_match(commit_sha, '[0-9a-f]{40}|[0-9a-f]{64}')
+  and regexp_full_match(artifact, '[0-9a-f]{64}'), false)"""
+
+
+@query("evidence_ok", f"""with f as (select event_id, sha256(cast(event_id as varchar)) as h, event_id % 8 as k from events),
+e as (select event_id, h, {EVIDENCE_SQL} from f)
+select event_id, {EVIDENCE_RULE} as ok from e""")
+def evidence_ok(spark, folder):
+    rows = load(spark, folder, "events").select("event_id", sha256_text(text_of("event_id")).alias("h"))
+    return rows.select("event_id", ops.evidence_ok(evidence_fields(F.col("event_id") % 8, F.col("h")), F.col("h")).alias("ok"))
 
 
 @query("record_rules", f"""with {DOC_RECORDS}
@@ -329,18 +340,20 @@ def status_summary(spark, folder):
 
 
 @query("release_gate", f"""with {EVENT_LOG},
-d as (select *, concat(source, '-', cast(cast(ts as date) as varchar)) as cycle_id from event_log)
-select distinct cycle_id from d a where exists (select 1 from d b where b.cycle_id = a.cycle_id and b.user_id % 40 < 20
-   and b.event_type = 'purchase' and b.value >= 10) and a.event_type = 'view'""")
+d as (select *, concat(source, '-', cast(cast(ts as date) as varchar)) as cycle_id from event_log),
+e as (select cycle_id, user_id, event_type, seq % 8 as k, sha256(cycle_id) as h from d),
+c as (select cycle_id, h, {EVIDENCE_SQL} from e where user_id % 40 < 20 and event_type = 'purchase')
+select distinct cycle_id from d where event_type = 'view' and cycle_id in (select cycle_id from c where {EVIDENCE_RULE})""")
 def release_gate(spark, folder):
     rows = event_log(spark, folder).select(
         F.concat("source", F.lit("-"), text_of(F.col("ts").cast("date"))).alias("cycle_id"),
         F.when(F.col("user_id") % 40 < 20, "deployment").otherwise("notification").alias("channel"),
-        F.when(F.col("event_type") == "purchase", "confirmed").otherwise("unknown").alias("state"), "value", "event_type")
+        F.when(F.col("event_type") == "purchase", "confirmed").otherwise("unknown").alias("state"), "seq", "event_type")
     # a cycle counts as frozen once it had a 'view'
-    cycles = rows.groupBy("cycle_id").agg(F.max(F.when(
-        F.col("event_type") == "view", sha256_text(F.col("cycle_id")))).alias("frozen_sha256"))
-    return ops.release_gate(cycles, rows, F.col("value") >= 10).select("cycle_id")
+    digest = sha256_text(F.col("cycle_id"))
+    cycles = rows.groupBy("cycle_id").agg(F.max(F.when(F.col("event_type") == "view", digest)).alias("frozen_sha256"))
+    evidence = evidence_fields(F.col("seq") % 8, digest)
+    return ops.release_gate(cycles, rows.select("cycle_id", "channel", "state", *[c.alias(n) for n, c in evidence.items()])).select("cycle_id")
 
 
 @query("referenced_union", """select l_partkey as blob from lineitem union select p_partkey from part""")

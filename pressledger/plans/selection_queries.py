@@ -174,6 +174,35 @@ def track_score(spark, folder):
         scoring.track_score(dims, "Paper").alias("score"))
 
 
+@query("news_score", f"""with {SCORE_DIMS},
+d as (select l_orderkey, l_linenumber, relevance as materiality, novelty + 4 as evidence, impact + 4 as impact, team + 4 as novelty, timeliness + 4 as timeliness,
+  l_linenumber - 2 as bonus from score_dims),
+v as (select *, case when materiality <= 30 then least(materiality + least(greatest(bonus, 0), 5), 30) else materiality end as lifted,
+  concat_ws(',', case when materiality > 30 then 'materiality' end, case when evidence > 25 then 'evidence' end, case when impact > 20 then 'impact' end,
+  case when novelty > 15 then 'novelty' end, case when timeliness > 10 then 'timeliness' end) as violations from d)
+select l_orderkey, l_linenumber, violations, case when violations = '' then lifted + evidence + impact + novelty + timeliness end as score from v""")
+def news_score(spark, folder):
+    dims = {"materiality": F.col("relevance"), "evidence": F.col("novelty") + 4, "impact": F.col("impact") + 4, "novelty": F.col("team") + 4,
+            "timeliness": F.col("timeliness") + 4}
+    return score_dims(spark, folder).select(
+        "l_orderkey", "l_linenumber", F.array_join(scoring.score_violations(dims, "News"), ",").alias("violations"),
+        scoring.track_score(dims, "News", F.col("l_linenumber") - 2).alias("score"))
+
+
+@query("policy_score", f"""with {SCORE_DIMS},
+d as (select l_orderkey, l_linenumber, relevance as materiality, novelty + 4 as authority, impact + 4 as scope, team + 4 as implementation,
+  timeliness + 4 as timeliness from score_dims),
+v as (select *, concat_ws(',', case when materiality > 30 then 'materiality' end, case when authority > 25 then 'authority' end, case when scope > 20 then 'scope' end,
+  case when implementation > 15 then 'implementation' end, case when timeliness > 10 then 'timeliness' end) as violations from d)
+select l_orderkey, l_linenumber, violations, case when violations = '' then materiality + authority + scope + implementation + timeliness end as score from v""")
+def policy_score(spark, folder):
+    dims = {"materiality": F.col("relevance"), "authority": F.col("novelty") + 4, "scope": F.col("impact") + 4, "implementation": F.col("team") + 4,
+            "timeliness": F.col("timeliness") + 4}
+    return score_dims(spark, folder).select(
+        "l_orderkey", "l_linenumber", F.array_join(scoring.score_violations(dims, "Policy"), ",").alias("violations"),
+        scoring.track_score(dims, "Policy").alias("score"))
+
+
 @query("score_band", f"""with {CANDIDATES}
 select category, case when score >= 90 then '90-100' when score >= 80 then '80-89' when score >= 70 then '70-79'
                       when score >= 60 then '60-69' else 'below-60' end as band, count(*) as n
