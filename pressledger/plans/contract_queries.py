@@ -66,7 +66,9 @@ def cursor_bounds(spark, folder):
         "event_id", js.cursor_reason(F.col("payload")).alias("reason"))
 
 
-@query("exact_fields", """select event_id, event_id % 4 in (0, 3) as exact from events""")
+@query("exact_fields", """with f as (select event_id, case event_id % 4 when 0 then concat('{"value":', cast(value as varchar), ',"k":1}') when 1 then props
+  when 2 then concat('{"k":1,"value":2,"more":', props, '}') else concat('{"k":', props, ',"value":null}') end as payload from events)
+select event_id, list_sort(json_keys(payload)) = ['k', 'value'] as exact from f""")
 def exact_fields(spark, folder):
     payload = choose(
         F.col("event_id") % 4, F.concat(F.lit('{"value":'), text_of("value"), F.lit(',"k":1}')), F.col("props"),
@@ -160,10 +162,13 @@ def coverage(spark, folder):
     return ops.coverage(load(spark, folder, "documents"), outcomes, "doc_id")
 
 
-@query("immutable_fields", f"""with {CANDIDATES}
-select candidate_id, concat_ws(',', case when source_key % 10 = 0 and category <> 'News' then 'category' end,
-  case when source_key % 7 = 0 then 'score' end, case when source_key % 9 = 0 then 'rating_track' end) as changed_fields
-from candidates where (source_key % 10 = 0 and category <> 'News') or source_key % 7 = 0 or source_key % 9 = 0""")
+@query("immutable_fields", f"""with {CANDIDATES},
+b as (select candidate_id, source_key, category, score, concat(lower(category), '-v3') as rating_track from candidates),
+a as (select candidate_id, case when source_key % 10 = 0 then 'News' else category end as category, case when source_key % 7 = 0 then score + 1 else score end as score,
+  case when source_key % 9 = 0 then null else rating_track end as rating_track from b),
+d as (select b.candidate_id, concat_ws(',', case when a.category is distinct from b.category then 'category' end, case when a.score is distinct from b.score then 'score' end,
+  case when a.rating_track is distinct from b.rating_track then 'rating_track' end) as changed_fields from b join a on a.candidate_id = b.candidate_id)
+select * from d where changed_fields <> ''""")
 def immutable_fields(spark, folder):
     key = F.col("source_key")
     before = candidates(spark, folder).select(
@@ -307,9 +312,11 @@ def stage_sequence(spark, folder):
     return ops.stage_sequence(rows, "conv_id", "category", TALK_SECTIONS, complete)
 
 
-@query("ref_list", """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linenumber in (5, 6) as malformed,
-  case when l_linenumber in (5, 6) then null when l_linenumber in (3, 4) then '' else concat(cast(l_partkey + 1 as varchar), ',', cast(l_suppkey + 1 as varchar)) end as refs
-from lineitem""")
+@query("ref_list", r"""with f as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, concat(cast(l_partkey + 1 as varchar), ',', cast(l_suppkey + 1 as varchar)) as pair from lineitem),
+p as (select *, case l_linenumber when 3 then '' when 4 then null when 5 then concat('[', pair, ']') when 6 then concat('["L",-', pair, ']') else concat('["L",', pair, ']') end as packed from f),
+m as (select *, coalesce(packed <> '' and not regexp_full_match(packed, '\["L"(,[1-9][0-9]*)*\]'), false) as malformed from p)
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, malformed,
+  case when malformed then null else coalesce(regexp_replace(packed, '[^0-9]*([0-9].*)\]$', '\1'), '') end as refs from m""")
 def ref_list(spark, folder):
     line = F.col("l_linenumber")
     pair = F.concat(text_of(F.col("l_partkey") + 1), F.lit(","), text_of(F.col("l_suppkey") + 1))
@@ -321,8 +328,10 @@ def ref_list(spark, folder):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "d.malformed", F.array_join("d.refs", ",").alias("refs"))
 
 
-@query("anomaly_split", """select event_id, case when event_id % 3 = 1 then 'quarantine' else 'relation' end as destination,
-  case when event_id % 3 = 1 then 'text in a reference cell' end as reason from events""")
+@query("anomaly_split", """with f as (select event_id, case event_id % 3 when 0 then concat('["L",', cast(event_id + 1 as varchar), ']')
+  when 1 then concat('"', event_type, '"') else '""' end as cell from events),
+t as (select event_id, json_type(cell) = 'VARCHAR' and json_extract_string(cell, '$') <> '' as anomaly from f)
+select event_id, case when anomaly then 'quarantine' else 'relation' end as destination, case when anomaly then 'text in a reference cell' end as reason from t""")
 def anomaly_split(spark, folder):
     cell = choose(F.col("event_id") % 3, F.concat(F.lit('["L",'), text_of(F.col("event_id") + 1), F.lit("]")),
                   F.concat(F.lit('"'), F.col("event_type"), F.lit('"')), '""')

@@ -90,10 +90,13 @@ def source_identity(spark, folder):
         F.array_join(F.array_sort("u"), " ").alias("urls"))
 
 
-@query("arxiv_id", """select doc_id, case doc_id % 4
-  when 0 then concat('2401.', lpad(cast(doc_id % 100000 as varchar), 5, '0'))
-  when 1 then concat('2402.', lpad(cast(doc_id % 10000 as varchar), 4, '0'))
-  when 2 then concat('2403.', lpad(cast(doc_id % 100000 as varchar), 5, '0')) end as normalized_id from documents""")
+@query("arxiv_id", r"""with f as (select doc_id, case doc_id % 4
+    when 0 then ['https://example.org/x', concat('https://arxiv.org/abs/2401.', lpad(cast(doc_id % 100000 as varchar), 5, '0'), 'v2')]
+    when 2 then [concat('http://arxiv.org/pdf/2403.', lpad(cast(doc_id % 100000 as varchar), 5, '0')), concat('https://arxiv.org/abs/2404.', lpad(cast(doc_id % 100000 as varchar), 5, '0'))]
+    else [concat('https://example.org/', cast(doc_id as varchar))] end as urls,
+  case when doc_id % 4 = 1 then concat('arxiv:2402.', lpad(cast(doc_id % 10000 as varchar), 4, '0'), 'v1') else concat('doc-', cast(doc_id as varchar)) end as candidate from documents)
+select doc_id, list_filter(list_transform(list_append(urls, candidate),
+    lambda u: regexp_extract(u, '(?:arxiv:|arxiv\.org/(?:abs|pdf)/)([0-9]{4}\.[0-9]{4,5})(?:v[0-9]+)?', 1)), lambda m: m <> '')[1] as normalized_id from f""")
 def arxiv_id(spark, folder):
     doc, k = F.col("doc_id"), F.col("doc_id") % 4
     five = F.lpad(text_of(doc % 100_000), 5, "0")
@@ -112,7 +115,8 @@ def arxiv_id(spark, folder):
   select event_id, case event_id % 5 when 0 then props when 1 then concat('{"k":', cast(event_id as varchar), ',"k":2}')
     when 2 then '{"k": NaN}' when 3 then concat('{"k": [', cast(value as varchar), ', null]}') else '{"k": ' end as payload
   from events),
-v as (select event_id, event_id % 5 in (0, 3) as accepted from f)
+v as (select event_id, json_valid(payload) and not contains(payload, 'NaN') and coalesce(len(json_keys(case when json_valid(payload) then payload end))
+    = len(list_distinct(json_keys(case when json_valid(payload) then payload end))), false) as accepted from f)
 select event_id, accepted, case when not accepted then 'rejected' end as quarantine_reason from v""")
 def strict(spark, folder):
     event, k = F.col("event_id"), F.col("event_id") % 5
