@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import pinned
 
-MAX_ROUNDS = 60
-
 
 def _round(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step; both only need a minimum per node, never a list of its neighbours."""
@@ -35,16 +33,14 @@ def identity_components(keys: DataFrame, record: str, key: str) -> DataFrame:
 
     Each key first contracts to a star around its smallest record, so a key held by a third of all records yields
     one edge per record. Alternating star steps (Kiveris et al., 2014) then need O(log^2 n) rounds; every
-    round is written to the shared folder.
+    round is written to the shared folder, and so are the keys, which may be hashes of large texts.
     """
+    keys = pinned(keys.select(record, key))
     pairs = keys.where(F.col(key).isNotNull()).select(F.col(record).alias("u"), F.col(key).alias("_key")).distinct()
     hubs = pairs.groupBy("_key").agg(F.min("u").alias("v"))
     edges = pinned(pairs.join(hubs, "_key").where(F.col("u") != F.col("v")).select("u", "v").distinct())
-    rounds = 0
+    # every round hangs some node lower, so the loop ends
     while not _is_star_forest(edges):
-        rounds += 1
-        if rounds > MAX_ROUNDS:
-            raise RuntimeError(f"identity merge did not converge in {MAX_ROUNDS} rounds")
         edges = pinned(_round(edges))
     records = keys.select(F.col(record)).distinct()
     return (records.join(edges.select(F.col("u").alias(record), "v"), record, "left")
