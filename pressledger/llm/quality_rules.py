@@ -16,7 +16,7 @@ RULES: list[tuple[str, str]] = [
     ("few_words", "n_words < 50"),
     ("repeated_words", "100 * n_repeat_words > 50 * n_words"),
     ("symbols", "100 * n_symbols > 25 * n_words"),
-    ("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    ("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     ("upper_case", "100 * n_upper > 50 * word_chars"),
     ("word_length", "word_chars > 20 * n_words or word_chars < 2 * n_words"),
 ]

@@ -63,7 +63,7 @@ m as (select w.doc_id, cast(len(words) as bigint) as n_words, cast(length(array_
         cast(len(lines) as bigint) as n_lines, cast(length(regexp_replace(t, '[^A-Z]+', '', 'g')) as bigint) as n_upper
     from w left join covered c on w.doc_id = c.doc_id),
 bits as (select *, cast(case when n_words < 50 then 1 else 0 end + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
-        + case when 100 * n_symbols > 25 * n_words then 4 else 0 end + case when 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
+        + case when 100 * n_symbols > 25 * n_words then 4 else 0 end + case when 100 * n_dup_lines > 50 * n_lines then 8 else 0 end
         + case when 100 * n_upper > 50 * word_chars then 16 else 0 end
         + case when word_chars > 20 * n_words or word_chars < 2 * n_words then 32 else 0 end as bigint) as failure_bits from m)
 select *, failure_bits & 3 <> 0 as base_failed, failure_bits = 0 as kept from bits""")
