@@ -8,6 +8,7 @@ from ..functions import json_checks as js
 from ..operators import contracts as ops
 from ..operators.fingerprints import sha256_text
 from ..operators.windows import running_sums
+from ..session import pinned
 from ..tables import candidates, conv_stages, doc_records, event_log, load, spread, text_of
 from .registry import query
 from .views import CANDIDATES, CONV_STAGES, DOC_RECORDS, EVENT_LOG
@@ -256,13 +257,22 @@ def context_isolation(spark, folder):
 t as (select source, count(distinct lang) as terms, count(*) as selected, count(*) filter (where outcome = 'success') as published,
   count(*) filter (where outcome = 'dropped') as dropped, count(*) filter (where toxic = 1) as bad_evidence,
   count(*) filter (where category = 'Policy') as policy, count(*) filter (where length(trim(text)) = 0) as bad_schema,
-  count(*) filter (where outcome = 'success' and toxic = 1 and lang = 'en') as bad_refine, max(length(path)) as pl from doc_records group by source)
-select source, terms, selected, published, dropped, bad_evidence = 0 as evidence_ok, policy <= 20 as grouped_selection_ok, true as images_ok,
-  true as ownership_ok, selected <= 52 as quotas_ok, bad_refine = 0 as refine_ok, bad_schema = 0 as schema_ok, terms >= 4 as taxonomy_ok,
-  bad_evidence = 0 and policy <= 20 and selected <= 52 and bad_refine = 0 and bad_schema = 0 and terms >= 4 and selected % 3 <> 0 as gate from t""")
+  count(*) filter (where outcome = 'success' and toxic = 1 and lang = 'en') as bad_refine,
+  count(*) filter (where not (length(text) between 32 and 16000)) as bad_images, count(*) filter (where outcome = 'success' and length(text) between 150 and 199) as bad_owners
+  from doc_records group by source)
+select source, terms, selected, published, dropped, bad_evidence = 0 as evidence_ok, policy <= 20 as grouped_selection_ok, bad_images = 0 as images_ok,
+  bad_owners = 0 as ownership_ok, selected <= 52 as quotas_ok, bad_refine = 0 as refine_ok, bad_schema = 0 as schema_ok, terms >= 4 as taxonomy_ok,
+  bad_evidence = 0 and policy <= 20 and selected <= 52 and bad_refine = 0 and bad_schema = 0 and terms >= 4 and bad_images = 0 and bad_owners = 0 and selected % 3 <> 0 as gate from t""")
 def validation_receipt(spark, folder):
-    # one pass counts the documents per (source, category, lang); the text itself is only tested for being blank
-    docs = doc_records(spark, folder, "doc_id", "source", "lang", "text", "category", "quality", "toxic", "outcome")
+    """A document stands for an image of its length by 600; it is selected from 150 characters on and found in a stage from 200 on."""
+    # the text is read once, for its length and whether it is blank
+    length = F.length("text")
+    image = ops.image_violations(F.lit("PNG"), length, F.lit(600), F.octet_length("text"), F.lit(False), F.lit("png"))
+    docs = pinned(doc_records(spark, folder, "doc_id", "source", "lang", "text", "category", "quality", "toxic", "outcome").select(
+        "doc_id", "source", "lang", "category", "toxic", "outcome", length.alias("length"), (F.length(F.trim("text")) == 0).alias("blank"), image.alias("image")))
+    success = F.col("outcome") == "success"
+    owned = ops.stage_ownership(docs.where(success & (F.col("length") >= 150)).select("source", "doc_id"),
+                                docs.select("source", "doc_id", F.when(F.col("length") >= 200, "found").otherwise("unsuitable").alias("status")), ["source", "doc_id"])
     per_lang = docs.groupBy("source", "lang").agg(
         F.count(F.lit(1)).alias("selected"), F.count_if(F.col("outcome") == "success").alias("published"),
         F.count_if(F.col("outcome") == "dropped").alias("dropped"), F.count_if(F.col("category") == "Policy").alias("policy"))
@@ -270,12 +280,13 @@ def validation_receipt(spark, folder):
         F.count(F.lit(1)).alias("terms"), F.sum("selected").alias("selected"), F.sum("published").alias("published"),
         F.sum("dropped").alias("dropped"), F.sum("policy").alias("_policy"))
     row_rules = F.array_compact(F.array(
-        F.when(F.col("toxic") == 1, "evidence"), F.when(F.length(F.trim("text")) == 0, "schema"),
+        F.when(F.col("toxic") == 1, "evidence"), F.when(F.col("blank"), "schema"), F.when(F.col("image") != "", "images"),
         F.when((F.col("outcome") == "success") & (F.col("toxic") == 1) & (F.col("lang") == "en"), "refine")))
     set_rules = F.array_compact(F.array(
         F.when(F.col("_policy") > 20, "grouped_selection"), F.when(F.col("selected") > 52, "quotas"),
         F.when(F.col("terms") < 4, "taxonomy")))
     stacked = (docs.select("source", text_of("doc_id").alias("key"), F.explode(row_rules).alias("rule"))
+               .unionByName(owned.where(~F.col("owned")).select("source", text_of("doc_id").alias("key"), F.lit("ownership").alias("rule")))
                .unionByName(counts.select("source", F.col("source").alias("key"), F.explode(set_rules).alias("rule"))))
     digest = sha256_text(text_of("selected"))
     bound = counts.select("source", "terms", "selected", "published", "dropped", digest.alias("digest"), F.when(
