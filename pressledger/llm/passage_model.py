@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import released
+from .tables import released, smallest
 from .text_arrays import WordHasher, distinct, shingles, sums, text_slices, word_bounds
 
 #: words of a passage; a text has at most PASSAGES passages, so those of long texts are longer and cover it whole
@@ -146,8 +146,8 @@ def train(docs: DataFrame, labels: DataFrame, usable=None) -> dict:
     """
     chosen = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     chosen = chosen.where(usable) if usable is not None else chosen
-    chosen = (chosen.groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS))
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    chosen = smallest(chosen.groupBy("doc_id").agg(F.max("quality").cast("int").alias("label")), place, FIT_DOCUMENTS, "doc_id")
     kind = docs.schema["doc_id"].dataType.simpleString()
     bags = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
             .mapInArrow(released(_encode), f"doc_id {kind}, label int, passages binary").toPandas())

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import released
+from .tables import pinned, released, smallest
 from .text_arrays import text_slices
 
 #: in the order of equal starts
@@ -194,16 +194,17 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append(described(text, span))
                     labels.append(label)
                     around = text[max(0, span[0] - 24):span[1] + 8]
-                    order.append(hashlib.blake2b(f"{span[2]}:{around}".encode("utf-8", "replace"), digest_size=8).digest())
-        yield pa.RecordBatch.from_arrays([pa.array(order, pa.binary()), pa.array(labels, pa.int32()), pa.array(rows, pa.list_(pa.float64()))],
+                    digest = hashlib.blake2b(f"{span[2]}:{around}".encode("utf-8", "replace"), digest_size=6).digest()
+                    order.append(int.from_bytes(digest) / (1 << 48))
+        yield pa.RecordBatch.from_arrays([pa.array(order, pa.float64()), pa.array(labels, pa.int32()), pa.array(rows, pa.list_(pa.float64()))],
                                          ["place", "label", "features"])
 
 
 def train(docs: DataFrame, text: str = "text") -> dict:
     """The trees, fitted on at most FIT_CANDIDATES candidates of all documents. Proposals that overlap a fixed-format span are no
     evidence either way."""
-    rows = (docs.select(F.col(text).alias("text")).mapInArrow(released(_candidates), "place binary, label int, features array<double>")
-            .orderBy("place", "label", "features").limit(FIT_CANDIDATES).toPandas())
+    found = pinned(docs.select(F.col(text).alias("text")).mapInArrow(released(_candidates), "place double, label int, features array<double>"))
+    rows = smallest(found, F.col("place"), FIT_CANDIDATES, "label", "features").toPandas()
     x = np.array(rows["features"].tolist(), float).reshape(len(rows), FEATURES)
     return fit_trees(x, rows["label"].to_numpy(dtype=float))
 
