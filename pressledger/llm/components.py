@@ -20,20 +20,22 @@ def star_round(edges: DataFrame) -> DataFrame:
     return rest.union(heads.select("hi", F.col("top").alias("lo"))).distinct()
 
 
+def settled(edges: DataFrame) -> bool:
+    """Whether every node hangs below one node that hangs below none: one aggregation over the ends of the edges."""
+    ends = edges.select(F.col("hi").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("lo", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above")).where("below > 1 or below = 1 and above = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node with a link; ``links`` are (a, b) pairs in any direction, the component is the smallest
     node that can be reached.
 
-    Each round is written to the shared folder; it ends when a round changes no edge, which the number and a
-    checksum of the edges show. A node with very many links is a hot key of joins only, which adaptive execution splits.
+    Each round is written to the shared folder; the loop ends when all edges are stars, which links around one hub are
+    from the start. A node with very many links is a hot key of joins only, which adaptive execution splits.
     """
     edges = pinned(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
-    seen = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == seen or state[0] == 0:
-            break
-        seen = state
+    while not settled(edges):
         edges = pinned(star_round(edges))
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).union(
         edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct())

@@ -229,7 +229,7 @@ class ShingleJoin:
         # most sets occur once: only rows of repeated ones look their class up
         repeated = self.classes.where("copies > 1").select("n", "fa", "fb", "rep")
         return (self.rows.join(repeated, ["n", "fa", "fb"], "left")
-                .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("rep", "doc_id"))
+                .select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.coalesce("rep", "doc_id"))
                         .otherwise(F.col("doc_id")).alias("rep")))
 
     def _bin(self, size: Column) -> Column:

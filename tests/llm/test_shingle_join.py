@@ -107,7 +107,7 @@ def test_parity_maps_bound_the_difference():
 
 def test_prefixes_grow_with_their_cost():
     frequent = np.r_[np.zeros(20), np.full(20, 1000.0)]
-    cheap, dear = prefix_matches(frequent, np.array([5, 5]), np.array([15, 15]), np.array([0, 15]))
+    cheap, dear = prefix_matches(frequent, np.array([5, 5]), np.array([15, 15]), np.array([0, 18]))
     assert cheap == 1 and dear > 1
     assert (excess(np.array([100, 101, 99, 5000])) > 0).tolist() == [False, False, False, True]
 
