@@ -33,7 +33,7 @@ def quotas(weights: Mapping[str, float]) -> dict[str, int]:
     total, period = sum(weights.values()), max(PERIOD, 16 * len(weights))
     exact = {s: w / total * period for s, w in weights.items()}
     parts = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:max(0, period - sum(parts.values()))]:
+    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s is not None, s))[:max(0, period - sum(parts.values()))]:
         parts[s] += 1
     return parts
 
@@ -45,20 +45,21 @@ def schedule(parts: Mapping[str, int]) -> list[tuple[str, int, int]]:
     deadlines the source first in order wins.
     """
     period = sum(parts.values())
-    coming = [(0, s, 0) for s in parts]
-    heapq.heapify(coming)
-    ready: list[tuple[int, str, int]] = []
+    names = sorted(parts, key=lambda s: (s is not None, s))  # null, where it is a source, comes first
+    sizes = [parts[s] for s in names]
+    coming = [(0, s, 0) for s in range(len(names))]
+    ready: list[tuple[int, int, int]] = []
     out = []
     for slot in range(period):
         while coming and coming[0][0] <= slot:
             _, s, i = heapq.heappop(coming)
-            heapq.heappush(ready, (-(-(i + 1) * period // parts[s]), s, i))
+            heapq.heappush(ready, (-(-(i + 1) * period // sizes[s]), s, i))
         deadline, s, i = heapq.heappop(ready)
         if slot >= deadline:
-            raise RuntimeError(f"block {i} of {s} misses its deadline")
-        out.append((s, i, slot))
-        if i + 1 < parts[s]:
-            heapq.heappush(coming, ((i + 1) * period // parts[s], s, i + 1))
+            raise RuntimeError(f"block {i} of {names[s]} misses its deadline")
+        out.append((names[s], i, slot))
+        if i + 1 < sizes[s]:
+            heapq.heappush(coming, ((i + 1) * period // sizes[s], s, i + 1))
     return out
 
 
@@ -84,22 +85,24 @@ class Mixture:
     """``rows`` mixed to ``weights`` (source -> weight; sources that are not named, and null, are not part of the mixture and get no slot).
 
     ``temperature`` gives the weights where ``weights`` is None: a source's share is its number of rows to that power. The
-    sources then reach the driver, as any table of weights does.
+    sources then reach the driver, as any table of weights does. With ``nulls``, null is a source of its own there.
 
     * ``placed``: (key, source, block, slot, position) of every row of a named source. The blocks of a source are its rows in hashed order,
-      BLOCK_ROWS at a time; ``position`` orders the whole mixture.
-    * ``kept``: the rows of ``rows``, all columns, that lie before the slot at which the first source runs out. Up to there all sources have their
-      target weights; what is left over of the others is not part of the mixture.
+      BLOCK_ROWS at a time; ``position`` orders the whole mixture. A source that has run out leaves its slots empty.
+    * ``kept``: the rows of ``rows``, all columns, that belong to the mixture. Weights that follow from the rows themselves ask for no row to be
+      dropped: all stay. Given ``weights`` are targets: rows stay that lie before the slot at which the first source runs out.
+    * ``ordered``: the rows of ``kept``, sorted by position.
 
     Rows that repeat a key are neighbours and the cut keeps or leaves them together. An empty table gives an empty mixture.
     """
 
-    def __init__(self, rows: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 1.0, key: str = "doc_id", source: str = "source") -> None:
-        self.rows, self.key, self.source = rows, key, source
+    def __init__(self, rows: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 1.0, key: str = "doc_id", source: str = "source",
+                 nulls: bool = False) -> None:
+        self.rows, self.key, self.source, self.targets, self.nulls = rows, key, source, weights is not None, nulls and weights is None
         spark = rows.sparkSession
         slim = rows.select(key, source)
         # one row for each source
-        self.counts = {r[0]: r[1] for r in slim.where(F.col(source).isNotNull()).groupBy(source).agg(F.count(F.lit(1))).collect()}
+        self.counts = {r[0]: r[1] for r in (slim if self.nulls else slim.where(F.col(source).isNotNull())).groupBy(source).agg(F.count(F.lit(1))).collect()}
         weights = {s: n**temperature for s, n in self.counts.items()} if weights is None else {s: w for s, w in weights.items() if s in self.counts}
         self.quotas = quotas(weights) if weights else {}
         self.period = sum(self.quotas.values())
@@ -112,9 +115,9 @@ class Mixture:
         if self._placed is None:
             named = self.table.select("_name", "_quota").distinct()
             ranked = numbered(self.rows, self.key, self.source)
-            blocks = (ranked.join(named, F.col("_source") == F.col("_name")).drop("_name")
+            blocks = (ranked.join(named, F.col("_source").eqNullSafe(F.col("_name"))).drop("_name")
                       .withColumn("_block", F.floor(F.col("_rank") / BLOCK_ROWS)).withColumn("_index", (F.col("_block") % F.col("_quota")).cast("int")))
-            slots = blocks.join(self.table.drop("_quota").withColumnRenamed("_index", "_of"), (F.col("_source") == F.col("_name")) & (F.col("_index") == F.col("_of")))
+            slots = blocks.join(self.table.drop("_quota").withColumnRenamed("_index", "_of"), F.col("_source").eqNullSafe(F.col("_name")) & (F.col("_index") == F.col("_of")))
             self._placed = pinned(slots.select(
                 F.col("_key").alias(self.key), F.col("_source").alias(self.source), "_slice", "_mark", F.col("_block").alias("block"),
                 (F.floor(F.col("_block") / F.col("_quota")) * self.period + F.col("_slot")).alias("slot"),
@@ -122,9 +125,12 @@ class Mixture:
         return self._placed.select(self.key, self.source, "block", "slot", (F.col("slot") * BLOCK_ROWS + F.col("_in_block")).alias("position"))
 
     def slots(self) -> int:
-        """Slots up to the first whose source has no row left for it; a source's last block may be short."""
+        """Slots that ``kept`` keeps: up to the first whose source has no row left for it where weights are targets (a source's last block may
+        be short), otherwise all."""
         if not self.quotas:
             return 0
+        if not self.targets:
+            return self.placed().agg(F.max("slot")).first()[0] + 1
         first: dict = {s: {} for s in self.quotas}
         for r in self.table.collect():
             first[r["_name"]][r["_index"]] = r["_slot"]
@@ -133,6 +139,8 @@ class Mixture:
 
     def kept(self) -> DataFrame:
         """The cut falls at one place of each source's order, so rows are kept by comparison with it and no text is shuffled."""
+        if not self.targets:
+            return self.rows if self.nulls else self.rows.where(F.col(self.source).isNotNull())
         self.placed()
         place = F.struct("_slice", "_mark")
         cuts = (self._placed.where(F.col("slot") < self.slots()).groupBy(self.source).agg(F.max(place).alias("_cut"))
@@ -142,3 +150,10 @@ class Mixture:
         own = F.struct(F.pmod(F.shiftrightunsigned(mark, 16), F.lit(slices)).alias("_slice"), mark.alias("_mark"))
         # one row for each source: Spark broadcasts it if its size allows
         return self.rows.join(cuts, (F.col(self.source) == F.col("_cut_source")) & (own <= F.col("_cut"))).select(*[self.rows[c] for c in self.rows.columns])
+
+    def ordered(self) -> DataFrame:
+        """Rows meet their positions by key and source; those that repeat a key all take the first of theirs, so none is multiplied."""
+        firsts = self.placed().groupBy(F.col(self.key).alias("_place_key"), F.col(self.source).alias("_place_source")).agg(F.min("position").alias("_place"))
+        kept = self.kept()
+        meet = F.col(self.key).eqNullSafe(F.col("_place_key")) & F.col(self.source).eqNullSafe(F.col("_place_source"))
+        return kept.join(firsts, meet).orderBy("_place").select(*[kept[c] for c in kept.columns])

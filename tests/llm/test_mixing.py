@@ -59,6 +59,21 @@ def test_kept_rows_have_the_target_weights(spark):
     assert {r.doc_id for r in rows} == before
 
 
+def test_mixture_of_own_weights_keeps_and_orders_every_row(spark):
+    ready(spark)
+    # one source has a single row, and null is a source
+    docs = sourced(spark, {"hot": 30000, "b": 2500, "one": 1, None: 300})
+    docs = docs.unionByName(docs.where("doc_id in (3, 4)"))
+    mix = Mixture(docs, temperature=0.9, nulls=True)
+    rows = mix.ordered().collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect()) and mix.ordered().columns == docs.columns
+    place = {r.doc_id: r.position for r in mix.placed().orderBy("position", ascending=False).collect()}
+    assert [place[r.doc_id] for r in rows] == sorted(place[r.doc_id] for r in rows)
+    early = [r.source for r in rows[:8000]]
+    assert abs(early.count("b") / 8000 - mix.quotas["b"] / mix.period) < 0.01
+    assert Mixture(docs, temperature=0.9).kept().where("source is null").count() == 0
+
+
 def test_nulls_repeats_and_empty_tables(spark):
     ready(spark)
     docs = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (None, "a", "y"), (2, None, "z"), (3, "b", None)], "doc_id long, source string, text string")

@@ -58,6 +58,12 @@ def test_stages_take_any_rows(spark, docs_of):
     assert C.tokens(spark, docs, FOLDER).count() == len(rows)
 
 
+def test_mixture_keeps_every_row(spark):
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(i, "t", "en", "one" if i == 0 else None if i % 9 == 0 else "ab"[i % 2], 1) for i in range(20000)], kind)
+    assert C.mixture(spark, docs, FOLDER).select("doc_id").distinct().count() == 20000
+
+
 def test_registered(spark):
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(entry.oracle_sql())
