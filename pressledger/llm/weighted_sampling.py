@@ -1,8 +1,8 @@
-"""Document fingerprints by consistent weighted sampling (Ioffe, 2010).
+"""Document fingerprints by consistent weighted sampling of terms with whole weights, their counts.
 
-A term with weight w draws, per sample, r and c from Gamma(2, 1) and b from U(0, 1), all fixed by the term; with
-t = floor(ln w / r + b) and y = exp(r (t - b)) its value is c / (y e^r). The term of the smallest value and its t are the
-sample. Two documents agree in a sample with the probability of their generalised Jaccard similarity, sum of minima over sum of maxima.
+A term of weight w stands as its copies 1 to w. A sample is the copy whose hash, drawn anew for every sample, is the smallest of
+the text: a term is sampled in proportion to its weight, and two documents agree in a sample with the probability of their generalised
+Jaccard similarity, sum of minima over sum of maxima, for texts of any length. This is the case of whole weights of what Ioffe (2010) does for real ones.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ from .tables import released
 from .text_arrays import WordHasher, mix, shingles, text_slices, word_bounds
 
 SAMPLES, WORDS = 128, 3
-#: bits of a term's hash that name its draws in each sample; equal draws are told apart by further bits of the hash
-POOL_BITS = 14
 #: a fingerprint keeps eight bits of each sample: two hex digits
 KEPT = 256
 EMPTY = "00" * SAMPLES
@@ -28,47 +26,23 @@ EMPTY = "00" * SAMPLES
 LEVEL = 6
 
 
-def pool() -> dict[str, np.ndarray]:
-    rng = np.random.Generator(np.random.PCG64(20))
-    n = 1 << POOL_BITS
-    r, c, b = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.uniform(0, 1, n)
-    # for weight 1, t is 0: the value is c / (exp(-r b) e^r)
-    once = (c * np.exp(r * (b - 1))).astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32)
-    return {"r": r, "c": c, "b": b, "once": once}
-
-
-def weights(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct terms of each text with their counts, text by text."""
+def copies(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every copy of every term, and its text's index, text by text: equal terms of a text are told apart by their number."""
     order = np.argsort(hashes)
     order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
     hashes, owner = hashes[order], owner[order]
     at = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]) if len(hashes) else np.zeros(0, np.int64)
-    return hashes[at], owner[at], np.diff(np.r_[at, len(hashes)])
+    number = np.arange(len(hashes)) - np.repeat(at, np.diff(np.r_[at, len(hashes)]))
+    return np.where(number > 0, mix(hashes ^ mix(number.astype(np.uint64))), hashes), owner
 
 
-def samples(terms: np.ndarray, counts: np.ndarray, first: np.ndarray, draws: dict) -> np.ndarray:
-    """One row of SAMPLES bytes for each text; ``first`` is where each text's terms begin, none may be empty.
-
-    A float above zero is ordered like its bits, so value and term are compared as one 64-bit number.
-    """
+def samples(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One row of SAMPLES bytes for each text; ``first`` is where each text's copies begin, none may be empty."""
     out = np.empty((len(first), SAMPLES), np.uint8)
-    many = np.flatnonzero(counts > 1)
-    log = np.log(counts[many])
-    low = np.uint64(0xFFFFFFFF)
+    terms = terms ^ (terms >> np.uint64(29))
     for k in range(SAMPLES):
-        own = (terms ^ (terms >> np.uint64(29))) * (mix(np.array([k + 1], np.uint64)) | np.uint64(1))
-        at = (own >> np.uint64(64 - POOL_BITS)).view(np.int64)
-        # the hash's lower half is the weaker one of a product: take the bits below those that name the draws
-        name = (own >> np.uint64(32 - POOL_BITS)) & low
-        both = draws["once"][at] | name
-        if len(many):
-            r, c, b = draws["r"][at[many]], draws["c"][at[many]], draws["b"][at[many]]
-            t = np.floor(log / r + b)
-            value = (c * np.exp(-r * (t - b) - r)).astype(np.float32).view(np.uint32).astype(np.uint64)
-            # t is part of the sample: for t = 0 the name stays as it is for weight 1
-            both[many] = value << np.uint64(32) | (name[many] ^ (mix(t.astype(np.int64).view(np.uint64)) & low) * (t != 0))
-        least = np.minimum.reduceat(both, first) & low
-        out[:, k] = mix(least) & np.uint64(KEPT - 1)
+        own = terms * (mix(np.array([k + 1], np.uint64)) | np.uint64(1))
+        out[:, k] = mix(np.minimum.reduceat(own, first)) & np.uint64(KEPT - 1)
     return out
 
 
@@ -77,7 +51,7 @@ class Fingerprinter:
     term, one without words has the fingerprint EMPTY. A text is always sampled whole."""
 
     def __init__(self) -> None:
-        self.hasher, self.draws = WordHasher(), pool()
+        self.hasher = WordHasher()
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), SAMPLES), np.uint8)
@@ -85,14 +59,14 @@ class Fingerprinter:
         for start, _, data, offsets in text_slices(batch, "text"):
             begins, ends = word_bounds(data, offsets)
             counts = np.diff(np.searchsorted(begins, offsets))
-            terms, owner, times = weights(*shingles(self.hasher(data, begins, ends), counts, WORDS))
+            terms, owner = copies(*shingles(self.hasher(data, begins, ends), counts, WORDS))
             filled, first = np.unique(owner, return_index=True)
             # a few texts at a time stay in the processor's cache
             edges = np.r_[0, np.flatnonzero(np.diff(first // 30_000)) + 1, len(first)]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo < hi:
                     a, b = first[lo], first[hi] if hi < len(first) else len(terms)
-                    out[start + filled[lo:hi]] = samples(terms[a:b], times[a:b], first[lo:hi] - a, self.draws)
+                    out[start + filled[lo:hi]] = samples(terms[a:b], first[lo:hi] - a)
         return out
 
 

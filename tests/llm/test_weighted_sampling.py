@@ -30,6 +30,15 @@ def test_likeness_estimates_generalised_jaccard():
     assert all(abs(e.mean()) < 0.08 and np.sqrt((e**2).mean()) < 0.12 for e in errors)
 
 
+def test_weights_count_in_long_texts():
+    of = W.Fingerprinter()
+    for terms in (1000, 50_000, 150_000):
+        once = " ".join(f"w{i}" for i in range(terms))
+        whole = of([once, f"{once} {once}", f"{once} {once} {once}"])
+        for times in (2, 3):
+            assert abs(W.likeness(whole[:1], whole[times - 1:times])[0] - 1 / times) < 0.15
+
+
 def test_equal_texts_have_equal_fingerprints_in_any_company():
     of = W.Fingerprinter()
     texts = ["", "one", "one two", "a b c d e f " * 50, "x " * 20000, "é 日本 " * 10]
