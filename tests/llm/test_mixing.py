@@ -46,6 +46,21 @@ def test_every_row_has_its_own_place(spark):
         assert sorted(r.block for r in rows if r.source == s) == [i // BLOCK_ROWS for i in range(n)]
 
 
+def test_blocks_follow_the_exact_weights_over_many_periods(spark):
+    ready(spark)
+    docs = spark.range(120_000).selectExpr("id as doc_id", "case when id < 100000 then 'a' when id < 119000 then 'b' else 'c' end as source")
+    weights = {"a": 1, "b": 0.14159, "c": 0.0004}
+    mix, total = Mixture(docs, weights), sum(weights.values())
+    plan = sorted((r.slot, r.source) for r in mix.placed().select("slot", "source").distinct().collect())
+    end = mix.slots()
+    assert end > 5 * PERIOD
+    held = dict.fromkeys(weights, 0)
+    for slot, s in plan:
+        if slot < end:
+            held[s] += 1
+            assert all(abs(held[k] - w / total * (slot + 1)) < 1 + 1 / 64 for k, w in weights.items())
+
+
 def test_kept_rows_have_the_target_weights(spark):
     ready(spark)
     docs = sourced(spark, {"hot": 3000, "b": 800, "c": 900})
