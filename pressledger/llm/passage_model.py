@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .tables import released, smallest
 from .text_arrays import WordHasher, distinct, shingles, sums, text_slices, word_bounds
 
-#: words of a passage; a text has at most PASSAGES passages, so those of long texts are longer and cover it whole
+#: words of a passage, however long the text; passages of a text that the model is fitted on at most
 PASSAGE_WORDS, PASSAGES = 64, 64
 #: labelled documents the model is fitted on at most: those whose hashed id is smallest
 FIT_DOCUMENTS = 3000
@@ -39,17 +39,20 @@ CLASSES = 6 + len(SYMBOLS)
 FEATURES = CLASSES + 5
 
 
-def encoded(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
-    """Features of every passage and the number of passages of each text; a text without words is one passage of zeros."""
+def encoded(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher, most: int | None = PASSAGES) -> tuple[np.ndarray, np.ndarray]:
+    """Features of every passage and the number of passages of each text; a text without words is one passage of zeros.
+
+    With ``most``, for fitting, a text with more passages gives that many, evenly spread over it. Scores take all (None): their features need a
+    few bytes for each word, less than the words' hashes do.
+    """
     starts, ends = word_bounds(data, offsets)
     first_word = np.searchsorted(starts, offsets)
     words = np.diff(first_word)
-    length = np.maximum(PASSAGE_WORDS, -(-words // PASSAGES))
-    count = np.maximum(1, -(-words // length))
+    count = np.maximum(1, -(-words // PASSAGE_WORDS))
     text = np.repeat(np.arange(len(words)), count)
     within = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-    low = first_word[text] + within * length[text]  # first word of each passage
-    high = np.minimum(low + length[text], first_word[text + 1])
+    low = first_word[text] + within * PASSAGE_WORDS  # first word of each passage
+    high = np.minimum(low + PASSAGE_WORDS, first_word[text + 1])
     # bytes of a passage reach to the next one of its text, so that line breaks count
     begin = np.where(within == 0, offsets[text], np.r_[starts, len(data)][np.minimum(low, len(starts))])
     stop = np.r_[begin[1:], len(data)]
@@ -72,7 +75,13 @@ def encoded(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> tuple[
     twice[at[order]] = same[1:] | same[:-1]
     rows = np.column_stack([
         np.log1p(high - low) / 5, np.where(high > low, mean, 0) / 10, spread / 10, np.where(high > low, 1 - different / n, 0), sums(twice[:len(starts)], bounds) / n])
-    return np.hstack([kinds / size, rows]).astype(np.float32), count
+    features = np.hstack([kinds / size, rows]).astype(np.float32)
+    if most is None or count.max(initial=0) <= most:
+        return features, count
+    # the first passage of each of ``most`` equal parts
+    part = within * most // count[text]
+    chosen = (count[text] <= most) | (within == 0) | (part != np.r_[-1, part[:-1]])
+    return features[chosen], np.minimum(count, most)
 
 
 def _softmax(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -160,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, usable=None) -> dict:
 
 def _scores(model: dict):
     def score(batch: pa.RecordBatch, column: str, hasher: WordHasher) -> np.ndarray:
-        out = [forward(model, *encoded(data, offsets, hasher))[-1] for _, _, data, offsets in text_slices(batch, column)]
+        out = [forward(model, *encoded(data, offsets, hasher, None))[-1] for _, _, data, offsets in text_slices(batch, column)]
         return np.concatenate(out) if out else np.zeros(0)
     return score
 

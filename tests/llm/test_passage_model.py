@@ -27,6 +27,30 @@ def test_passages_cover_every_text():
     assert repeated[4][0, P.CLASSES + 3] == 0.5 and abs(repeated[4][0, P.CLASSES + 4] - 1 / 3) < 1e-6
 
 
+def test_long_texts_are_scored_by_passages_of_the_same_size():
+    part = "some plain words of a passage that is read again " * 20
+    bad = "#$% &|< " * 32
+    texts = [part * 5, part * 300, part * 150 + bad + part * 150]
+    got = []
+    for t in texts:
+        data = np.frombuffer(t.encode(), np.uint8)
+        got.append(P.encoded(data, np.array([0, len(data)]), WordHasher(), None))
+        assert got[-1][1].tolist() == [-(-len(t.split()) // P.PASSAGE_WORDS)]
+    # the word count stays in the range of short texts, and the bad passage is not averaged away
+    assert all(abs(f[:, P.CLASSES].max() - got[0][0][:, P.CLASSES].max()) < 1e-6 for f, _ in got)
+    symbol = P.byte_classes()[ord("#")]
+    assert got[2][0][:, symbol].max() > 0.05 and encode(texts)[1].tolist() == [16, 64, 64]
+
+
+def test_scores_follow_the_passages_of_long_texts(spark, docs_of):
+    ready(spark)
+    data = "some plain words of a passage that is read again " * 20
+    rows = [(1, data * 5), (2, data * 300), (3, "#$% &|< " * 320)]
+    model = P.train(docs_of(rows), spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int"))
+    scores = {r.doc_id: r.score for r in P.scored(docs_of(rows), model).collect()}
+    assert abs(scores[1] - scores[2]) < 0.05 and scores[3] < scores[2]
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(2)
     features, count = rng.normal(size=(12, P.FEATURES)), np.array([3, 1, 5, 3])
