@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, passage_model, personal_data, quality_rules, sentence_pieces, token_counts, url_rules, weighted_sampling
+from . import html_text, licenses, passage_model, personal_data, quality_rules, sentence_pieces, token_counts, url_rules, weighted_sampling
+from .hard_negatives import HardNegatives
 from .mixing import Mixture
 from .shingle_join import ShingleJoin
 from .tables import table
+from .token_alignment import Alignment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -124,3 +126,32 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     rows = sentence_pieces.encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return rows.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), "round_trip", "parity")
+
+
+@query("op11_html_text")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
+@query("op12_hard_negatives", r"""
+with own as (select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else cast(label as bigint) end as label, embedding from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+vectors as (select vec_id, label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from own),
+scored as (select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, cast(list_inner_product(a.v, b.v) as bigint) as score
+    from vectors a join vectors b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (select anchor_id, other_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, p.positive_id, cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.other_id) as integer) as rank,
+    s.other_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scored s on p.anchor_id = s.anchor_id and not s.same
+    and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return HardNegatives(table(spark, folder, "embeddings"), label=label, is_anchor=F.col("vec_id") % 100 == 0).mined()
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return Alignment(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")).documents()
