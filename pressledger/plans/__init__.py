@@ -7,7 +7,7 @@ from importlib import import_module
 from .registry import REGISTRY, Query
 
 FAMILIES = ("selection_queries", "ingest_queries", "corpus_queries", "contract_queries", "output_queries",
-            "ledger_queries", "stream_queries")
+            "ledger_queries", "stream_queries", "tree_queries")
 
 
 def all_queries() -> dict[str, Query]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..functions.scoring import category_ordinal
-from ..functions.text import strip
+from ..functions.text import asset_key, strip
 from ..operators.fingerprints import sha256_text
 from .files import read_content_store
 
@@ -47,6 +48,41 @@ def render_pages(records: DataFrame) -> DataFrame:
             .withColumn("bytes", F.octet_length("content").cast("bigint")))
 
 
+def preview_path(day: Column, candidate_id: Column, extension: Column) -> Column:
+    """Where the preview image of a candidate is published; NULL without an extension or with an unsafe id."""
+    return F.concat(F.lit("docs/public/daily/"), F.date_format(day, "yyyy-MM-dd"), F.lit("/assets/"), asset_key(candidate_id), F.lit("/preview."), extension)
+
+
+def publication_documents(records: DataFrame) -> DataFrame:
+    """(cycle_id, kind, path, content) of a publication: a page for each record, its preview image where it has one, and a manifest for each cycle.
+
+    ``records`` has cycle_id (a date), candidate_id, category, group_rank, title, body, and preview (bytes) with its extension or NULL. A quota selection:
+    a cycle has at most 20 records, so its manifest is put together in one row. No text is shuffled for it but paths and sizes.
+    """
+    day, image = F.col("cycle_id"), preview_path(F.col("cycle_id"), F.col("candidate_id"), F.col("extension"))
+    has_image = F.col("preview").isNotNull() & image.isNotNull()
+    header = front_matter(
+        schemaVersion=F.lit(3), candidateId=F.col("candidate_id"), date=F.date_format(day, "yyyy-MM-dd"), category=F.col("category"), groupRank=F.col("group_rank"),
+        title=F.col("title"), previewImage=F.when(has_image, F.concat(F.lit("/"), F.substring_index(image, "docs/public/", -1))))
+    rows = records.select(
+        "cycle_id", "candidate_id", "category", "group_rank", page_path(day, F.col("category"), F.col("group_rank"), F.col("candidate_id")).alias("path"),
+        F.encode(F.concat(header, strip(F.col("body")), F.lit("\n")), "utf-8").alias("content"),
+        F.when(has_image, image).alias("asset_path"), F.when(has_image, F.col("preview")).alias("asset"))
+    pages = rows.select("cycle_id", F.lit("page").alias("kind"), "path", "content")
+    media = rows.where("asset is not null").select("cycle_id", F.lit("media"), F.col("asset_path"), F.col("asset"))
+    size = lambda c: F.octet_length(c).cast("bigint").alias("bytes")
+    entry = F.struct(category_ordinal(F.col("category")).alias("o"), "group_rank", F.to_json(F.struct("candidate_id", "group_rank", "path", size("content"))).alias("line"))
+    asset = F.when(F.col("asset").isNotNull(), F.struct(category_ordinal(F.col("category")).alias("o"), "group_rank", F.to_json(F.struct(
+        "candidate_id", F.col("asset_path").alias("path"), size("asset"))).alias("line")))
+    listed = lambda items: F.array_join(F.transform(items, lambda e: e["line"]), ",")
+    of = lambda o: lambda e: e["o"] == o
+    grouped = rows.groupBy("cycle_id").agg(F.array_sort(F.collect_list(entry)).alias("_entries"), F.array_sort(F.collect_list(asset)).alias("_assets"))
+    groups = F.concat_ws(",", *[F.concat(F.lit(f'"{name}":['), listed(F.filter("_entries", of(o))), F.lit("]")) for o, name in enumerate(rules.CATEGORIES, 1)])
+    text = F.concat(F.lit('{"cycle_id":"'), F.date_format(day, "yyyy-MM-dd"), F.lit('","groups":{'), groups, F.lit('},"assets":['), listed(F.col("_assets")), F.lit("]}\n"))
+    manifests = grouped.select("cycle_id", F.lit("manifest"), F.concat(F.lit("docs/daily/"), F.date_format(day, "yyyy-MM-dd"), F.lit("/.managed-manifest.json")), F.encode(text, "utf-8"))
+    return pages.union(media).union(manifests)
+
+
 def write_pages(pages: DataFrame, folder: str) -> None:
     """Pages as rows of Parquet partitioned like their paths; a publisher turns rows into files."""
     pages.write.mode("append").partitionBy("display_date", "category").parquet(folder)
