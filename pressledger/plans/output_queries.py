@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.windows import running_sums
+from ..session import pinned_folder
 from ..sources import publication as pub
+from ..sources.history import History
 from ..sources.json_records import parse_export
 from ..tables import doc_records, event_log, load, text_of
 from .registry import query
@@ -109,11 +113,13 @@ s as (select source, operation_id, min(seq) as seq, 2 as batch from o where b2 =
 select source, operation_id, seq, batch from f union all
 select s.* from s anti join f on s.source = f.source and s.operation_id = f.operation_id""")
 def idempotent_sink(spark, folder):
-    """Two overlapping batches of one month; the second must append only what the first did not commit."""
+    """Two overlapping batches of one month go through the sink, the first one twice; the second must append only what the first did not commit."""
     rows = event_log(spark, folder).select(
         "source", F.concat(F.lit("op-"), text_of(F.floor(F.col("seq") / 2).cast("bigint"))).alias("operation_id"), "seq", "ts")
     day = F.dayofmonth("ts")
-    keys = ["source", "operation_id"]
-    first = pub.new_operations(rows.where(day <= 16).drop("ts"), None, keys, "seq").withColumn("batch", F.lit(1))
-    second = pub.new_operations(rows.where(day >= 15).drop("ts"), first, keys, "seq").withColumn("batch", F.lit(2))
-    return first.unionByName(second)
+    first, second = rows.where(day <= 16).drop("ts"), rows.where(day >= 15).drop("ts")
+    history = History(spark, f"{pinned_folder(spark)}/operations-{uuid.uuid4().hex}", first.schema, ["source", "operation_id"], "seq")
+    write = history.sink()
+    for batch, number in ((first, 1), (first, 1), (second, 2)):
+        write(batch, number)
+    return history.rows().withColumn("batch", F.col("batch").cast("int"))

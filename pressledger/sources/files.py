@@ -43,14 +43,19 @@ def read_text_tree(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_content_store(df: DataFrame, content: str, folder: str) -> None:
-    """Append every content the store does not have yet, once, partitioned by the first two hash digits."""
+    """Append every content the store does not have yet, once, partitioned by the first two hash digits. Only the parts of the store that
+    the new contents fall in are read, and of those the digests."""
     binary = F.col(content).cast("binary")
     blobs = (df.select(F.sha2(binary, 256).alias("sha256"), binary.alias("content")).dropDuplicates(["sha256"])
              .withColumn("size", F.length("content").cast("bigint"))
              .withColumn("prefix2", F.substring("sha256", 1, 2)))
     known = read_content_store(df.sparkSession, folder)
     if known is not None:
-        blobs = blobs.join(known.select("sha256"), "sha256", "left_anti")
+        # at most 256 names
+        parts = [r[0] for r in blobs.select("prefix2").distinct().collect()]
+        # the names of folders such as 05 would be read as numbers
+        held = df.sparkSession.read.schema("sha256 string, prefix2 string").parquet(folder)
+        blobs = blobs.join(held.where(F.col("prefix2").isin(*parts)).select("sha256"), "sha256", "left_anti") if parts else blobs
     blobs.write.mode("append").partitionBy("prefix2").parquet(folder)
 
 
