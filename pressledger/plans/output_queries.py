@@ -118,7 +118,7 @@ def idempotent_sink(spark, folder):
         "source", F.concat(F.lit("op-"), text_of(F.floor(F.col("seq") / 2).cast("bigint"))).alias("operation_id"), "seq", "ts")
     day = F.dayofmonth("ts")
     first, second = rows.where(day <= 16).drop("ts"), rows.where(day >= 15).drop("ts")
-    history = History(spark, f"{pinned_folder(spark)}/operations-{uuid.uuid4().hex}", first.schema, ["source", "operation_id"], "seq")
+    history = History(spark, f"{pinned_folder(spark)}/operations-{uuid.uuid4().hex}", first.schema, ["source", "operation_id"], "seq", digits=1)
     write = history.sink()
     for batch, number in ((first, 1), (first, 1), (second, 2)):
         write(batch, number)

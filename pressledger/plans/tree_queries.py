@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.merkle import Snapshot, differences
 from ..session import pinned, pinned_folder
 from ..sources import publication as pub
 from ..sources import tree
@@ -148,3 +149,28 @@ def typed_references(spark, folder):
     """References as the exported columns' metadata declares them, held against the exported ids and attachments."""
     path, _ = written_export(spark, folder)
     return reference_problems(Export(spark, path, BLOCK_BYTES))
+
+
+@query("ordered_reconcile", """with b as (select l_orderkey, l_linenumber as position, l_partkey, l_quantity from lineitem),
+a as (select l_orderkey, case when l_orderkey % 211 = 3 and position in (1, 2) then 3 - position else position end as position,
+    case when l_orderkey % 199 = 2 and position = 1 then l_partkey + 1 else l_partkey end as l_partkey, l_quantity from b where l_orderkey % 197 <> 1
+  union all select l_orderkey + 1000000000, 1, 1, 1.0 from b where l_orderkey % 223 = 4 and position = 1
+  union all select * from b where l_orderkey % 227 = 5 and position = 2 and l_orderkey % 197 <> 1 and l_orderkey % 211 <> 3),
+n as (select l_orderkey, position, l_partkey, l_quantity, sum(s) as net, count(distinct s) as sides from (select *, -1 as s from b union all select *, 1 from a) group by all having net <> 0),
+k as (select l_orderkey, position, cast(sum(case when net < 0 then -net else 0 end) as bigint) as gone, cast(sum(case when net > 0 then net else 0 end) as bigint) as come, min(sides) as least,
+  max(l_partkey) filter (where net < 0) as p0, max(l_partkey) filter (where net > 0) as p1, max(l_quantity) filter (where net < 0) as q0, max(l_quantity) filter (where net > 0) as q1
+  from n group by l_orderkey, position)
+select l_orderkey, position, gone, come, case when gone = 1 and come = 1 and least = 1 then 'changed' when least > 1 then 'repeats' when come = 0 then 'missing' when gone = 0 then 'extra' else 'mixed' end as status,
+  case when gone = 1 and come = 1 and least = 1 then concat_ws(',', case when p0 is distinct from p1 then 'l_partkey' end, case when q0 is distinct from q1 then 'l_quantity' end) else '' end as fields from k""")
+def ordered_reconcile(spark, folder):
+    """Two snapshots of an ordered relation: rows lost, changed, added, repeated, and positions that changed places."""
+    key, place = F.col("l_orderkey"), F.col("position")
+    lines = load(spark, folder, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("position"), "l_partkey", "l_quantity")
+    kept = lines.where(key % 197 != 1)
+    after = kept.select("l_orderkey", F.when((key % 211 == 3) & place.isin(1, 2), 3 - place).otherwise(place).alias("position"),
+                        F.when((key % 199 == 2) & (place == 1), F.col("l_partkey") + 1).otherwise(F.col("l_partkey")).alias("l_partkey"), "l_quantity")
+    more = lines.where((key % 223 == 4) & (place == 1)).select((key + 1_000_000_000).alias("l_orderkey"), F.lit(1).alias("position"), F.lit(1).cast("bigint").alias("l_partkey"), F.lit(1.0).alias("l_quantity"))
+    again = kept.where((key % 227 == 5) & (place == 2) & (key % 211 != 3))
+    keys = ["l_orderkey", "position"]
+    snapshots = [Snapshot.write(rows, folder_for(spark, name), keys) for rows, name in ((lines, "before"), (after.unionByName(more).unionByName(again), "after"))]
+    return differences(*snapshots)

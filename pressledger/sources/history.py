@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..session import pinned
 
-#: digits of the key's digest by which rows are stored: 256 parts
+#: digits of the key's digest by which rows are stored, where nothing else is said: 256 parts
 DIGITS = 2
 #: rows of one part that a task writes on average
 PART_ROWS = 500_000
@@ -29,7 +29,8 @@ def digest_of(columns: Sequence[str]) -> Column:
 
 
 class History:
-    """The history of ``schema`` rows below ``folder``; ``keys`` name a row and ``order`` says which of a batch's rows of one key comes first.
+    """The history of ``schema`` rows below ``folder``; ``keys`` name a row and ``order`` says which of a batch's rows of one key comes first;
+    ``digits`` sets the number of parts, 16 to that power.
 
     * ``append``: judges and appends a batch, returns its receipt: rows offered (one for each key), appended, replayed (the history has the same row) and in
       conflict (it has another row of that key, which stays).
@@ -39,7 +40,8 @@ class History:
     One writer at a time, as a stream's micro-batches are.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, schema: StructType, keys: Sequence[str], order: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, schema: StructType, keys: Sequence[str], order: str, digits: int = DIGITS) -> None:
+        self.digits = digits
         self.spark, self.keys, self.order, self.columns = spark, list(keys), order, schema.names
         self.data, self.done = f"{folder.rstrip('/')}/rows", f"{folder.rstrip('/')}/commits"
         self.schema = StructType([*[StructField(f.name, f.dataType) for f in schema.fields], StructField("_batch", LongType()),
@@ -69,8 +71,8 @@ class History:
         others = [c for c in self.columns if c not in (*self.keys, self.order)]
         marked = batch.select(*self.columns).withColumn("_key", digest_of(self.keys)).withColumn("_digest", digest_of([*self.keys, *others]))
         first = marked.groupBy("_key").agg(F.min(F.struct(self.order, "_digest", *[c for c in self.columns if c != self.order])).alias("_row"))
-        rows = pinned(first.select("_key", F.substring("_key", 1, DIGITS).alias("_part"), *[F.col(f"_row.{c}").alias(c) for c in (*self.columns, "_digest")]))
-        # at most 16 ** DIGITS names
+        rows = pinned(first.select("_key", F.substring("_key", 1, self.digits).alias("_part"), *[F.col(f"_row.{c}").alias(c) for c in (*self.columns, "_digest")]))
+        # at most 16 ** digits names
         parts = sorted(r[0] for r in rows.select("_part").distinct().collect())
         if not parts:
             return rows.withColumn("_held", F.lit(None).cast("string")).withColumn("_by", F.lit(None).cast("bigint"))
@@ -86,7 +88,7 @@ class History:
         counts = judged.agg(F.count(F.lit(1)).alias("offered"), *[F.count_if(F.col("_outcome").isin(*names)).alias(c) for c, names in (
             ("appended", ("new", "appended")), ("replayed", ("replayed",)), ("conflicts", ("conflict",)))]).select(F.lit(number).cast("bigint").alias("batch"), "*").first()
         # one file for each part, more for large batches
-        salt = F.pmod(F.xxhash64("_key"), F.lit(1 + counts["appended"] // (PART_ROWS * 16**DIGITS)))
+        salt = F.pmod(F.xxhash64("_key"), F.lit(1 + counts["appended"] // (PART_ROWS * 16**self.digits)))
         fresh.select(*self.schema.names).repartition(F.col("_part"), salt).write.mode("append").partitionBy("_part").parquet(self.data)
         self.spark.createDataFrame([tuple(counts)], RECEIPT).coalesce(1).write.mode("append").parquet(self.done)
         return counts
