@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import pinned
-from .windows import prior
+from .windows import prior, same_keys
 
 
 def latest(log: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str]) -> DataFrame:
@@ -72,6 +73,51 @@ def upsert_events(log: DataFrame, keys: Sequence[str], seq: str, payload: str, f
             judged.where("_rejected").select(*keys, seq))
 
 
+def upsert_batches(log: DataFrame, source: str, key: str, batch: str, payload: str, fields: Sequence[str],
+                   slices: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(state, verdicts) of batches of any number of events, in the order of ``batch`` for each source; a batch with one illegal event falls as a whole.
+
+    ``payload`` is the event as JSON: a field present in it overrides, also with null; fields and events not mentioned stay. An event that is emitted already may only be
+    emitted again, naming the cycle it has. A batch that names a key twice falls. ``state`` is (source, key, fields, batches) of accepted
+    batches, ``verdicts`` (source, batch, events, accepted).
+
+    No batch is replayed after the other: starting from all batches, each round judges every batch against the state that the batches accepted by the round before would
+    leave ahead of it. A verdict depends on earlier batches only, so a round that changes nothing is the sequential result, and rounds are as many as
+    rejections that depend on each other, plus one. A key with very many events is cut into slices.
+    """
+    present = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    needed = list(dict.fromkeys([*fields, "status", "cycle_id"]))
+    parsed = log.select(source, key, batch, present.alias("_present"), F.try_parse_json(payload).alias("_parsed"))
+    # one row for each key of a batch; a key that a batch repeats makes it fall before it is judged
+    whole = parsed.groupBy(source, batch, key).agg(F.count(F.lit(1)).alias("_n"), F.max("_present").alias("_present"), F.min(F.to_json("_parsed")).alias("_json"))
+    unpacked = whole.select(source, batch, key, "_n", "_present", F.try_parse_json("_json").alias("_parsed"))
+    events = pinned(unpacked.select(source, batch, key, "_n", "_present", *[F.try_variant_get("_parsed", f"$.{f}", "string").alias(f"_{f}") for f in needed]))
+    sizes = pinned(events.groupBy(source, batch).agg(F.sum("_n").alias("events"), (F.max("_n") == 1).alias("_single")))
+    slim = events.select(source, batch, key, (F.col("_status") == "emitted").alias("_emitted"), F.array_contains("_present", "cycle_id").alias("_named"), F.col("_cycle_id").alias("_cycle"))
+    verdicts = sizes.select(source, batch, "events", F.col("_single").alias("accepted"))
+    emitted, counts, settled = F.coalesce(F.col("_emitted"), F.lit(False)), F.col("accepted"), []
+    cycle = F.when(F.col("_named"), F.col("_cycle")).otherwise(F.col("_carried.v"))
+    while True:
+        held = slim.join(verdicts.select(source, batch, "accepted"), [source, batch])
+        tagged = prior(held, [source, key], batch, [
+            {"_carried": ("max", F.when(counts & F.col("_named"), F.struct(F.col(batch), F.col("_cycle").alias("v"))))},
+            {"_fixed": ("min", F.when(counts & emitted, F.struct(F.col(batch), cycle.alias("cycle"))))}], slices)
+        legal = F.col("_fixed").isNull() | (emitted & F.when(F.col("_named"), F.col("_cycle")).eqNullSafe(F.col("_fixed.cycle")))
+        judged = tagged.groupBy(source, batch).agg(F.min(legal).alias("_legal"), F.first("accepted").alias("_was"))
+        after = pinned(sizes.join(judged, [source, batch]).select(source, batch, "events", (F.col("_single") & F.col("_legal")).alias("accepted"), "_was"))
+        unsettled = pinned(after.where("accepted <> _was").select(source).distinct())
+        if unsettled.isEmpty():
+            break
+        # sources do not depend on each other: those that a round left as they were are done
+        settled.append(same_keys(after, unsettled, [source], "left_anti"))
+        verdicts = same_keys(after, unsettled, [source], "left_semi").drop("_was")
+    verdicts = reduce(DataFrame.unionByName, settled, after).drop("_was")
+    kept = events.join(verdicts.where("accepted").select(source, batch), [source, batch])
+    folded = [F.max(F.when(F.array_contains("_present", f), F.struct(F.col(batch), F.col(f"_{f}").alias("v")))).alias(f"_{f}_last") for f in fields]
+    state = kept.groupBy(source, key).agg(*folded, F.count(F.lit(1)).alias("batches"))
+    return state.select(source, key, *[F.col(f"_{f}_last.v").alias(f) for f in fields], "batches"), verdicts
+
+
 def emit_once(log: DataFrame, keys: Sequence[str], seq: str, emitted: Column, history: DataFrame | None = None) -> DataFrame:
     """First emission of every identity; ``history`` (keys) holds what was emitted before. History is never pruned."""
     first = log.where(emitted).groupBy(*keys).agg(F.min(seq).alias(seq))
@@ -101,6 +147,51 @@ def daily_counts(events: DataFrame, key: str, ts: str) -> DataFrame:
             .select(key, F.to_date(F.col("window.start") + F.expr("interval 8 hours")).alias("day"), "events"))
 
 
+def delivery_ledger(log: DataFrame, cycle: str, channel: str, attempt: str, seq: str, action: str, payload: str, ok: str,
+                    slices: int | None = None) -> DataFrame:
+    """What the delivery ledger of a cycle does with each row: column ``outcome``.
+
+    ``start`` opens an attempt: ``started``; ``replay`` or ``conflict`` where the attempt exists with the same or another request (``payload``); ``blocked`` while another attempt of the
+    channel has not failed; ``not_released`` for a notification before the release, ``released`` for a deployment after it; ``refused`` where its request is not ``ok``.
+    ``unknown``, ``failed`` and ``confirmed`` record a result: ``recorded``; ``no_intent`` without an attempt; ``repeat`` of the same result and evidence; ``terminal`` after a
+    failure or confirmation; ``refused`` where the evidence is not ``ok``. ``release`` needs a confirmed deployment: ``recorded``, ``repeat`` or ``unconfirmed``; its channel and attempt do not matter.
+
+    No history is replayed row by row: from the assumption that every row that is fine took effect, each round judges all rows by running values over the rows that took effect
+    in the round before. An outcome depends on earlier rows only, so a round that changes nothing is the sequential result. ``seq`` is unique.
+    """
+    act, fine = F.col(action), F.coalesce(F.col(ok), F.lit(False))
+    starts, records, releases = act == "start", act.isin("unknown", "failed", "confirmed"), act == "release"
+    text = F.coalesce(F.col(payload), F.lit(""))
+    # what is not fine takes no effect in any case
+    rows = pinned(log.withColumn("_effect", releases | fine))
+    columns, one = log.columns, F.lit(1).cast("bigint")
+    effect, settled = F.col("_effect"), []
+    while True:
+        by_cycle = prior(rows, [cycle], seq, {
+            "_released": ("max", F.when(effect & releases, 1)), "_confirmed": ("max", F.when(effect & (act == "confirmed") & (F.col(channel) == "deployment"), 1))}, slices)
+        by_channel = prior(by_cycle, [cycle, channel], seq, {
+            "_begun": ("sum", F.when(effect & starts, one).otherwise(0)), "_failed": ("sum", F.when(effect & (act == "failed"), one).otherwise(0))}, slices)
+        by_attempt = prior(by_channel, [cycle, channel, attempt], seq, {
+            "_intent": ("min", F.when(effect & starts, F.struct(F.col(seq), text.alias("request")))),
+            "_last": ("max", F.when(effect & records, F.struct(F.col(seq), act.alias("state"), text.alias("evidence"))))}, slices)
+        released, exists, state = F.col("_released").isNotNull(), F.col("_intent").isNotNull(), F.col("_last.state")
+        start = (F.when((F.col(channel) == "notification") & ~released, "not_released").when(~fine, "refused")
+                 .when(exists, F.when(F.col("_intent.request") == text, "replay").otherwise("conflict"))
+                 .when(released & (F.col(channel) == "deployment"), "released")
+                 .when(F.coalesce(F.col("_begun"), F.lit(0)) > F.coalesce(F.col("_failed"), F.lit(0)), "blocked").otherwise("started"))
+        record = (F.when(~exists, "no_intent").when(F.coalesce((state == act) & (F.col("_last.evidence") == text), F.lit(False)), "repeat")
+                  .when(F.coalesce(state.isin("failed", "confirmed"), F.lit(False)), "terminal").when(~fine, "refused").otherwise("recorded"))
+        release = F.when(released, "repeat").when(F.col("_confirmed").isNull(), "unconfirmed").otherwise("recorded")
+        judged = pinned(by_attempt.select(*columns, "_effect", F.when(starts, start).when(records, record).when(releases, release).alias("outcome")))
+        now = F.coalesce(F.col("outcome").isin("started", "recorded"), F.lit(False))
+        unsettled = pinned(judged.where(now != F.col("_effect")).select(cycle).distinct())
+        if unsettled.isEmpty():
+            return reduce(DataFrame.unionByName, settled, judged.drop("_effect"))
+        # cycles do not depend on each other: those that a round left as they were are done
+        settled.append(same_keys(judged, unsettled, [cycle], "left_anti").drop("_effect"))
+        rows = same_keys(judged, unsettled, [cycle], "left_semi").select(*columns, now.alias("_effect"))
+
+
 def delivery_outcomes(log: DataFrame, keys: Sequence[str], seq: str, action: str, evidence_ok: str,
                       slices: int | None = None) -> DataFrame:
     """What a delivery ledger does with each row: started, blocked, unknown, failed, confirmed, refused, terminal, no_intent.

@@ -24,7 +24,7 @@ HOT_ROWS = 5_000_000
 _AGGREGATE = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on equal keys, NULL keys included; the key columns of the left side remain."""
     renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     joined = left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys], how)
@@ -73,7 +73,7 @@ def _prior_step(cut: DataFrame, keys: list[str], seq: str, values: Mapping[str,
         for name, (how, _) in values.items()])
     earlier_rows = (Window.partitionBy(*keys, "_block").orderBy(seq)
                     .rowsBetween(Window.unboundedPreceding, -1))
-    joined = _same_keys(cut, carried, [*keys, "_block"], "inner")
+    joined = same_keys(cut, carried, [*keys, "_block"], "inner")
     return joined.select(*columns, *[
         _combine(how, F.col(f"_{name}_before"), _AGGREGATE[how](f"_{name}_value").over(earlier_rows)).alias(name)
         for name, (how, _) in values.items()])
@@ -91,10 +91,10 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], su
     if total is None:
         return _plain_sums(df, keys, order, sums)
     # fewer than rows / hot_rows keys are hot, so this side stays small; AQE picks the join from its real size
-    cold = _same_keys(df, hot.select(*keys), keys, "left_anti")
+    cold = same_keys(df, hot.select(*keys), keys, "left_anti")
     slices = max(2, 2 * -(-total // hot_rows))
     return _plain_sums(cold, keys, order, sums).unionByName(
-        _sliced_sums(_same_keys(df, hot.select(*keys), keys, "left_semi"), keys, order, sums, slices))
+        _sliced_sums(same_keys(df, hot.select(*keys), keys, "left_semi"), keys, order, sums, slices))
 
 
 def _plain_sums(df: DataFrame, keys: list[str], order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
@@ -114,7 +114,7 @@ def _sliced_sums(df: DataFrame, keys: list[str], order: Sequence[Column], sums:
         F.coalesce(F.sum(f"_{name}_total").over(earlier), F.lit(0)).alias(f"_{name}_before") for name in sums])
     inside = (Window.partitionBy(*keys, "_slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = _same_keys(cut, carried, [*keys, "_slice"], "inner")
+    joined = same_keys(cut, carried, [*keys, "_slice"], "inner")
     return joined.select(*df.columns, *[
         (F.col(f"_{name}_before") + F.sum(expr.cast("bigint")).over(inside)).alias(name)
         for name, expr in sums.items()])

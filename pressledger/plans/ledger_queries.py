@@ -78,6 +78,30 @@ def event_upsert(spark, folder):
     return state
 
 
+@query("batch_upsert", f"""with recursive {EVENT_LOG},
+e as (select source, seq // 60 as batch, event_key, case when seq % 6 < 4 then 'seen' else 'emitted' end as status, seq % 5 <> 1 as named, concat('c', cast(user_id % 3 as varchar)) as cycle from event_log),
+b as (select source, row_number() over (partition by source order by batch) as n, batch, count(*) as events, count(*) = count(distinct event_key) as single,
+  list({{'k': event_key, 's': status, 'c': case when named then cycle end, 'named': named}} order by event_key) as evs from e group by source, batch),
+st(source, n, batch, events, accepted, emitted, carried) as (
+  select distinct source, cast(0 as bigint), cast(null as bigint), cast(0 as bigint), false, map([]::varchar[], []::varchar[]), map([]::varchar[], []::varchar[]) from e
+  union all
+  select source, n, batch, events, ok,
+    case when ok then map_concat(emitted, map_from_entries(list_transform(list_filter(evs, lambda x: x.s = 'emitted'), lambda x: {{'k': x.k, 'v': case when x.named then x.c else carried[x.k] end}}))) else emitted end,
+    case when ok then map_concat(carried, map_from_entries(list_transform(list_filter(evs, lambda x: x.named), lambda x: {{'k': x.k, 'v': x.c}}))) else carried end
+  from (select b.source, b.n, b.batch, b.events, b.evs, st.emitted, st.carried,
+      b.single and len(list_filter(b.evs, lambda x: map_contains(st.emitted, x.k) and (x.s <> 'emitted' or x.c is distinct from st.emitted[x.k]))) = 0 as ok
+    from st join b on b.source = st.source and b.n = st.n + 1))
+select source, batch, events, accepted from st where n > 0""")
+def batch_upsert(spark, folder):
+    """Batches of a source's events, of which each is accepted or falls as a whole."""
+    seq = F.col("seq")
+    payload = F.concat(F.when(seq % 6 < 4, '{"status":"seen"').otherwise('{"status":"emitted"'),
+                       F.when(seq % 5 != 1, F.concat(F.lit(',"cycle_id":"c'), text_of(F.col("user_id") % 3), F.lit('"'))).otherwise(""), F.lit("}"))
+    rows = event_log(spark, folder).select("source", "event_key", F.floor(seq / 60).cast("bigint").alias("batch"), payload.alias("payload"))
+    _, verdicts = ops.upsert_batches(rows, "source", "event_key", "batch", "payload", ["status", "cycle_id"])
+    return verdicts
+
+
 @query("emit_once", f"""with {EVENT_LOG}
 select source, event_key, min(seq) as seq from event_log e where status = 'emitted'
   and not exists (select 1 from event_log h where h.source = e.source and h.event_key = e.event_key and h.status = 'emitted' and h.ts < timestamp '2024-01-08 16:00:00')
@@ -173,3 +197,37 @@ select cycle_id, channel, attempt, arg_max(state, seq) as latest_state, count(*)
 def delivery_attempts(spark, folder):
     history = ops.delivery_history(delivery_outcomes(spark, folder), DELIVERY_KEYS, "seq")
     return ops.delivery_attempts(history, DELIVERY_KEYS, "seq")
+
+
+@query("delivery_ledger", f"""with recursive {EVENT_LOG},
+d as (select seq, concat(source, '-', cast(cast(ts as date) as varchar)) as cycle_id, case when seq % 13 = 5 then 'notification' else 'deployment' end as channel,
+  concat('a', cast((seq // 900) % 4 as varchar)) as attempt, case when seq % 17 = 0 then 'release' when seq % 5 in (0, 1) then 'start' when seq % 5 = 2 then 'unknown'
+    when seq % 5 = 3 and seq % 4 < 3 then 'failed' else 'confirmed' end as action,
+  concat('p', cast(case when seq % 11 = 0 then seq % 3 else 0 end as varchar)) as payload, seq % 7 <> 3 as ok from event_log),
+l as (select cycle_id, row_number() over (partition by cycle_id order by seq) as n, list({{'seq': seq, 'ch': channel, 'k': concat(channel, '|', attempt), 'a': action, 'p': payload, 'ok': ok}} order by seq)[1] as r, seq
+  from d group by cycle_id, seq),
+st(cycle_id, n, seq, outcome, released, request, state) as (
+  select distinct cycle_id, cast(0 as bigint), cast(null as bigint), cast(null as varchar), false, map([]::varchar[], []::varchar[]), map([]::varchar[], []::varchar[]) from d
+  union all
+  select cycle_id, n, seq, outcome, released or (r.a = 'release' and outcome = 'recorded'),
+    case when outcome = 'started' then map_concat(request, map([r.k], [r.p])) else request end,
+    case when outcome = 'started' then map_concat(state, map([r.k], ['pending|'])) when r.a <> 'release' and outcome = 'recorded' then map_concat(state, map([r.k], [concat(r.a, '|', r.p)])) else state end
+  from (select l.cycle_id, l.n, l.seq, l.r, st.released, st.request, st.state,
+      case when l.r.a = 'release' then case when st.released then 'repeat' when len(list_filter(map_entries(st.state), lambda e: e.key like 'deployment|%' and e.value like 'confirmed|%')) = 0 then 'unconfirmed' else 'recorded' end
+        when l.r.a = 'start' then case when l.r.ch = 'notification' and not st.released then 'not_released' when not l.r.ok then 'refused'
+          when map_contains(st.request, l.r.k) then case when st.request[l.r.k] = l.r.p then 'replay' else 'conflict' end
+          when st.released and l.r.ch = 'deployment' then 'released'
+          when len(list_filter(map_entries(st.state), lambda e: e.key like l.r.ch || '|%' and e.value not like 'failed|%')) > 0 then 'blocked' else 'started' end
+        else case when not map_contains(st.request, l.r.k) then 'no_intent' when st.state[l.r.k] = concat(l.r.a, '|', l.r.p) then 'repeat'
+          when st.state[l.r.k] like 'failed|%' or st.state[l.r.k] like 'confirmed|%' then 'terminal' when not l.r.ok then 'refused' else 'recorded' end end as outcome
+    from st join l on l.cycle_id = st.cycle_id and l.n = st.n + 1))
+select seq, cycle_id, outcome from st where n > 0""")
+def delivery_ledger(spark, folder):
+    """Deliveries with attempts, replays, conflicts and the release gate."""
+    seq = F.col("seq")
+    action = (F.when(seq % 17 == 0, "release").when((seq % 5).isin(0, 1), "start").when(seq % 5 == 2, "unknown").when((seq % 5 == 3) & (seq % 4 < 3), "failed").otherwise("confirmed"))
+    rows = event_log(spark, folder).select(
+        "seq", F.concat("source", F.lit("-"), text_of(F.col("ts").cast("date"))).alias("cycle_id"), F.when(seq % 13 == 5, "notification").otherwise("deployment").alias("channel"),
+        F.concat(F.lit("a"), text_of(F.floor(seq / 900).cast("bigint") % 4)).alias("attempt"), action.alias("action"),
+        F.concat(F.lit("p"), text_of(F.when(seq % 11 == 0, seq % 3).otherwise(F.lit(0)))).alias("payload"), (seq % 7 != 3).alias("ok"))
+    return ops.delivery_ledger(rows, "cycle_id", "channel", "attempt", "seq", "action", "payload", "ok").select("seq", "cycle_id", "outcome")
