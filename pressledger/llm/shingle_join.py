@@ -177,17 +177,20 @@ def _multi_match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(num: int, den: int):
-    """Keeps the pairs whose whole sets are similar enough and adds the size of their intersection."""
+    """Keeps the pairs whose whole sets are similar enough and adds the size of their intersection. A document of several texts brings
+    several sets: only those of the sizes that made the pair a candidate are compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column("left"), batch.column("right")
-            shared = []
+            shared, sizes = [], []
             for i in range(batch.num_rows):
                 a, b = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in (left, right))
                 shared.append(len(np.intersect1d(a, b, assume_unique=True)))
+                sizes.append((len(a), len(b)))
             out = batch.select(["a", "b", "n", "m"]).append_column("shared", pa.array(shared, pa.int64()))
             n, m, s = (out.column(c).to_numpy() for c in ("n", "m", "shared"))
-            yield out.filter(pa.array(den * s >= num * (n + m - s)))
+            meant = (np.array(sizes, np.int64).reshape(-1, 2) == np.stack([n, m], axis=1)).all(axis=1)
+            yield out.filter(pa.array(meant & (den * s >= num * (n + m - s))))
     return run
 
 
@@ -196,7 +199,7 @@ class ShingleJoin:
 
     ``docs`` needs ``doc_id`` (a number) and ``text``; other columns are not read. Sets are those of whole texts in which A-Z are lower-cased. Null, empty and blank
     texts have empty sets and are linked with nothing; texts of fewer than ``width`` words are one shingle. Rows without
-    doc_id get no component. Rows that repeat a doc_id count as one document, linked by any of their texts.
+    doc_id get no component. Rows that repeat a doc_id count as one document, linked by any of their texts, also where one of them is empty.
 
     * ``members``: (doc_id, n_shingles, rep) per row; the class of equal sets is named by its smallest doc_id.
     * ``links``: (a, b, n, m, shared) between class representatives. Enough of them to connect what is connected: inside
@@ -315,8 +318,14 @@ class ShingleJoin:
         self._links = pinned(stars.union(self._verified(pairs)))
         return self._links
 
+    def _ties(self, members: DataFrame) -> DataFrame:
+        """(a, b): links between the classes of the rows that share a doc_id, as they are one document."""
+        spread = (members.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("doc_id", "a"))
+        return members.join(spread, "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct()
+
     def components(self) -> DataFrame:
-        found = components(self.links().select("a", "b")).withColumnRenamed("node", "rep")
-        return (self.members().join(found, "rep", "left")
+        members = pinned(self.members())
+        found = components(self.links().select("a", "b").union(self._ties(members))).withColumnRenamed("node", "rep")
+        return (members.join(found, "rep", "left")
                 .select(F.col("doc_id").cast(self.kind).alias("doc_id"), "n_shingles",
                         F.coalesce("component", "rep").cast(self.kind).alias("component_id")))

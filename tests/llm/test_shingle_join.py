@@ -96,6 +96,37 @@ def test_repeated_and_missing_ids_and_empty_table(docs_of, spark):
     assert ShingleJoin(docs_of(rows).where("false"), 3, 9, 10).components().count() == 0
 
 
+def by_document(rows, width, num, den):
+    """Components where rows that share a doc_id are one document, by comparing every two texts."""
+    top = {i: i for i, _ in rows}
+    single = brute_force(list(enumerate(t for _, t in rows)), width, num, den)
+    changed = True
+    while changed:
+        changed = False
+        for key in (lambda k: single[k][1], lambda k: rows[k][0] + 10**9):
+            groups = defaultdict(list)
+            for k, (i, t) in enumerate(rows):
+                groups[key(k)].append(i)
+            for ids in groups.values():
+                low = min(top[i] for i in ids)
+                for i in ids:
+                    changed, top[i] = changed or top[i] != low, low
+    return top
+
+
+def test_rows_of_one_document_with_unlike_texts(docs_of, spark):
+    ready(spark)
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (2, b), (6, ""), (6, a), (8, "x y z w"), (8, None)]
+    got = {(r.doc_id, r.component_id) for r in ShingleJoin(docs_of(rows), 3, 9, 10).components().collect()}
+    assert got == {(3, 2), (5, 2), (2, 2), (6, 2), (8, 8)}
+    rng = random.Random(11)
+    many = [(i % 70, t) for i, t in corpus(4, 140)]
+    many += [(rng.randrange(70), t) for _, t in many[:30]] + [(rng.randrange(70), t + " tail") for _, t in many[30:50]]
+    got = {(r.doc_id, r.component_id) for r in ShingleJoin(docs_of(many), 3, 9, 10).components().collect()}
+    assert got == set(by_document(many, 3, 9, 10).items())
+
+
 def test_parity_maps_bound_the_difference():
     rng = np.random.default_rng(1)
     for n, m in ((40, 44), (500, 530), (3000, 2300)):
