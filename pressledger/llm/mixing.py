@@ -18,7 +18,7 @@ from fractions import Fraction
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import pinned, released
@@ -197,19 +197,25 @@ class Mixture:
         """The cut falls at one place of each source's order, so rows are kept by comparison with it and no text is shuffled."""
         if not self.targets:
             return self.rows if self.nulls else self.rows.where(F.col(self.source).isNotNull())
+        held, self_key, self_source = self._held()
         self.placed()
         place = F.struct("_slice", "_mark")
-        cuts = (self._placed.where(F.col("slot") < self.slots()).groupBy(self.source).agg(F.max(place).alias("_cut"))
-                .withColumnRenamed(self.source, "_cut_source"))
+        cuts = (self._placed.where(F.col("slot") < self.slots()).groupBy(F.col(self.source).alias("_cut_source")).agg(F.max(place).alias("_cut")))
         slices = max(1, -(-self.rows.count() // SLICE_ROWS))
-        mark = F.xxhash64(self.key)
+        mark = F.xxhash64(self_key)
         own = F.struct(F.pmod(F.shiftrightunsigned(mark, 16), F.lit(slices)).alias("_slice"), mark.alias("_mark"))
         # one row for each source: Spark broadcasts it if its size allows
-        return self.rows.join(cuts, (F.col(self.source) == F.col("_cut_source")) & (own <= F.col("_cut"))).select(*[self.rows[c] for c in self.rows.columns])
+        return held.join(cuts, (self_source == F.col("_cut_source")) & (own <= F.col("_cut"))).select("_row.*")
+
+    def _held(self) -> tuple[DataFrame, Column, Column]:
+        """Rows as one column, so that none of theirs can clash with what they are joined to, and their key and source."""
+        rows = self.rows.select(F.struct(*[F.col(f"`{c}`") for c in self.rows.columns]).alias("_row"))
+        return rows, F.col("_row")[self.key], F.col("_row")[self.source]
 
     def ordered(self) -> DataFrame:
         """Rows meet their positions by key and source; those that repeat a key all take the first of theirs, so none is multiplied."""
         firsts = self.placed().groupBy(F.col(self.key).alias("_place_key"), F.col(self.source).alias("_place_source")).agg(F.min("position").alias("_place"))
         kept = self.kept()
-        meet = F.col(self.key).eqNullSafe(F.col("_place_key")) & F.col(self.source).eqNullSafe(F.col("_place_source"))
-        return kept.join(firsts, meet).orderBy("_place").select(*[kept[c] for c in kept.columns])
+        held = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row"))
+        meet = F.col("_row")[self.key].eqNullSafe(F.col("_place_key")) & F.col("_row")[self.source].eqNullSafe(F.col("_place_source"))
+        return held.join(firsts, meet).orderBy("_place").select("_row.*")

@@ -1,5 +1,6 @@
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
@@ -58,6 +59,27 @@ def test_stages_take_any_rows(spark, docs_of):
     assert C.tokens(spark, docs, FOLDER).count() == len(rows)
 
 
+def test_columns_whose_names_clash_pass_through(spark, docs_of):
+    rows = [(i, f"text {i} of some words and some more of them") for i in range(12)] + [(3, "an unlike text under an id that is there already")]
+    docs = docs_of(rows)
+    for name in ("_place", "_place_key", "_cut", "_cut_source", "_row", "_id", "_many", "_gone", "_n", "rep", "component_id", "a", "b", "node", "slot", "block"):
+        docs = docs.withColumn(name, F.lit(name))
+    for _, stage in C.STAGES[:4]:
+        docs = pinned(stage(spark, docs, FOLDER))
+        assert {r["_place"] for r in docs.collect()} <= {"_place"}
+    given = Mixture(docs_of(rows).withColumn("_cut", F.lit(1)).withColumn("_cut_source", F.lit(2)), weights={"src0": 1, "src1": 1})
+    assert given.ordered().columns[-2:] == ["_cut", "_cut_source"] and given.ordered().count() == given.kept().count()
+
+
+def test_one_row_of_a_repeated_id_stays_by_a_fixed_order(spark, docs_of):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (2, b), (7, "first text of seven"), (7, "second one")]
+    seen = {tuple(sorted((r.doc_id, r.text) for r in C.near_duplicates(spark, docs_of(rows[::step], parts), FOLDER).collect())) for step in (1, -1) for parts in (1, 4)}
+    assert len(seen) == 1
+    kept = dict(seen.pop())
+    assert sorted(kept) == [2, 7] and kept[2] == b
+
+
 def test_mixture_keeps_every_row(spark):
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     docs = spark.createDataFrame([(i, "t", "en", "one" if i == 0 else None if i % 9 == 0 else "ab"[i % 2], 1) for i in range(20000)], kind)
@@ -67,7 +89,7 @@ def test_mixture_keeps_every_row(spark):
 def test_registered(spark):
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(SQL) <= set(entry.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and names["pipeline"] is C.run
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and names["pipeline"] is C.run
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
