@@ -1,8 +1,11 @@
-"""Document fingerprints by consistent weighted sampling of terms with whole weights, their counts.
+"""Document fingerprints by improved consistent weighted sampling (Ioffe, 2010).
 
-A term of weight w stands as its copies 1 to w. A sample is the copy whose hash, drawn anew for every sample, is the smallest of
-the text: a term is sampled in proportion to its weight, and two documents agree in a sample with the probability of their generalised
-Jaccard similarity, sum of minima over sum of maxima, for texts of any length. This is the case of whole weights of what Ioffe (2010) does for real ones.
+For every term x of weight w and every sample, r and c are drawn from Gamma(2, 1) and beta evenly from 0 to 1, all three from hashes of x and the sample. With
+t = floor(ln w / r + beta), the sample is the (x, t) with the smallest a = c exp(-r (t - beta + 1)). Two documents agree in a sample with the probability of
+their generalised Jaccard similarity, sum of minima over sum of maxima of weights, which may be any positive numbers.
+
+A Gamma(2, 1) number is -ln of the product of two even ones. So a is at least c exp(-r) / w, which multiplications alone bound from below; logarithms are
+taken only of the few terms whose bound is under a limit that the smallest a hardly ever exceeds. Where it does, all terms are drawn in full.
 """
 
 from __future__ import annotations
@@ -22,27 +25,91 @@ SAMPLES, WORDS = 128, 3
 #: a fingerprint keeps eight bits of each sample: two hex digits
 KEPT = 256
 EMPTY = "00" * SAMPLES
+#: the smallest a of a text exceeds this number over its total weight with probability exp(-LIMIT)
+LIMIT = 5.0
+SALTS = mix(np.arange(1, SAMPLES + 1, dtype=np.uint64)) | np.uint64(1)
+SPREAD, FIELD, BYTE = np.uint64(0x9FB21C651E98DF25), np.uint64(0xFFFF), np.uint64(KEPT - 1)
 #: effort of the compression under which texts are shuffled
 LEVEL = 6
 
 
-def copies(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every copy of every term, and its text's index, text by text: equal terms of a text are told apart by their number."""
+def weighted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of every text, their counts, and their text's index, text by text."""
     order = np.argsort(hashes)
     order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
     hashes, owner = hashes[order], owner[order]
     at = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]) if len(hashes) else np.zeros(0, np.int64)
-    number = np.arange(len(hashes)) - np.repeat(at, np.diff(np.r_[at, len(hashes)]))
-    return np.where(number > 0, mix(hashes ^ mix(number.astype(np.uint64))), hashes), owner
+    return hashes[at], np.diff(np.r_[at, len(hashes)]), owner[at]
+
+
+def scrambled(terms: np.ndarray, k: int) -> np.ndarray:
+    """64 bits for each term in sample ``k``."""
+    out = terms * SALTS[k]
+    out ^= out >> np.uint64(32)
+    out *= SPREAD
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def bounded(bits: np.ndarray) -> np.ndarray:
+    """A lower bound of c exp(-r) in units of 2**-48, of the four fields of 16 bits that c and r begin with."""
+    low = bits & FIELD
+    low *= (bits >> np.uint64(16)) & FIELD
+    rest = (bits >> np.uint64(32)) & FIELD
+    rest += bits >> np.uint64(48)
+    low *= rest
+    return low
+
+
+def drawn(bits: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ln a and t, for the bits of terms in one sample and the logarithms of their weights."""
+    u = bits.view("<u2").reshape(-1, 4).astype(np.float64)
+    u += 0.5
+    u *= 2.0**-16
+    r = -np.log(u[:, 0] * u[:, 1])
+    c = -np.log((1 - u[:, 2]) * (1 - u[:, 3]))
+    more = bits * SPREAD
+    more ^= more >> np.uint64(32)
+    more *= SPREAD
+    beta = (more >> np.uint64(11)).astype(np.float64) * 2.0**-53
+    t = np.floor(logs / r + beta)
+    return np.log(c) - r * (t - beta + 1), t
+
+
+def named(terms: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """(x, t) as one number."""
+    return mix(terms + t.astype(np.int64).view(np.uint64) * SPREAD)
 
 
-def samples(terms: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One row of SAMPLES bytes for each text; ``first`` is where each text's copies begin, none may be empty."""
+def samples(terms: np.ndarray, weights: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One row of SAMPLES bytes for each text; ``first`` is where each text's terms begin, none may be without a term. Weights are positive."""
     out = np.empty((len(first), SAMPLES), np.uint8)
-    terms = terms ^ (terms >> np.uint64(29))
+    many = len(first)
+    sizes = np.diff(np.r_[first, len(terms)])
+    owner = np.repeat(np.arange(many), sizes)
+    total = np.add.reduceat(weights.astype(np.float64), first)
+    # the smallest a is exponential with the total weight as its rate
+    limit = LIMIT / total
+    reach = np.minimum(limit[owner] * weights * 2.0**48, 2.0**62).astype(np.uint64) + np.uint64(1)
+    logs, most, edges = np.log(weights), np.log(limit), np.append(first, len(terms))
     for k in range(SAMPLES):
-        own = terms * (mix(np.array([k + 1], np.uint64)) | np.uint64(1))
-        out[:, k] = mix(np.minimum.reduceat(own, first)) & np.uint64(KEPT - 1)
+        bits = scrambled(terms, k)
+        at = np.flatnonzero(bounded(bits) <= reach)
+        value, t = drawn(bits[at], logs[at])
+        begin = np.searchsorted(at, edges)
+        left = begin[1:] - begin[:-1]
+        filled = left > 0
+        low = np.full(many, np.inf)
+        if len(at):
+            low[filled] = np.minimum.reduceat(value, begin[:-1][filled])
+        won = np.flatnonzero(value == np.repeat(low, left))
+        out[owner[at[won]], k] = named(terms[at[won]], t[won]) & BYTE
+        open_ = np.flatnonzero(low > most)
+        for i in open_.tolist():
+            own = slice(first[i], first[i] + sizes[i])
+            value, t = drawn(bits[own], logs[own])
+            won = np.argmin(value)
+            out[i, k] = named(terms[own][won:won + 1], t[won:won + 1])[0] & BYTE
     return out
 
 
@@ -59,14 +126,14 @@ class Fingerprinter:
         for start, _, data, offsets in text_slices(batch, "text"):
             begins, ends = word_bounds(data, offsets)
             counts = np.diff(np.searchsorted(begins, offsets))
-            terms, owner = copies(*shingles(self.hasher(data, begins, ends), counts, WORDS))
+            terms, weights, owner = weighted(*shingles(self.hasher(data, begins, ends), counts, WORDS))
             filled, first = np.unique(owner, return_index=True)
             # a few texts at a time stay in the processor's cache
-            edges = np.r_[0, np.flatnonzero(np.diff(first // 30_000)) + 1, len(first)]
+            edges = np.r_[0, np.flatnonzero(np.diff(first // 60_000)) + 1, len(first)]
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo < hi:
                     a, b = first[lo], first[hi] if hi < len(first) else len(terms)
-                    out[start + filled[lo:hi]] = samples(terms[a:b], first[lo:hi] - a)
+                    out[start + filled[lo:hi]] = samples(terms[a:b], weights[a:b], first[lo:hi] - a)
         return out
 
 

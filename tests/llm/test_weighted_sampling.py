@@ -39,6 +39,41 @@ def test_weights_count_in_long_texts():
             assert abs(W.likeness(whole[:1], whole[times - 1:times])[0] - 1 / times) < 0.15
 
 
+def test_real_and_unequal_weights():
+    rng = np.random.default_rng(7)
+    errors = []
+    for terms in (60, 5000, 50_000):
+        for _ in range(4):
+            names = rng.integers(0, 2**63, terms).astype(np.uint64)
+            a, b = rng.exponential(1, terms) * rng.choice([0.1, 1, 25], terms), rng.exponential(1, terms) * rng.choice([0.1, 1, 25], terms)
+            prints = [W.samples(names, w, np.array([0])) for w in (a, b)]
+            errors.append(W.likeness(*prints)[0] - np.minimum(a, b).sum() / np.maximum(a, b).sum())
+    assert abs(np.mean(errors)) < 0.04 and max(map(abs, errors)) < 0.16
+
+
+def test_samples_equal_drawing_every_term():
+    rng = np.random.default_rng(3)
+    sizes = np.array([1, 2, 3, 40, 700, 5000])
+    first, terms = np.cumsum(sizes) - sizes, rng.integers(0, 2**63, sizes.sum()).astype(np.uint64)
+    weights = rng.choice([0.2, 1.0, 1.0, 3.0, 900.0], sizes.sum())
+    got = W.samples(terms, weights, first)
+    for k in range(W.SAMPLES):
+        bits = W.scrambled(terms, k)
+        value, t = W.drawn(bits, np.log(weights))
+        name = W.named(terms, t)
+        assert (np.exp(value) * weights * 2.0**48 >= W.bounded(bits)).all()
+        for i, (lo, n) in enumerate(zip(first, sizes, strict=True)):
+            assert got[i, k] == name[lo + np.argmin(value[lo:lo + n])] & W.BYTE
+
+
+def test_draws_follow_their_distributions():
+    bits = W.scrambled(np.arange(1, 200_001, dtype=np.uint64), 5)
+    value, _ = W.drawn(bits, np.zeros(200_000))
+    # for weight 1, a is exponential with rate 1
+    a = np.sort(np.exp(value))
+    assert np.abs(1 - np.exp(-a) - (np.arange(200_000) + 0.5) / 200_000).max() < 0.005
+
+
 def test_equal_texts_have_equal_fingerprints_in_any_company():
     of = W.Fingerprinter()
     texts = ["", "one", "one two", "a b c d e f " * 50, "x " * 20000, "é 日本 " * 10]
