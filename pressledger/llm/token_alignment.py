@@ -28,9 +28,13 @@ from .tables import pinned, released
 from .token_counts import byte_characters
 
 #: bytes of texts in a chunk of documents; one longer text is a chunk of its own
-CHUNK_BYTES = 8 << 20
-#: bytes of texts that are aligned at a time, and bytes of stretches that a task remembers; forgetting them changes no result
-SLICE_BYTES, REMEMBERED_BYTES = 1 << 19, 12 << 20
+CHUNK_BYTES = 4 << 20
+#: characters of texts that are aligned at a time
+SLICE_BYTES = 1 << 18
+#: bytes that a task's remembered stretches take, about; they are forgotten between chunks when so many are reached, which changes no result
+REMEMBERED_BYTES, STRETCH_BYTES = 64 << 20, 320
+#: bytes of stretches that are encoded as one text
+PART = 1 << 13
 #: bytes of tokens whose products are taken at a time
 PRODUCT_BYTES = 1 << 20
 #: a space after another character than white space begins a stretch
@@ -145,21 +149,38 @@ class Pair:
 
     def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of A and B, how many each stretch has, and whether the bytes of both are the stretch's; stretches where they are not have none."""
-        # the library adds no space to an empty text
-        spelled = [ids or [self.space] for ids in self.b.encode(stretches, num_threads=1)]
-        sides = ([e.ids for e in self.a.encode_batch([" " + s for s in stretches], add_special_tokens=False)], spelled)
-        tables, own = (self.a_bytes, self.b_bytes), [b" " + s.encode() for s in stretches]
+        own = [b" " + s.encode() for s in stretches]
         lengths = np.fromiter(map(len, own), np.int64, len(own))
+        # no token crosses from one stretch to the next, so many are encoded as one text, unless white space at an end could join another stretch
+        parts = np.unique(np.r_[0, np.flatnonzero(np.diff(np.cumsum(lengths) // PART)) + 1, len(own)]).tolist()
+        if self.cuts and not any(not s or s[-1].isspace() for s in stretches):
+            texts = [" ".join(stretches[i:j]) for i, j in zip(parts[:-1], parts[1:], strict=True)]
+            found = self._together(texts, b"".join(own), lengths)
+            if found is not None:
+                return *found, np.ones(len(own), bool)
+        sides = self._sides(stretches)
         counts = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in sides]
         flat = [np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in zip(sides, counts, strict=True)]
-        whole = all(np.array_equal(np.diff(bounds(size[ids])[bounds(n)]), lengths) and b"".join(map(table.__getitem__, ids.tolist())) == b"".join(own)
-                    for size, ids, n, table in zip(self.sizes, flat, counts, tables, strict=True))
-        fits = np.ones(len(own), bool)
-        if not whole:
-            fits = np.array([all(b"".join(map(table.__getitem__, ids[k])) == own[k] for ids, table in zip(sides, tables, strict=True)) for k in range(len(own))], bool)
-            flat = [ids[np.repeat(fits, n)] for ids, n in zip(flat, counts, strict=True)]
-            counts = [n * fits for n in counts]
-        return *flat, *counts, fits
+        tables = (self.a_bytes, self.b_bytes)
+        fits = np.array([all(b"".join(map(table.__getitem__, ids[k])) == own[k] for ids, table in zip(sides, tables, strict=True)) for k in range(len(own))], bool)
+        return *(ids[np.repeat(fits, n)] for ids, n in zip(flat, counts, strict=True)), *(n * fits for n in counts), fits
+
+    def _sides(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of A and B for texts without the space that both begin with; the library of B adds none to an empty text."""
+        spelled = [ids or [self.space] for ids in self.b.encode(texts, num_threads=1)]
+        return [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], spelled
+
+    def _together(self, texts: list[str], whole: bytes, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids and counts by stretch of joined texts, if the tokens' bytes are the texts' and a token ends with every stretch."""
+        out, wanted = [], np.cumsum(lengths)
+        for lists, table, sizes in zip(self._sides(texts), (self.a_bytes, self.b_bytes), self.sizes, strict=True):
+            ids = np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+            ends = np.cumsum(sizes[ids])
+            at = np.searchsorted(ends, wanted)
+            if not len(ends) or ends[-1] != wanted[-1] or (ends[at] != wanted).any() or b"".join(map(table.__getitem__, ids.tolist())) != whole:
+                return None
+            out.append((ids, np.diff(np.r_[0, at + 1])))
+        return out[0][0], out[1][0], out[0][1], out[1][1]
 
 
 class Aligned:
@@ -202,7 +223,7 @@ class Aligned:
         self.numbers = np.concatenate([self.numbers, np.stack([a_counts, b_counts, np.diff(groups), fits], axis=1)])
         self.starts = np.r_[self.starts, self.starts[-1] + links[1:]]
         self.pairs = np.r_[self.pairs, numbers[place]]
-        self.held += sum(map(len, fresh))
+        self.held += sum(map(len, self.strings[before:])) + STRETCH_BYTES * len(fresh)
 
     def written(self, a_ids: np.ndarray, b_ids: np.ndarray, a_groups: Csr, b_groups: Csr, many: int) -> tuple[list[str], np.ndarray]:
         """The groups as pieces of text (``a1,`` ``a2|`` ``b1;`` and so on), read off the token-group incidences by columns, and where each group begins."""
@@ -219,13 +240,16 @@ class Aligned:
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the stretches of all texts, one text after the other, and how many each has. Empty texts have none."""
         parts = [self.pair.stretches(t) if t else [] for t in texts]
-        fresh = list(set().union(*parts) - self.known.keys())
-        first = size = 0
-        for i, stretch in enumerate(fresh):
-            size += len(stretch)
-            if size >= SLICE_BYTES or i == len(fresh) - 1:
-                self.learn(fresh[first:i + 1])
-                first, size = i + 1, 0
+        known = self.known
+        fresh = [s for s in set().union(*parts) if s not in known]
+        single = [s for s in fresh if not s or s[-1].isspace()]  # the few that are encoded one by one
+        for group in ([s for s in fresh if s and not s[-1].isspace()] if single else fresh, single):
+            first = size = 0
+            for i, stretch in enumerate(group):
+                size += len(stretch)
+                if size >= SLICE_BYTES or i == len(group) - 1:
+                    self.learn(group[first:i + 1])
+                    first, size = i + 1, 0
         counts = np.array([len(p) for p in parts], np.int64)
         return np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum())), counts
 
@@ -235,13 +259,15 @@ FIRST_SCHEMA = ("chunk long, n_a long, n_b long, n_groups long, n_links long, gr
 
 
 def _first(byte_file: str, piece_model: bytes, tables: tuple, key: str, key_type: pa.DataType):
-    """Rows of three kinds, by chunk: documents (``stretches`` holds the numbers of theirs), one row with the pairs of every stretch used
-    (``linked``: numbers of stretches, where their pairs begin, pairs), and one row for each id pair with its links (``a``, ``b``, ``n``)."""
+    """Rows of three kinds, by chunk: documents (``stretches`` holds the numbers of theirs, compressed), one row with the pairs of every stretch used
+    (``linked``, compressed: steps between the numbers of stretches, how many pairs each has, pairs), and one row for each id pair with its links (``a``, ``b``, ``n``)."""
     names = [key, *(field.split()[0] for field in FIRST_SCHEMA.split(", "))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
         from pyspark import TaskContext
 
+        press = zstandard.ZstdCompressor(level=3).compress
         aligned = Aligned(Pair(byte_file, piece_model, tables))
         number, size = (TaskContext.get().partitionId() << 32), 0
         used: list[np.ndarray] = []
@@ -262,8 +288,9 @@ def _first(byte_file: str, piece_model: bytes, tables: tuple, key: str, key_type
             stretches = np.flatnonzero(counts)
             sizes = np.diff(aligned.starts)[stretches]
             pairs = aligned.pairs[counting(aligned.starts[stretches], sizes)]
-            dictionary = np.r_[len(stretches), stretches, bounds(sizes), pairs].astype(np.int32)
-            yield rows(1, linked=[dictionary.tobytes()])
+            # steps and sizes are small numbers, which compress well
+            dictionary = np.r_[len(stretches), np.diff(stretches, prepend=0), sizes, pairs].astype(np.int32)
+            yield rows(1, linked=[press(dictionary.tobytes())])
             times = np.bincount(pairs, weights=np.repeat(counts[stretches], sizes), minlength=len(aligned.keys)).astype(np.int64)
             ids = np.fromiter(aligned.keys, np.int64, len(aligned.keys))
             there = np.flatnonzero(times)
@@ -294,7 +321,7 @@ def _first(byte_file: str, piece_model: bytes, tables: tuple, key: str, key_type
                 at = at.astype(np.int32)
                 kept = [at[places[k]:places[k + 1]] if whole[k] else at[:0] for k in range(hi - lo)]
                 yield rows(int(hi - lo), **{key: batch.column(0).slice(lo, hi - lo)}, n_a=total[:, 0], n_b=total[:, 1], n_groups=total[:, 2], n_links=total[:, 4],
-                           groups_sha256=digests, stretches=[k.tobytes() for k in kept])
+                           groups_sha256=digests, stretches=[press(k.tobytes()) if len(k) else b"" for k in kept])
                 used += [k for k in kept if len(k)]
                 size += length
         yield from closed()
@@ -305,13 +332,16 @@ def _first(byte_file: str, piece_model: bytes, tables: tuple, key: str, key_type
 def _counted(key: str):
     """Sums of a chunk's documents over the links of their stretches, from the chunk's rows and the counts of its id pairs."""
     def run(rows: pa.Table, pairs: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         is_document = pc.is_valid(rows["stretches"])
         documents, dictionary = rows.filter(is_document), rows.filter(pc.invert(is_document))
         sums = np.zeros((0, 2), np.int64)
         if dictionary.num_rows:
-            held = np.frombuffer(dictionary["linked"][0].as_buffer(), np.int32).astype(np.int64)
+            held = np.frombuffer(unpack(dictionary["linked"][0].as_py()), np.int32).astype(np.int64)
             many = int(held[0])
-            stretches, starts, linked = held[1:many + 1], held[many + 1:2 * many + 2], held[2 * many + 2:]
+            stretches, starts, linked = np.cumsum(held[1:many + 1]), bounds(held[many + 1:2 * many + 1]), held[2 * many + 1:]
             own = np.zeros((int(linked.max(initial=-1)) + 1, 2), np.int64)
             own[pairs["pair"].to_numpy()] = np.stack([pairs["best"].to_numpy(), pairs["count"].to_numpy()], axis=1)
             total = np.zeros((len(linked) + 1, 2), np.int64)
@@ -320,7 +350,8 @@ def _counted(key: str):
             sums[stretches] = total[starts[1:]] - total[starts[:-1]]
         best, counted = [], []
         for one in documents["stretches"]:
-            found = sums[np.frombuffer(one.as_buffer(), np.int32)].sum(axis=0) if len(sums) else (0, 0)
+            held = one.as_py()
+            found = sums[np.frombuffer(unpack(held), np.int32)].sum(axis=0) if held else (0, 0)
             best.append(int(found[0]))
             counted.append(int(found[1]))
         plain = [key, "n_a", "n_b", "n_groups", "n_links"]
@@ -362,7 +393,7 @@ class Alignment:
       (``group``, weight: the group's place), for each row; made a text at a time.
 
     Null and empty texts, and texts whose tokens' bytes differ from theirs, have zeros, an empty digest and no links. Repeated rows stay and count as
-    often as they occur; an empty table gives an empty one; other columns are not read. Memory follows one chunk of documents (8 MB of text, or one longer
+    often as they occur; an empty table gives an empty one; other columns are not read. Memory follows one chunk of documents (4 MB of text, or one longer
     text) and the longest stretch without a space. Texts are read once; shuffled are numbers of stretches and, once a chunk, its id pairs.
     """
 
