@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import pinned
 
 HOT_ROWS = 5_000_000
+#: rows of a slice on average where loops cut what is left
+SLICE_ROWS = 20_000
 
 _AGGREGATE = {"max": F.max, "min": F.min, "sum": F.sum}
 
@@ -79,6 +81,11 @@ def _prior_step(cut: DataFrame, keys: list[str], seq: str, values: Mapping[str,
         for name, (how, _) in values.items()])
 
 
+def few_slices(spark: SparkSession, rows: int) -> int:
+    """Slices for ``prior`` where a loop cuts fewer and fewer rows: as many as rows need, at most the default."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // SLICE_ROWS)))
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, Column],
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add inclusive running sums per group; ``F.lit(1)`` gives the row number. ``order`` must be total.
