@@ -6,7 +6,8 @@ A stage takes (spark, docs, folder of the tables) and returns a DataFrame; all b
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressledger.llm import passage_model, personal_data, sentence_pieces
@@ -54,15 +55,32 @@ def redaction(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents in the order of the schedule, by their source's weight; null is a source of its own. The part files of the stage are
-    in that order."""
+    in that order, which the tokens take over as their position."""
     ready(spark)
     return Mixture(docs, temperature=TEMPERATURE, nulls=True).ordered()
 
 
+def in_file_order(docs: DataFrame) -> DataFrame:
+    """(_key: doc_id and position, text): the place of every row in the part files that it is read from, from 0. Rows that come from no file have none."""
+    try:
+        read = docs.metadataColumn("_metadata")
+        rows = docs.select("doc_id", "text", read["file_path"].alias("_file"), read["row_index"].alias("_at"))
+    except AnalysisException:
+        return docs.select(F.struct("doc_id", F.lit(None).cast("bigint").alias("position")).alias("_key"), "text")
+    # one row for each file, written so that its size is known; tasks number the files
+    files = rows.groupBy("_file").agg((F.max("_at") + 1).alias("_rows"))
+    number = F.expr(r"try_cast(regexp_extract(_file, 'part-([0-9]+)[^/]*$', 1) as bigint)")
+    starts = F.sum("_rows").over(Window.orderBy(number, "_file").rowsBetween(Window.unboundedPreceding, -1))
+    starts = pinned(files.select(F.col("_file").alias("_of"), F.coalesce(starts, F.lit(0)).alias("_start")))
+    placed = rows.join(starts, F.col("_file") == F.col("_of"))
+    return placed.select(F.struct("doc_id", (F.col("_start") + F.col("_at")).alias("position")).alias("_key"), "text")
+
+
 def tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """(doc_id, ids, n_tokens, round_trip, parity) of every document."""
+    """(doc_id, ids, n_tokens, round_trip, parity, position) of every document; ``position`` is its place in the order of the stage before, from 0."""
     ready(spark)
-    return sentence_pieces.encoded(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    coded = sentence_pieces.encoded(in_file_order(docs), public_tokenizers.path("piece_bpe_32k.model"), key="_key")
+    return coded.select("_key.doc_id", "ids", "n_tokens", "round_trip", "parity", "_key.position")
 
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicates), ("personal data", redaction),

@@ -46,6 +46,21 @@ def test_stages_equal_brute_force(spark, steps):
     assert all(r.parity and r.n_tokens == len(r.ids) for r in got.values())
 
 
+def test_tokens_follow_the_mixture(steps):
+    *_, clean, mixed, coded = steps
+    place = {r.doc_id: r.position for r in Mixture(clean, temperature=C.TEMPERATURE, nulls=True).placed().collect()}
+    got = sorted((r.position, r.doc_id) for r in coded.collect())
+    assert [p for p, _ in got] == list(range(len(place))) and [i for _, i in got] == sorted(place, key=place.get)
+
+
+def test_positions_over_many_part_files(spark, docs_of):
+    docs = docs_of([(i, f"text {i}") for i in range(3000)]).repartition(7)
+    mixed = pinned(C.mixture(spark, docs, FOLDER).repartitionByRange(13, F.col("doc_id").desc()).sortWithinPartitions(F.col("doc_id").desc()))
+    assert len(mixed.inputFiles()) == 13
+    assert all(r.position == 2999 - r.doc_id for r in C.tokens(spark, mixed, FOLDER).collect())
+    assert {r.position for r in C.tokens(spark, docs, FOLDER).collect()} == {None}
+
+
 def test_stages_take_any_rows(spark, docs_of):
     long = "many words of one long text " * 4000
     rows = [(1, None), (2, ""), (3, long), (4, long), (4, long), (None, "no id"), (None, "no id"), (6, "mail a@b.c now")]
