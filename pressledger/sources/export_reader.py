@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.windows import prior
+from ..operators.windows import few_slices, prior
 from ..session import pinned
 from . import tree
 from .tree import opened
@@ -234,10 +234,11 @@ class Export:
         blocks = listed.agg(F.sum(F.expr(f"greatest(length - 1, 0) div {block} + 1"))).first()[0] or 0
         tasks = max(spark.sparkContext.defaultParallelism, -(-blocks // TASK_BLOCKS))
         spread = lambda rows: rows.repartition(tasks, "file", "block").sortWithinPartitions("file", "block")
-        states = spread(cut).mapInArrow(_states(block), "file string, block bigint, quotes bigint, outside bigint, inside bigint")
+        # written, as cutting into slices samples its input first and would read all files twice
+        states = pinned(spread(cut).mapInArrow(_states(block), "file string, block bigint, quotes bigint, outside bigint, inside bigint"))
         # rows are slim, one for each block; a file of any size is cut into slices of blocks
         state = F.col("before") % 2 == 1
-        begun = prior(states, ["file"], "block", [{"before": ("sum", F.col("quotes"))}, {"depth": ("sum", F.when(state, F.col("inside")).otherwise(F.col("outside")))}])
+        begun = prior(states, ["file"], "block", [{"before": ("sum", F.col("quotes"))}, {"depth": ("sum", F.when(state, F.col("inside")).otherwise(F.col("outside")))}], few_slices(spark, blocks))
         placed = pinned(begun.select("file", "block", "quotes", "outside", "inside", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("depth", F.lit(0)).alias("depth")))
         ends = placed.groupBy("file").agg(F.sum("quotes").alias("q"), F.sum(F.when(state, F.col("inside")).otherwise(F.col("outside"))).alias("d"))
         _one(ends.where("q % 2 = 1 or d <> 0").select("file"), "the export is cut off or malformed")
@@ -301,16 +302,16 @@ def typed_references(export: Export, required: Sequence[tuple[str, str, str]] =
     declared = export.columns().where("type = 'Attachments' or type like 'Ref:%' or type like 'RefList:%'")
     if required:
         declared = declared.unionByName(spark.createDataFrame(list(required), "table string, column string, type string")).distinct()
-    kinds = declared.select(F.col("table").alias("_table"), F.col("column").alias("_column"), "type",
-                            F.when(F.col("type") == "Attachments", "@attachments").otherwise(F.substring_index("type", ":", -1)).alias("target"))
-    # few rows: one for each column of a table
+    # few rows, one for each column of a table, and few columns: written, so that their size is known and cells are not shuffled by the names of columns
+    kinds = pinned(declared.select(F.col("table").alias("_table"), F.col("column").alias("_column"), "type",
+                                   F.when(F.col("type") == "Attachments", "@attachments").otherwise(F.substring_index("type", ":", -1)).alias("target")))
     cells = export.cells().join(kinds, (F.col("table") == F.col("_table")) & (F.col("column") == F.col("_column")))
     text = F.to_json("value")
     single, is_list = F.col("type").startswith("Ref:"), text.rlike(r'^\["L"(,[1-9][0-9]*)*\]$')
     nothing = text.isNull() | (text == "null") | F.when(single, text == "0").otherwise(text == '""')
     readable = F.when(single, text.rlike("^[1-9][0-9]*$")).otherwise(is_list)
     is_text = (F.col("type") == "Attachments") & text.startswith('"')
-    tables = export.elements.where("section = 'tables'").select(F.col("name").alias("_target")).distinct()
+    tables = pinned(export.elements.where("section = 'tables'").select(F.col("name").alias("_target")).distinct())
     refs = F.when(readable, F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))).otherwise(F.array(F.lit(None).cast("string")))
     problem = F.when(is_text, "anomaly").when(~readable, "malformed").when((F.col("target") != "@attachments") & F.col("_target").isNull(), "unsupported target")
     return (cells.where(~F.coalesce(nothing, F.lit(True))).join(tables, F.col("target") == F.col("_target"), "left")

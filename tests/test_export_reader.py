@@ -108,3 +108,13 @@ def test_nothing_is_planned_in_one_task(spark, tmp_path):
     own = E.Export(spark, write(tmp_path / "in", sample(8, 400)), block=200)
     files = own.elements.select(F.col("_metadata.file_name").alias("written_by")).distinct().count()
     assert files >= spark.sparkContext.defaultParallelism
+
+
+def test_cells_meet_their_columns_without_a_shuffle(spark, tmp_path):
+    """Few columns have all the cells, so cells dealt by the names of columns would lie in as few tasks."""
+    export = {"tables": {"A": {"records": [{"id": i, "fields": {"r": i % 3, "n": i}} for i in range(50)]}}, "attachments": [], "attachment_failures": [],
+              "columns": {"A": {"columns": [{"id": "r", "fields": {"type": "Ref:A"}}, {"id": "n", "fields": {"type": "Number"}}]}}}
+    found = E.typed_references(E.Export(spark, write(tmp_path / "in", export), block=100))
+    assert found.count() == 33
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
