@@ -1,8 +1,11 @@
 """Snapshots compared by descent: digests of the whole, of nodes, of leaves, and rows only of leaves that differ.
 
-A row belongs to the leaf that the digest of its key names. An ordered relation takes its position into the key, so neither a parent with very many rows nor
-a frequent value makes a large leaf; equal rows are counted before they meet. Rows are stored by the first digits of their leaf, sorted by it, so the rows of few leaves
-are read from few folders and row groups.
+A row belongs to the leaf that the hash of its key names. An ordered relation takes its position into the key, so neither a parent with very many rows nor
+a frequent value makes a large leaf; equal rows are counted before they meet. Rows are stored by the first digits of their leaf, so the rows of few leaves
+are read from few folders.
+
+A leaf's digest is taken over its number of rows and the XOR of their 256-bit hashes, which tasks add up before anything is shuffled: rows that differ by accident are told apart,
+rows that someone made so as to cancel out are not. Above the leaves digests are SHA-256 over the names and digests below.
 """
 
 from __future__ import annotations
@@ -11,16 +14,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegralType, MapType, StructField, StructType
 
 from .contracts import violations
 
-#: hex digits of a key's digest that name its folder, its node and its leaf
+#: hex digits of a key's hash that name its folder, its node and its leaf
 PART, NODE, LEAF = 2, 3, 5
 
+#: 64-bit words of a row's hash
+WORDS = 4
+
+#: nested values as text that differs where the values do, to the microsecond
+EXACT = {"ignoreNullFields": "false", "dateFormat": "G yyyy-MM-dd", "timestampFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+def _hashed(field: StructField) -> Column:
+    """What ``xxhash64`` takes in for a value: it passes over NULLs inside nested ones, and hashes 1 as int and as long differently."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+        return F.to_json(column, EXACT)
+    return column.cast("long") if isinstance(field.dataType, IntegralType) else column
 
-def _digest(columns: Sequence[Column]) -> Column:
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+
+def _hex(number: Column, digits: int) -> Column:
+    return F.lpad(F.lower(F.hex(number)), digits, "0")
 
 
 def _above(level: DataFrame, digits: int) -> DataFrame:
@@ -40,24 +57,32 @@ class Snapshot:
         self.spark, self.folder, self.keys = spark, folder.rstrip("/"), list(keys)
         self.values = [f.name for f in schema.fields if f.name not in self.keys]
         self.schema = schema
-        self.stored = StructType([*schema.fields]).add("_leaf", "string").add("_times", "long").add("_part", "string")
+        self.stored = StructType([*schema.fields]).add("_times", "long").add("_part", "string")
 
     @classmethod
     def write(cls, rows: DataFrame, folder: str, keys: Sequence[str]) -> Snapshot:
         own = cls(rows.sparkSession, folder, rows.schema, keys)
         # equal rows become one with their number, whatever their number
         counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_times"))
-        placed = counted.withColumn("_leaf", F.substring(_digest([F.col(k) for k in own.keys]), 1, LEAF)).withColumn("_part", F.substring("_leaf", 1, PART))
-        (placed.select(*own.stored.names).repartition("_part").sortWithinPartitions("_part", "_leaf").write.partitionBy("_part").parquet(f"{own.folder}/rows"))
-        line = _digest([F.col(c) for c in (*rows.columns, "_times")])
-        leaves = own.rows().groupBy(F.col("_leaf").alias("name")).agg(
-            F.sha2(F.array_join(F.array_sort(F.collect_list(line)), ","), 256).alias("digest"), F.sum("_times").alias("rows"))
-        leaves.write.parquet(f"{own.folder}/leaves")
+        part = _hex(F.shiftright(own.leaf(), 4 * (LEAF - PART)), PART)
+        counted.withColumn("_part", part).select(*own.stored.names).repartition("_part").write.partitionBy("_part").parquet(f"{own.folder}/rows")
+        own.leaves().write.parquet(f"{own.folder}/leaves")
         _above(own.level("leaves"), NODE).coalesce(1).write.parquet(f"{own.folder}/nodes")
         return own
 
+    def leaf(self) -> Column:
+        """The number of the leaf that a row's key names."""
+        return F.pmod(F.xxhash64(*[_hashed(self.schema[k]) for k in self.keys]), F.lit(16 ** LEAF))
+
     def rows(self) -> DataFrame:
-        return self.spark.read.schema(self.stored).parquet(f"{self.folder}/rows")
+        return self.spark.read.schema(self.stored).parquet(f"{self.folder}/rows").withColumn("_leaf", self.leaf())
+
+    def leaves(self) -> DataFrame:
+        """(name, digest, rows) of every leaf, from the stored rows: of any number of rows, a task passes on one for each leaf."""
+        line = [x for f in self.schema.fields for x in (F.col(f"`{f.name}`").isNull(), _hashed(f))]
+        words = [F.bit_xor(F.xxhash64(F.lit(i), *line, "_times")).cast("string") for i in range(WORDS)]
+        return self.rows().groupBy("_leaf").agg(F.sha2(F.concat_ws(",", *words, F.sum("_times").cast("string")), 256).alias("digest"), F.sum("_times").alias("rows")).select(
+            _hex(F.col("_leaf"), LEAF).alias("name"), "digest", "rows")
 
     def level(self, name: str) -> DataFrame:
         return self.spark.read.schema("name string, digest string, rows bigint").parquet(f"{self.folder}/{name}")
@@ -89,7 +114,8 @@ def differences(before: Snapshot, after: Snapshot) -> DataFrame:
     are not read."""
     keys, values = before.keys, before.values
     leaves, parts = differing_leaves(before, after)
-    leaves = leaves.withColumnRenamed("name", "_leaf")
+    # at most 16 ** LEAF numbers, however many rows there are: they go to the rows, not the rows to them
+    leaves = F.broadcast(leaves.select(F.conv("name", 16, 10).cast("long").alias("_leaf")))
 
     def side(snapshot: Snapshot, sign: int) -> DataFrame:
         rows = snapshot.rows().where(F.col("_part").isin(*parts) if parts else F.lit(False)).join(leaves, "_leaf", "left_semi")

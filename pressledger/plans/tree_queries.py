@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,5 +174,8 @@ def ordered_reconcile(spark, folder):
     more = lines.where((key % 223 == 4) & (place == 1)).select((key + 1_000_000_000).alias("l_orderkey"), F.lit(1).alias("position"), F.lit(1).cast("bigint").alias("l_partkey"), F.lit(1.0).alias("l_quantity"))
     again = kept.where((key % 227 == 5) & (place == 2) & (key % 211 != 3))
     keys = ["l_orderkey", "position"]
-    snapshots = [Snapshot.write(rows, folder_for(spark, name), keys) for rows, name in ((lines, "before"), (after.unionByName(more).unionByName(again), "after"))]
+    sides = [(lines, folder_for(spark, "before")), (after.unionByName(more).unionByName(again), folder_for(spark, "after"))]
+    # neither snapshot waits for the other's last tasks
+    with ThreadPoolExecutor(len(sides)) as pool:
+        snapshots = list(pool.map(inheritable_thread_target(spark)(lambda side: Snapshot.write(*side, keys)), sides))
     return differences(*snapshots)

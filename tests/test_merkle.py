@@ -73,3 +73,49 @@ def test_empty_tables(spark, tmp_path):
     empty, one = build(spark, tmp_path / "a", []), build(spark, tmp_path / "b", rows)
     assert empty.root() == (None, 0)
     assert [(r.status, r.come) for r in M.differences(empty, one).collect()] == [("extra", 1)]
+
+
+def test_rows_that_differ_by_a_microsecond_or_where_the_null_stands_differ(spark, tmp_path):
+    kind = "parent long, position int, at timestamp, first long, second long, several array<long>, nested struct<at:timestamp,note:string>"
+    line = "timestamp'2026-01-02 03:04:05.000001' at, cast({0} as bigint) first, cast({1} as bigint) second, cast({2} as array<bigint>) several, named_struct('at', {3}, 'note', {4}) nested"
+    base = ("null", "5", "array(null)", "timestamp'2026-01-02 03:04:05.000001'", "cast(null as string)")
+    others = [("5", "null", *base[2:]), (*base[:2], "array()", *base[3:]), (*base[:2], "null", *base[3:]), (*base[:3], "timestamp'2026-01-02 03:04:05.000002'", base[4]), (*base[:4], "''")]
+    others = [line.format(*o) for o in others] + [line.format(*base).replace("05.000001' at", "05.000003' at")]
+
+    def snapshot(name, lines):
+        rows = [spark.sql(f"select cast({i} as bigint) parent, 0 position, {each}") for i, each in enumerate(lines)]
+        frame = rows[0]
+        for more in rows[1:]:
+            frame = frame.union(more)
+        return M.Snapshot.write(spark.createDataFrame(frame.rdd, kind), str(tmp_path / name), ["parent", "position"])
+
+    before, after = snapshot("a", [line.format(*base)] * len(others)), snapshot("b", others)
+    assert sorted((r.parent, r.status, r.fields) for r in M.differences(before, after).collect()) == [
+        (0, "changed", "first,second"), (1, "changed", "several"), (2, "changed", "several"), (3, "changed", "nested"), (4, "changed", "nested"), (5, "changed", "at")]
+
+
+def test_leaves_are_added_up_before_they_are_shuffled(spark, tmp_path):
+    def shuffled():
+        stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(s.shuffleWriteBytes() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(stages))
+
+    rows = spark.range(20000).selectExpr("id % 2 parent", "0 position", "id value", "'n' note")
+    start = shuffled()
+    snapshot = M.Snapshot.write(rows, str(tmp_path / "a"), ["parent", "position"])
+    # rows go once to be counted and once to their folders; 32 bytes of each row's digest no more
+    assert shuffled() - start < 20000 * 32
+    assert snapshot.level("leaves").count() == 2 and snapshot.root()[1] == 20000
+
+
+def test_rows_are_not_shuffled_to_find_those_of_differing_leaves(spark, tmp_path):
+    rows = [(i, 0, i, "n") for i in range(4000)]
+    before, after = build(spark, tmp_path / "a", rows), build(spark, tmp_path / "b", [(*r[:2], -1, "n") if r[0] % 3 == 0 else r for r in rows])
+    found = M.differences(before, after)
+    assert "hashpartitioning(_leaf" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("status = 'changed'").count() == found.count() == 1334
+
+
+def test_keys_of_another_width_name_the_same_leaves(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id parent", "cast(id % 7 as int) position", "id value")
+    before, after = (M.Snapshot.write(each, str(tmp_path / name), ["parent", "position"]) for name, each in (("a", rows), ("b", rows.withColumn("position", F.col("position").cast("long")))))
+    assert before.root() == after.root()
